@@ -139,3 +139,143 @@ SQL["top3_per_category"] = with_(INTENDED) + """
 SELECT *, CAST(row_number() OVER (PARTITION BY category ORDER BY amount DESC NULLS LAST, id ASC NULLS FIRST)
   AS INTEGER) AS level
 FROM silver QUALIFY level <= 3"""
+
+# --- scalar steps ---------------------------------------------------------------
+
+_CITY_W = f"trim({initcap('city')})"
+_CAT_W = f"trim(upper(regexp_replace({initcap('category')}, '\\s+', '', 'g')))"
+
+
+def _multiif(x: str) -> str:
+    n = f"upper(regexp_replace(coalesce({x}, ''), '\\s+', '', 'g'))"
+    return f"CASE WHEN {n} IN ('', 'N/A', 'NULL') THEN 'UNKNOWN' ELSE {n} END"
+
+
+def _pick(key: str, items: list[str], salt: int) -> str:
+    lst = ", ".join(f"'{x}'" for x in items)
+    return f"([{lst}])[CAST((CAST({key} AS BIGINT) * 1000003 + {salt}) % {len(items)} AS INTEGER) + 1]"
+
+
+SQL["parse_amount"] = with_(DIRTY) + """
+SELECT id, amount AS amount_text, TRY_CAST(trim(replace(amount, ',', '.')) AS DOUBLE) AS amount,
+  coalesce(TRY_CAST(trim(replace(amount, ',', '.')) AS DOUBLE), 0.0) AS amount_or_zero FROM raw"""
+
+SQL["cast_tolerant"] = with_(DIRTY) + """
+SELECT id, CAST(user_id AS VARCHAR) AS "user", TRY_CAST(amount AS DOUBLE) AS amount FROM raw"""
+
+SQL["parse_timestamp"] = with_(DIRTY) + """
+SELECT id, "timestamp" AS timestamp_text, TRY_CAST("timestamp" AS TIMESTAMP) AS ts FROM raw"""
+
+SQL["normalize_text"] = with_(DIRTY) + f"""
+SELECT id, {_CITY_W} AS city, {_CAT_W} AS category,
+  upper(regexp_replace(category, '\\s+', '', 'g')) AS category_key FROM raw"""
+
+SQL["null_sentinels"] = with_(DIRTY) + f"""
+SELECT id, {_sentinels(_CITY_W)} AS city,
+  CASE WHEN ({_sentinels(_CAT_W)}) IN ('', ' ', chr(9)) THEN NULL ELSE {_sentinels(_CAT_W)} END AS category
+FROM raw"""
+
+SQL["recode_city"] = with_(INTENDED) + f"""
+SELECT id,
+  CASE WHEN {_CITY_W} = 'La' THEN 'Los Angeles' WHEN {_CITY_W} = 'Sf' THEN 'San Francisco'
+       WHEN {_CITY_W} = 'Nyc' THEN 'New York' ELSE {_CITY_W} END AS city,
+  coalesce(CASE WHEN upper(c1) IN ('', 'N/A', 'NULL', 'UNKNOWN') THEN NULL
+                WHEN c1 = 'La' THEN 'Los Angeles' WHEN c1 = 'Sf' THEN 'San Francisco'
+                WHEN c1 = 'Nyc' THEN 'New York' ELSE c1 END, 'Unknown') AS city_intended
+FROM (SELECT *, {_CITY_I} AS c1 FROM raw)"""
+
+SQL["fill_defaults"] = with_(DIRTY) + """
+SELECT id, coalesce(city, 'Unknown') AS city, coalesce(category, 'Unknown') AS category,
+  coalesce(TRY_CAST(trim(replace(amount, ',', '.')) AS DOUBLE), 0.0) AS amount,
+  coalesce(TRY_CAST("timestamp" AS TIMESTAMP), TIMESTAMP '1970-01-01 00:00:00') AS "timestamp"
+FROM raw"""
+
+SQL["whitelist_filter"] = with_(DIRTY) + f""",
+c AS (SELECT id, coalesce(CASE WHEN ({_sentinels(_CAT_W)}) IN ('', ' ', chr(9)) THEN NULL
+                            ELSE {_sentinels(_CAT_W)} END, 'Unknown') AS category FROM raw)
+SELECT * FROM c WHERE category IN ('Retail', 'Tech', 'Food', 'Finance', 'Unknown', 'NoName', chr(9))"""
+
+SQL["category_multiif"] = with_(DIRTY) + f"""
+SELECT id, category AS category_text, {_multiif('category')} AS category FROM raw"""
+
+SQL["big_amount_alerts"] = """
+SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount,
+  o_orderpriority AS category FROM orders WHERE o_totalprice > 15000"""
+
+_ENRICH = f"""
+SELECT id, user_id,
+  coalesce(TRY_CAST(trim(replace(CAST(amount AS VARCHAR), ',', '.')) AS DOUBLE), 0.0) AS amount,
+  CASE WHEN category IS NULL OR category = '' THEN {_pick('id', ['electro', 'food', 'auto', 'beauty'], 2)}
+       ELSE category END AS category,
+  "timestamp", city,
+  {_pick('id', ['standart', 'premium', 'vip'], 1)} AS class,
+  {_pick('id', ['transfer', 'refund', 'purchase'], 3)} AS type
+FROM raw"""
+
+SQL["enrich_deterministic"] = with_(DIRTY) + _ENRICH
+
+SQL["head_by_key"] = with_(DIRTY) + f", e AS ({_ENRICH})" + """
+SELECT * FROM e ORDER BY id ASC NULLS LAST LIMIT 80002"""
+
+MSG_EVENTS = """
+msg AS (SELECT event_id AS id, CAST(user_id AS VARCHAR) AS "user", value AS amount,
+  epoch_us(ts) // 1000000 AS "timestamp", event_type AS category FROM events)"""
+
+SQL["epoch_to_event_time"] = with_(MSG_EVENTS) + """
+SELECT id, "timestamp", make_timestamp("timestamp" * 1000000) AS event_time FROM msg"""
+
+SQL["clock_fallback"] = with_(MSG_EVENTS) + """
+SELECT id, "timestamp", CASE WHEN "timestamp" = 0 THEN TIMESTAMP '2024-02-01 00:00:00'
+  ELSE make_timestamp("timestamp" * 1000000) END AS event_time FROM msg"""
+
+SQL["json_decode"] = """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"""
+
+# --- collapse, windows --------------------------------------------------------------
+
+LATEST = """
+acct AS (SELECT user_id AS id, CAST(user_id AS VARCHAR) AS "user", value AS amount,
+  epoch_us(ts) // 1000000 AS "timestamp", event_type AS category, event_id AS seq FROM events),
+latest AS (
+  SELECT id, "user", amount, "timestamp", category, make_timestamp("timestamp" * 1000000) AS event_time
+  FROM acct
+  QUALIFY row_number() OVER (PARTITION BY CAST(make_timestamp("timestamp" * 1000000) AS DATE), id
+                             ORDER BY "timestamp" DESC, seq DESC) = 1)"""
+
+SQL["latest_version"] = with_(LATEST) + """
+SELECT * FROM latest"""
+
+SQL["latest_100"] = with_(LATEST) + """
+SELECT * FROM latest ORDER BY event_time DESC NULLS LAST, id DESC NULLS LAST LIMIT 100"""
+
+SQL["summing_10min"] = with_(MSG_EVENTS) + f"""
+SELECT time_bucket(INTERVAL 10 MINUTE, CASE WHEN "timestamp" = 0 THEN TIMESTAMP '2024-02-01 00:00:00'
+         ELSE make_timestamp("timestamp" * 1000000) END) AS timer,
+  {_multiif('category')} AS category,
+  CAST(sum(CAST(round(amount, 2) AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_sum,
+  CAST(count(*) AS BIGINT) AS tx_count
+FROM msg GROUP BY 1, 2"""
+
+SLIDING = """
+SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, category,
+  round(sum(amount), 2) AS total_sum, count(id) AS tx_count
+FROM (SELECT unnest(generate_series(date_trunc('minute', ts) - INTERVAL 9 MINUTE, date_trunc('minute', ts),
+                                    INTERVAL 1 MINUTE)) AS window_start,
+             event_type AS category, value AS amount, event_id AS id FROM events)
+GROUP BY window_start, category"""
+
+SQL["sliding_window_batch"] = SLIDING
+SQL["flatten_window"] = SLIDING
+
+SQL["tumbling_10min"] = """
+SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start,
+  time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE AS window_end,
+  event_type AS category, round(sum(value), 2) AS total_sum, count(event_id) AS tx_count
+FROM events GROUP BY 1, 2, 3"""
+
+SQL["parquet_scan"] = """
+SELECT event_id, event_type, value FROM events WHERE value > 0"""
+
+SQL["generate_users"] = """
+SELECT CAST(i AS BIGINT) AS id, 'user_' || CAST(i AS VARCHAR) AS "user", TIMESTAMP '2024-02-01 00:00:00' AS ts
+FROM range((SELECT count(*) FROM customer)) t(i)"""

@@ -158,3 +158,20 @@ def change_log(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     log = inserts.unionByName(changes)
     start = F.lit(CHANGE_LOG_START).cast("timestamp_ntz")
     return log.withColumn("committed_at", start + F.make_dt_interval(hours=F.col("version")))
+
+
+def account_messages(events: DataFrame) -> DataFrame:
+    """Messages keyed by account (id = user_id), in arrival order ``seq`` = event_id:
+    the input of the replacing (latest-version) table."""
+    return events.select(
+        F.col("user_id").alias("id"),
+        F.col("user_id").cast("string").alias("user"),
+        F.col("value").alias("amount"),
+        C.timestamp_to_epoch("ts").alias("timestamp"),
+        F.col("event_type").alias("category"),
+        F.col("event_id").alias("seq"),
+    )
+
+
+# fixed clock for the "timestamp = 0 -> now" fallback in registered queries
+FIXED_NOW = _dt.datetime(2024, 2, 1, 0, 0, 0)
