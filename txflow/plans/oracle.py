@@ -279,3 +279,81 @@ SELECT event_id, event_type, value FROM events WHERE value > 0"""
 SQL["generate_users"] = """
 SELECT CAST(i AS BIGINT) AS id, 'user_' || CAST(i AS VARCHAR) AS "user", TIMESTAMP '2024-02-01 00:00:00' AS ts
 FROM range((SELECT count(*) FROM customer)) t(i)"""
+
+# --- changing tables ------------------------------------------------------------------
+
+TARGET = """
+target AS (SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS VARCHAR) AS "user",
+  o_totalprice AS amount, o_orderdate AS ts FROM orders WHERE o_orderstatus <> 'P')"""
+
+SETTLEMENTS = """
+src AS (
+  SELECT CAST(l_orderkey AS INTEGER) AS id, CAST(o_custkey AS VARCHAR) AS "user",
+    CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+                  * (1 + CAST(l_tax AS DECIMAL(4,2)))) AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+    max(l_shipdate) AS ts
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, o_custkey)"""
+
+CHANGE_LOG = """
+log0 AS (
+  SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount,
+    o_orderdate AS ts, 'insert' AS op, 1 AS version FROM orders
+  UNION ALL
+  SELECT CAST(l_orderkey AS INTEGER), CAST(o_custkey AS VARCHAR), CAST(CAST(net AS DECIMAL(18,2)) AS DOUBLE),
+    l_shipdate, CASE WHEN drop = 1 THEN 'delete' ELSE 'update' END, CAST(l_linenumber + 1 AS INTEGER)
+  FROM (SELECT l_orderkey, l_linenumber,
+          sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS net,
+          max(l_shipdate) AS l_shipdate,
+          max(CAST(l_linestatus = 'F' AND l_discount >= 0.08 AS INTEGER)) AS drop
+        FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey, l_linenumber) r
+  JOIN orders ON l_orderkey = o_orderkey),
+log AS (SELECT *, TIMESTAMP '2024-01-01 00:00:00' + version * INTERVAL 1 HOUR AS committed_at FROM log0)"""
+
+
+def _as_of(v: int, name: str) -> str:
+    return f"""
+{name} AS (
+  SELECT id, "user", amount, ts FROM (
+    SELECT * FROM log WHERE version <= {v}
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC) = 1) WHERE op <> 'delete')"""
+
+
+SQL["merge_upsert"] = with_(TARGET, SETTLEMENTS) + """
+SELECT t.id, t."user", CASE WHEN s.id IS NOT NULL THEN s.amount ELSE t.amount END AS amount,
+  CASE WHEN s.id IS NOT NULL THEN s.ts ELSE t.ts END AS ts
+FROM target t LEFT JOIN src s ON t.id = s.id
+UNION ALL
+SELECT s.id, s."user", s.amount, s.ts FROM src s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.id = s.id)"""
+
+SQL["update_column"] = with_(TARGET) + """
+SELECT id, "user", 0.0::DOUBLE AS amount, ts FROM target"""
+
+SQL["version_history"] = with_(CHANGE_LOG) + """
+SELECT version, max(committed_at) AS committed_at,
+  CASE WHEN sum(CASE WHEN op = 'insert' THEN 1 ELSE 0 END) = count(*) THEN 'append'
+       WHEN sum(CASE WHEN op = 'delete' THEN 1 ELSE 0 END) = count(*) THEN 'delete'
+       ELSE 'overwrite' END AS operation,
+  count(*) AS changed_rows
+FROM log GROUP BY version ORDER BY committed_at DESC, version DESC LIMIT 5"""
+
+SQL["as_of_version"] = with_(CHANGE_LOG, _as_of(4, "state")) + """
+SELECT * FROM state"""
+
+SQL["retain_last_versions"] = with_(CHANGE_LOG) + """,
+kept AS (SELECT version, max(committed_at) AS committed_at FROM log GROUP BY version
+         ORDER BY version DESC LIMIT 5),
+cut AS (SELECT version, committed_at FROM kept ORDER BY version LIMIT 1),
+base AS (
+  SELECT id, "user", amount, ts FROM (
+    SELECT * FROM log WHERE version <= (SELECT version FROM cut)
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC) = 1) WHERE op <> 'delete')
+SELECT id, "user", amount, ts, 'insert' AS op, (SELECT version FROM cut) AS version,
+  (SELECT committed_at FROM cut) AS committed_at FROM base
+UNION ALL
+SELECT * FROM log WHERE version > (SELECT version FROM cut)"""
+
+SQL["view_projection"] = with_(TARGET) + """
+SELECT "user", amount, ts FROM target"""
+
+SQL["peek_ordered"] = with_(TARGET) + """
+SELECT * FROM target ORDER BY id LIMIT 5"""

@@ -260,3 +260,56 @@ def generate_users_q(spark, sf_dir):
     """SRC10: one generated user per customer row, fixed clock."""
     n = table(spark, sf_dir, "customer").count()
     return generate_users(spark, n, fixtures.FIXED_NOW)
+
+
+# --- changing tables (CHG1-5, CHG9, SRC8) ----------------------------------------
+
+from txflow.operators import changes  # noqa: E402
+
+AS_OF_VERSION = 4
+
+
+def _target(spark, sf_dir):
+    return fixtures.versioned_transactions(table(spark, sf_dir, "orders"))
+
+
+def _log(spark, sf_dir):
+    return fixtures.change_log(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+
+
+@register("merge_upsert")
+def merge_upsert(spark, sf_dir):
+    """MERGE settlements into the live table: amount and ts of matched orders are
+    replaced, pending orders (not in the table) are inserted."""
+    source = fixtures.settlements(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    return changes.merge_upsert(_target(spark, sf_dir), source, "id", update=["amount", "ts"])
+
+
+@register("update_column")
+def update_column(spark, sf_dir):
+    return changes.update_column(_target(spark, sf_dir), "amount", 0.0)
+
+
+@register("version_history")
+def version_history(spark, sf_dir):
+    return changes.version_history(_log(spark, sf_dir), V.RETAIN_LAST_VERSIONS)
+
+
+@register("as_of_version")
+def as_of_version(spark, sf_dir):
+    return changes.as_of_version(_log(spark, sf_dir), AS_OF_VERSION)
+
+
+@register("retain_last_versions")
+def retain_last_versions(spark, sf_dir):
+    return changes.retain_last_versions(_log(spark, sf_dir), V.RETAIN_LAST_VERSIONS)
+
+
+@register("view_projection")
+def view_projection(spark, sf_dir):
+    return changes.view_projection(spark, _target(spark, sf_dir), "transactions_old", ["user", "amount", "ts"])
+
+
+@register("peek_ordered")
+def peek_ordered(spark, sf_dir):
+    return reports.peek_ordered(_target(spark, sf_dir), 5, "id")

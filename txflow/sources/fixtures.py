@@ -24,7 +24,15 @@ DIRTY_CITIES = ["nyc", "LA", " sf", "n/a", "unknown\t", None, "new york", "NULL"
 # timestamp: 'not a time' when k % 23 = 0, NULL when k % 29 = 0, else 'YYYY-MM-DD HH:30:00', HH = k % 24
 # rows with k % 20 = 0 appear twice
 CHANGE_LOG_START = _dt.datetime(2024, 1, 1, 0, 0, 0)
-MERGE_TS_SHIFT_DAYS = 0
+
+
+def _cents(col: str) -> Column:
+    """Money in exact decimal arithmetic, so rounding to cents is the same everywhere."""
+    return F.col(col).cast("decimal(18,2)")
+
+
+def _rate(col: str) -> Column:
+    return F.col(col).cast("decimal(4,2)")
 
 
 def _cycle(k: Column, items: list) -> Column:
@@ -115,8 +123,8 @@ def settlements(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Merge source: one row per order that has line items, with the settled amount
     (sum of net price with tax, to cents) and the last ship date."""
     per_order = lineitem.groupBy("l_orderkey").agg(
-        F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))), 2)
-        .alias("amount"),
+        F.sum(_cents("l_extendedprice") * (1 - _rate("l_discount")) * (1 + _rate("l_tax")))
+        .cast("decimal(18,2)").cast("double").alias("amount"),
         F.max("l_shipdate").alias("ts"),
     )
     return per_order.join(orders.select("o_orderkey", "o_custkey"),
@@ -131,9 +139,9 @@ def settlements(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def change_log(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Append-only change log of the transactions table.
 
-    version 1 inserts every order. Each returned line item (flag 'R') changes its
-    order at version 1 + line number: a 'delete' when the line is finished ('F')
-    with a discount of at least 0.08, an 'update' (amount = net line price) otherwise.
+    version 1 inserts every order. Returned line items (flag 'R') change their order
+    at version 1 + line number: a 'delete' when a line is finished ('F') with a
+    discount of at least 0.08, else an 'update' (amount = net price of those lines).
     committed_at = start + version hours.
     """
     inserts = orders.select(
@@ -144,15 +152,21 @@ def change_log(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.lit("insert").alias("op"),
         F.lit(1).alias("version"),
     )
-    returned = lineitem.filter(F.col("l_returnflag") == "R")
+    # line numbers repeat within an order in the driver data: one change per
+    # (order, line number), amounts added up, delete if any of the lines says so
+    returned = (lineitem.filter(F.col("l_returnflag") == "R")
+                .groupBy("l_orderkey", "l_linenumber").agg(
+                    F.sum(_cents("l_extendedprice") * (1 - _rate("l_discount"))).alias("net"),
+                    F.max("l_shipdate").alias("l_shipdate"),
+                    F.max(((F.col("l_linestatus") == "F") & (F.col("l_discount") >= 0.08)).cast("int"))
+                    .alias("drop")))
     changes = returned.join(orders.select("o_orderkey", "o_custkey"),
                             returned.l_orderkey == orders.o_orderkey, "inner").select(
         F.col("l_orderkey").cast("int").alias("id"),
         F.col("o_custkey").cast("string").alias("user"),
-        F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2).alias("amount"),
+        F.col("net").cast("decimal(18,2)").cast("double").alias("amount"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("ts"),
-        F.when((F.col("l_linestatus") == "F") & (F.col("l_discount") >= 0.08), F.lit("delete"))
-        .otherwise(F.lit("update")).alias("op"),
+        F.when(F.col("drop") == 1, F.lit("delete")).otherwise(F.lit("update")).alias("op"),
         (F.col("l_linenumber") + 1).cast("int").alias("version"),
     )
     log = inserts.unionByName(changes)
