@@ -357,3 +357,35 @@ SELECT "user", amount, ts FROM target"""
 
 SQL["peek_ordered"] = with_(TARGET) + """
 SELECT * FROM target ORDER BY id LIMIT 5"""
+
+# --- messages and streams ------------------------------------------------------------
+
+SQL["json_encode"] = """
+SELECT CAST(user_id AS VARCHAR) AS key, event_id AS offset, event_id AS id, CAST(user_id AS VARCHAR) AS "user",
+  value AS amount, epoch_us(ts) // 1000000 AS "timestamp", event_type AS category FROM events"""
+
+SQL["json_quarantine"] = """
+SELECT event_id AS offset, CAST(user_id AS VARCHAR) AS key FROM events WHERE event_type = 'error'"""
+
+SQL["stream_to_silver"] = """
+SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount,
+  epoch_us(o_orderdate) // 1000000 AS "timestamp", o_orderpriority AS category
+FROM orders WHERE o_totalprice > 0"""
+
+SQL["stream_alerts"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount, o_orderpriority AS category
+FROM orders WHERE o_totalprice > 10000"""
+
+SQL["sliding_window_stream"] = """
+WITH e AS (SELECT event_id AS id, event_type AS category, value AS amount,
+                  make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS t FROM events),
+w AS (
+  SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, category,
+    round(sum(amount), 2) AS total_sum, count(id) AS tx_count
+  FROM (SELECT unnest(generate_series(date_trunc('minute', t) - INTERVAL 9 MINUTE, date_trunc('minute', t),
+                                      INTERVAL 1 MINUTE)) AS window_start, category, amount, id FROM e)
+  GROUP BY window_start, category)
+SELECT * FROM w WHERE window_end <= (SELECT max(t) FROM e) - INTERVAL 15 MINUTE"""
+
+SQL["incremental_summing"] = SQL["summing_10min"]
+SQL["incremental_latest"] = SQL["latest_version"]

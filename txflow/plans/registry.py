@@ -313,3 +313,99 @@ def view_projection(spark, sf_dir):
 @register("peek_ordered")
 def peek_ordered(spark, sf_dir):
     return reports.peek_ordered(_target(spark, sf_dir), 5, "id")
+
+
+# --- messages and streams (SRC5-7, SNK2-4, SNK7, STR1, STR3-7) ---------------------
+
+from txflow.session import work_dir  # noqa: E402
+from txflow.streaming import streams  # noqa: E402
+
+
+def _event_envelope(spark, sf_dir):
+    msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
+    return messages.to_envelope(msgs, key="user", offset="id", event_time=None)
+
+
+@register("json_encode")
+def json_encode(spark, sf_dir):
+    """SNK7 + SRC6 round trip: rows -> keyed JSON envelope -> decoded typed rows."""
+    env = _event_envelope(spark, sf_dir)
+    dec = messages.typed(messages.decode(env, keep=["key", "offset"]))
+    return dec.select(F.col("key").cast("string").alias("key"), "offset", "id", "user", "amount",
+                      "timestamp", "category")
+
+
+@register("json_quarantine")
+def json_quarantine(spark, sf_dir):
+    """SRC7: 'error' events arrive with a damaged payload; they are quarantined with
+    their offset and key, every other message decodes."""
+    msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
+    env = messages.to_envelope(msgs, "user", "id", carry=["category"])
+    env = fixtures.truncate_payloads(env, F.col("category") == "error").drop("category")
+    flagged = messages.decode_with_quarantine(env, keep=["key", "offset"])
+    _, bad = messages.split_quarantine(flagged)
+    return bad.select("offset", F.col("key").cast("string").alias("key"))
+
+
+def _silver_and_alerts(spark, sf_dir):
+    root = work_dir(spark, "silver_alerts")
+    msgs = fixtures.messages_from_orders(table(spark, sf_dir, "orders"))
+    streams.write_envelope(messages.to_envelope(msgs, "user", "id"), f"{root}/input")
+    streams.run_silver_and_alerts(spark, f"{root}/input", f"{root}/silver", f"{root}/alerts", f"{root}/chk",
+                                  V.ALERT_THRESHOLD)
+    return root
+
+
+@register("stream_to_silver")
+def stream_to_silver(spark, sf_dir):
+    """Stream of order messages -> amount > 0 -> parquet partitioned by category."""
+    root = _silver_and_alerts(spark, sf_dir)
+    schema = "id BIGINT, user STRING, amount DOUBLE, timestamp BIGINT, category STRING"
+    return spark.read.schema(schema).parquet(f"{root}/silver")
+
+
+@register("stream_alerts")
+def stream_alerts(spark, sf_dir):
+    """The alert query beside the silver one: amount > 10,000."""
+    root = _silver_and_alerts(spark, sf_dir)
+    return spark.read.parquet(f"{root}/alerts")
+
+
+@register("sliding_window_stream")
+def sliding_window_stream(spark, sf_dir):
+    """STR1 as a stream drained by available-now: windows are emitted once the
+    watermark (max event time - 15 min) passes their end; delivered through the
+    multi-sink batch function."""
+    root = work_dir(spark, "sliding")
+    streams.write_envelope(_event_envelope(spark, sf_dir), f"{root}/input")
+    ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input"))
+    q = streams.start_window_stats(ev, streams.multi_sink(streams.parquet_batch_sink(f"{root}/windows")),
+                                   f"{root}/chk")
+    streams.await_all([q])
+    out = spark.read.parquet(f"{root}/windows").drop("batch_id")
+    return out.select("window_start", "window_end", "category", C.money("total_sum").alias("total_sum"),
+                      "tx_count")
+
+
+@register("incremental_summing")
+def incremental_summing(spark, sf_dir):
+    """STR7: the summing view kept up per micro-batch, read back with the collapse."""
+    root = work_dir(spark, "summing_view")
+    streams.write_envelope(_event_envelope(spark, sf_dir), f"{root}/input")
+    ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input")).drop("event_time")
+    now = F.lit(fixtures.FIXED_NOW).cast("timestamp")
+    q = streams.start_view(ev, streams.summing_view_sink(f"{root}/view", now), f"{root}/chk")
+    streams.await_all([q])
+    return streams.read_summing_view(spark, f"{root}/view")
+
+
+@register("incremental_latest")
+def incremental_latest(spark, sf_dir):
+    """STR7: the latest-version view kept up per micro-batch, collapsed at read."""
+    root = work_dir(spark, "latest_view")
+    msgs = fixtures.account_messages(table(spark, sf_dir, "events"))
+    streams.write_envelope(messages.to_envelope(msgs, "user", "seq"), f"{root}/input")
+    ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input"), extra="seq BIGINT").drop("event_time")
+    q = streams.start_view(ev, streams.latest_view_sink(f"{root}/view"), f"{root}/chk")
+    streams.await_all([q])
+    return streams.read_latest_view(spark, f"{root}/view")

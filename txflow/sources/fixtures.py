@@ -189,3 +189,11 @@ def account_messages(events: DataFrame) -> DataFrame:
 
 # fixed clock for the "timestamp = 0 -> now" fallback in registered queries
 FIXED_NOW = _dt.datetime(2024, 2, 1, 0, 0, 0)
+
+
+def truncate_payloads(env: DataFrame, when: Column) -> DataFrame:
+    """Damage the JSON of rows matching ``when`` (last character cut off): the broken
+    messages a quarantine must catch."""
+    text = F.col("value").cast("string")
+    broken = F.expr("substring(CAST(value AS STRING), 1, length(CAST(value AS STRING)) - 1)")
+    return env.withColumn("value", F.when(when, broken).otherwise(text).cast("binary"))

@@ -36,11 +36,13 @@ def head_by_key(df: DataFrame, key: str = "id", n: int = V.PRODUCER_MAX_INDEX +
 
 
 def to_envelope(messages: DataFrame, key: str = "user", offset: str = "id", event_time: str | None = None,
-                topic: str = "raw_transactions", partitions: int = 3) -> DataFrame:
+                topic: str = "raw_transactions", partitions: int = 3, carry: list[str] | None = None) -> DataFrame:
     """Rows -> envelope: key = key column as bytes, value = JSON of all columns (SNK7).
 
     The partition is a hash of the key (as a producer would do); the offset is taken
     from an increasing column of the rows, so no global numbering pass is needed.
+    ``carry`` passes message columns through beside the envelope (for tests that
+    damage chosen rows).
     """
     payload = F.to_json(F.struct(*[F.col(c) for c in messages.columns]))
     ts = F.current_timestamp() if event_time is None else F.col(event_time).cast("timestamp")
@@ -51,6 +53,7 @@ def to_envelope(messages: DataFrame, key: str = "user", offset: str = "id", even
         F.pmod(F.hash(F.col(key)), F.lit(partitions)).cast("int").alias("partition"),
         F.col(offset).cast("bigint").alias("offset"),
         ts.alias("timestamp"),
+        *[F.col(c) for c in (carry or [])],
     )
 
 
