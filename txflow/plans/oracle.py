@@ -389,3 +389,14 @@ SELECT * FROM w WHERE window_end <= (SELECT max(t) FROM e) - INTERVAL 15 MINUTE"
 
 SQL["incremental_summing"] = SQL["summing_10min"]
 SQL["incremental_latest"] = SQL["latest_version"]
+
+# --- files and layout ---------------------------------------------------------------
+
+SQL["silver_roundtrip"] = SQL["clean_intended"]
+SQL["compact"] = SQL["clean_intended"]
+
+SQL["partition_profile"] = with_(TARGET) + """
+SELECT strftime(ts, '%Y%m') AS month, CAST(ts AS DATE) AS dt, count(*) AS rows FROM target GROUP BY 1, 2"""
+
+SQL["archive_by_day"] = with_(INTENDED) + """
+SELECT *, DATE '2024-01-31' AS archive_date FROM silver"""

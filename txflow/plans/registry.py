@@ -409,3 +409,55 @@ def incremental_latest(spark, sf_dir):
     q = streams.start_view(ev, streams.latest_view_sink(f"{root}/view"), f"{root}/chk")
     streams.await_all([q])
     return streams.read_latest_view(spark, f"{root}/view")
+
+
+# --- files and layout (SNK1, SNK8, SNK9, CHG6, CHG7) ---------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from txflow.operators import files  # noqa: E402
+from txflow.sinks import writers  # noqa: E402
+
+ARCHIVE_DAY = _dt.date(2024, 1, 31)
+
+
+@register("silver_roundtrip")
+def silver_roundtrip(spark, sf_dir):
+    """SNK1 + SRC3: silver written as parquet (overwrite), read back with a projection."""
+    path = writers.overwrite_parquet(silver(spark, sf_dir), f"{work_dir(spark, 'silver')}/data")
+    return parquet_scan(spark, path, cleaning.SILVER_COLUMNS)
+
+
+@register("compact")
+def compact(spark, sf_dir):
+    """CHG7: silver in small files, rewritten toward 128 MB files; the rows are the same."""
+    root = work_dir(spark, "compact")
+    silver(spark, sf_dir).repartition(16).write.parquet(f"{root}/small")
+    files.compact(spark, f"{root}/small", f"{root}/compacted", cluster_cols=["id"])
+    return spark.read.parquet(f"{root}/compacted")
+
+
+@register("file_report")
+def file_report(spark, sf_dir):
+    """CHG6: per-file record counts of the laid-out transactions table (no oracle: paths)."""
+    root = work_dir(spark, "layout")
+    laid = files.layout_columns(_target(spark, sf_dir))
+    files.write_partitioned(laid, f"{root}/table", ["month"])
+    return files.file_report(spark, f"{root}/table", ["month"])
+
+
+@register("partition_profile")
+def partition_profile(spark, sf_dir):
+    """SNK9: transactions written by (month) with day and user bucket columns, read back
+    and profiled per (month, day)."""
+    root = work_dir(spark, "layout")
+    laid = files.layout_columns(_target(spark, sf_dir))
+    files.write_partitioned(laid, f"{root}/table", ["month"], ["dt", "user_bucket"])
+    return files.partition_profile(spark.read.parquet(f"{root}/table"))
+
+
+@register("archive_by_day")
+def archive_by_day(spark, sf_dir):
+    """SNK8 re-aimed: the day's silver copied under archive_date=2024-01-31, read back."""
+    root = work_dir(spark, "archive")
+    return files.archive_by_day(silver(spark, sf_dir), f"{root}/archive", ARCHIVE_DAY)

@@ -1,0 +1 @@
+"""Batch sinks; streaming sinks live in ``txflow.streaming``."""
