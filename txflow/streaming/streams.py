@@ -127,15 +127,16 @@ def parquet_batch_sink(path: str, partition_col: str = "batch_id") -> BatchSink:
 
 def jdbc_batch_sink(url: str, table: str, properties: dict[str, str] | None = None) -> BatchSink:
     """JDBC append with a ``batch_id`` column; a batch already present is skipped on
-    replay (checked with one pushed-down count). Struct columns must be flattened
-    first (JDBC has no struct type)."""
+    replay (checked with one pushed-down count; Spark creates the column quoted, so
+    it is quoted in the check too). Struct columns must be flattened first (JDBC has
+    no struct type)."""
     props = dict(properties or {})
 
     def sink(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         try:
             seen = (spark.read.format("jdbc").option("url", url).options(**props)
-                    .option("query", f"SELECT COUNT(*) AS n FROM {table} WHERE batch_id = {int(batch_id)}")
+                    .option("query", f'SELECT COUNT(*) AS n FROM {table} WHERE "batch_id" = {int(batch_id)}')
                     .load().first()[0])
         except Exception:  # table does not exist yet: first batch creates it
             seen = 0
@@ -215,3 +216,24 @@ def read_summing_view(spark: SparkSession, path: str) -> DataFrame:
 def read_latest_view(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.parquet(path).drop("batch_id")
     return collapse.latest_version(rows, [F.to_date("event_time"), "id"], "timestamp", "seq").drop("seq")
+
+
+def quarantine_sink(good: BatchSink, bad_path: str, limit: int = V.MAX_BROKEN_MESSAGES,
+                    ddl: str = schemas.LOOSE_MESSAGE) -> BatchSink:
+    """SRC7 for streams: decode each raw envelope batch, park broken messages under
+    ``bad_path/batch_id=N``, refuse the batch when more than ``limit`` are broken, and
+    hand the good rows (typed) to ``good``. The batch is decoded once (persisted)."""
+    write_bad = parquet_batch_sink(bad_path)
+
+    def sink(env: DataFrame, batch_id: int) -> None:
+        flagged = messages.decode_with_quarantine(env, ddl, keep=["key", "partition", "offset"]).persist()
+        try:
+            ok, bad = messages.split_quarantine(flagged)
+            n_bad = bad.count()
+            messages.check_broken(n_bad, limit)
+            if n_bad:
+                write_bad(bad.select("key", "partition", "offset", messages.CORRUPT_COLUMN), batch_id)
+            good(messages.typed(ok), batch_id)
+        finally:
+            flagged.unpersist()
+    return sink
