@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from txflow.functions import values as V
 from txflow.operators.collapse import latest_version
 from txflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
+from txflow.session import shared_root
 
 
 class MergeCardinalityError(ValueError):
@@ -41,6 +42,10 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str = "id",
     adaptive execution splits skewed target keys.
     """
     update = update if update is not None else [c for c in source.columns if c != key and c in target.columns]
+    # the source feeds three branches and the profile: compute it once, written to
+    # the shared checkpoint folder (survives a lost executor, cuts the lineage)
+    shared_root(source.sparkSession)
+    source = source.checkpoint(eager=True)
     rows, worst = source_profile(source, key)
     if worst > 1:
         raise MergeCardinalityError(f"source has {worst} rows for one {key}")
