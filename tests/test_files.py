@@ -97,3 +97,12 @@ def test_jdbc_append_flattens_window(spark):
     writers.jdbc_append(df, url, "WFLAT", props)
     back = spark.read.format("jdbc").option("url", url).option("dbtable", "WFLAT").options(**props).load()
     assert set(back.columns) == {"category", "total_sum", "tx_count", "window_start", "window_end"}
+
+
+def test_append_table(spark, tmp):
+    spark.sql("DROP TABLE IF EXISTS tx_append_t")
+    df = data(spark, 10)
+    writers.append_table(df, "tx_append_t", f"{tmp}/wh/tx_append_t")
+    writers.append_table(df, "tx_append_t", f"{tmp}/wh/tx_append_t")
+    assert spark.table("tx_append_t").count() == 20
+    spark.sql("DROP TABLE tx_append_t")

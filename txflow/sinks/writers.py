@@ -19,9 +19,13 @@ def append_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
-def append_table(df: DataFrame, name: str) -> str:
-    """SNK6: append to a catalog table (created from the frame when missing)."""
-    df.write.mode("append").format("parquet").saveAsTable(name)
+def append_table(df: DataFrame, name: str, location: str | None = None) -> str:
+    """SNK6: append to a catalog table (created from the frame when missing; at
+    ``location`` when given, else in the warehouse)."""
+    w = df.write.mode("append").format("parquet")
+    if location:
+        w = w.option("path", location)
+    w.saveAsTable(name)
     return name
 
 
