@@ -39,28 +39,30 @@ def compact(spark: SparkSession, path: str, out_path: str, target_bytes: int = V
             partition_cols: list[str] | None = None, cluster_cols: list[str] | None = None) -> str:
     """Rewrite a table into files of about ``target_bytes`` in a new directory (CHG7).
 
-    Unpartitioned: ceil(total / target) even, hash-clustered partitions. Partitioned:
-    a rebalance on the partition columns, whose runtime re-plan splits a partition
+    Without keys: ceil(total / target) evenly filled partitions. With partition or
+    cluster columns: a rebalance on them, whose runtime re-plan splits a partition
     that holds a third of the data and merges small ones toward the target, so no
-    single task writes the hot partition. The source stays untouched; swapping
+    single task writes the hot key. The source stays untouched; swapping
     directories is the caller's step once the row counts agree.
     """
-    _, total = table_size(spark, path)
     df = spark.read.parquet(path)
-    if partition_cols:
+    keys = (partition_cols or []) + (cluster_cols or [])
+    if keys:
+        # hash-clustered; the rebalance lets adaptive execution split a hot key's
+        # partition and merge small ones toward the target size
         before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
         try:
-            (df.hint("rebalance", *partition_cols).sortWithinPartitions(*(partition_cols + (cluster_cols or [])))
-             .write.mode("overwrite").partitionBy(*partition_cols).parquet(out_path))
+            w = df.hint("rebalance", *(partition_cols or cluster_cols)).sortWithinPartitions(*keys) \
+                .write.mode("overwrite")
+            if partition_cols:
+                w = w.partitionBy(*partition_cols)
+            w.parquet(out_path)
         finally:
             spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     else:
-        n = max(1, math.ceil(total / target_bytes))
-        out = df.repartition(n, *cluster_cols) if cluster_cols else df.repartition(n)
-        if cluster_cols:
-            out = out.sortWithinPartitions(*cluster_cols)
-        out.write.mode("overwrite").parquet(out_path)
+        _, total = table_size(spark, path)
+        df.repartition(max(1, math.ceil(total / target_bytes))).write.mode("overwrite").parquet(out_path)
     return out_path
 
 
