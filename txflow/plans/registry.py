@@ -2,6 +2,8 @@
 
 Each builder reads whole driver tables (or data Spark derives from them) and
 returns a lazy DataFrame; the matching DuckDB SQL is in ``txflow.plans.oracle``.
+The builders live in ``batch``, ``tables`` and ``stream_queries``; importing
+``txflow.plans`` registers all of them.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txflow.operators import cleaning, reports
+from txflow.operators import cleaning
 from txflow.session import prepare
 from txflow.sources import fixtures
 from txflow.sources.tables import table
@@ -41,423 +43,10 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_intended(raw_transactions(spark, sf_dir))
 
 
-# --- batch: clean -> silver -> gold ------------------------------------------
-
-@register("category_report")
-def category_report(spark, sf_dir):
-    """Turnover, count and average check per category from dirty input (flagship)."""
-    return reports.category_report(silver(spark, sf_dir))
-
-
-@register("clean_intended")
-def clean_intended(spark, sf_dir):
-    return silver(spark, sf_dir)
-
-
-@register("clean_literal")
-def clean_literal(spark, sf_dir):
-    return cleaning.clean_literal(raw_transactions(spark, sf_dir))
-
-
-@register("dedupe_by_id")
-def dedupe_by_id(spark, sf_dir):
-    return cleaning.dedupe_by_id(raw_transactions(spark, sf_dir))
-
-
-@register("join_gender_category")
-def join_gender_category(spark, sf_dir):
-    users = fixtures.users_dimension(table(spark, sf_dir, "customer"))
-    return reports.gender_category_report(silver(spark, sf_dir), users)
-
-
-@register("join_segment_hourly")
-def join_segment_hourly(spark, sf_dir):
-    segments = fixtures.segments_dimension(table(spark, sf_dir, "customer"))
-    return reports.hourly_report(silver(spark, sf_dir), segments)
-
-
-@register("top3_per_category")
-def top3_per_category(spark, sf_dir):
-    return reports.top_k_per_group(silver(spark, sf_dir), "category", "amount", 3)
-
-
-# --- scalar functions, one step at a time (CLN1-CLN18) -------------------------
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from txflow.functions import columns as C  # noqa: E402
-from txflow.functions import values as V  # noqa: E402
-from txflow.operators import collapse, windows  # noqa: E402
-from txflow.sources import messages  # noqa: E402
-from txflow.sources.tables import generate_users, parquet_scan  # noqa: E402
-
-
-@register("parse_amount")
-def parse_amount(spark, sf_dir):
-    raw = raw_transactions(spark, sf_dir)
-    return raw.select("id", F.col("amount").alias("amount_text"),
-                      C.parse_decimal_comma("amount").alias("amount"),
-                      C.parse_amount_or_zero("amount").alias("amount_or_zero"))
-
-
-@register("cast_tolerant")
-def cast_tolerant(spark, sf_dir):
-    """Straight casts as the table load does them: the decimal comma is lost (trap 8)."""
-    raw = raw_transactions(spark, sf_dir)
-    return raw.select(C.tolerant_cast("id", "int").alias("id"),
-                      C.tolerant_cast("user_id", "string").alias("user"),
-                      C.tolerant_cast("amount", "double").alias("amount"))
-
-
-@register("parse_timestamp")
-def parse_timestamp(spark, sf_dir):
-    raw = raw_transactions(spark, sf_dir)
-    return raw.select("id", F.col("timestamp").alias("timestamp_text"),
-                      C.parse_timestamp("timestamp").alias("ts"))
-
-
-@register("normalize_text")
-def normalize_text(spark, sf_dir):
-    raw = raw_transactions(spark, sf_dir)
-    return raw.select("id", C.city_as_written("city").alias("city"),
-                      C.category_as_written("category").alias("category"),
-                      C.normalized_category("category").alias("category_key"))
-
-
-@register("null_sentinels")
-def null_sentinels(spark, sf_dir):
-    raw = raw_transactions(spark, sf_dir)
-    city = C.null_if_in(C.null_if_in(C.city_as_written("city"), V.SENTINELS_FIRST), V.SENTINELS)
-    cat = C.null_if_in(C.null_if_in(C.category_as_written("category"), V.SENTINELS_FIRST), V.SENTINELS)
-    return raw.select("id", city.alias("city"), C.null_if_in(cat, V.CATEGORY_BLANKS).alias("category"))
-
-
-@register("recode_city")
-def recode_city(spark, sf_dir):
-    raw = raw_transactions(spark, sf_dir)
-    return raw.select("id", C.recode(C.city_as_written("city"), V.CITY_NAMES).alias("city"),
-                      C.intended_city("city").alias("city_intended"))
-
-
-@register("fill_defaults")
-def fill_defaults(spark, sf_dir):
-    raw = raw_transactions(spark, sf_dir)
-    typed = raw.select("id", "city", "category", C.parse_decimal_comma("amount").alias("amount"),
-                       C.parse_timestamp("timestamp").alias("timestamp"))
-    return cleaning.fill_defaults(typed)
-
-
-@register("whitelist_filter")
-def whitelist_filter(spark, sf_dir):
-    """Literal whitelist on the literally normalised category (trap 1: only fills pass)."""
-    raw = raw_transactions(spark, sf_dir)
-    cat = C.null_if_in(C.null_if_in(C.category_as_written("category"), V.SENTINELS_FIRST), V.SENTINELS)
-    cat = F.coalesce(C.null_if_in(cat, V.CATEGORY_BLANKS), F.lit(V.UNKNOWN_LABEL))
-    return cleaning.whitelist_filter(raw.select("id", cat.alias("category")))
-
-
-@register("category_multiif")
-def category_multiif(spark, sf_dir):
-    raw = raw_transactions(spark, sf_dir)
-    return raw.select("id", F.col("category").alias("category_text"),
-                      C.category_multiif("category").alias("category"))
-
-
-@register("big_amount_alerts")
-def big_amount_alerts(spark, sf_dir):
-    msgs = fixtures.messages_from_orders(table(spark, sf_dir, "orders"))
-    return messages.big_amounts(msgs, V.BIG_AMOUNT_THRESHOLD).select("id", "user", "amount", "category")
-
-
-@register("enrich_deterministic")
-def enrich_deterministic(spark, sf_dir):
-    return messages.enrich(raw_transactions(spark, sf_dir))
-
-
-@register("head_by_key")
-def head_by_key(spark, sf_dir):
-    """Producer cap: the first 80,002 rows in key order (the cap is the feature)."""
-    return messages.head_by_key(messages.enrich(raw_transactions(spark, sf_dir)), "id")
-
-
-@register("epoch_to_event_time")
-def epoch_to_event_time(spark, sf_dir):
-    msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
-    return collapse.with_event_time(msgs).select("id", "timestamp", "event_time")
-
-
-@register("clock_fallback")
-def clock_fallback(spark, sf_dir):
-    msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
-    now = F.lit(fixtures.FIXED_NOW).cast("timestamp")
-    return msgs.select("id", "timestamp", C.to_wall_clock(C.clock_fallback("timestamp", now)).alias("event_time"))
-
-
-@register("json_decode")
-def json_decode(spark, sf_dir):
-    """SRC6 on events.props ({"k": int})."""
-    ev = table(spark, sf_dir, "events")
-    return ev.select("event_id", F.from_json("props", "k INT").alias("p")).select("event_id", "p.k")
-
-
-# --- collapse, windows (DED2, AGG4, STR1, STR2, SRT2) ---------------------------
-
-def _latest(spark, sf_dir):
-    return collapse.latest_per_day(fixtures.account_messages(table(spark, sf_dir, "events")))
-
-
-@register("latest_version")
-def latest_version(spark, sf_dir):
-    return _latest(spark, sf_dir)
-
-
-@register("latest_100")
-def latest_100(spark, sf_dir):
-    return reports.latest_n(_latest(spark, sf_dir), "event_time", 100, "id")
-
-
-@register("summing_10min")
-def summing_10min(spark, sf_dir):
-    msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
-    now = F.lit(fixtures.FIXED_NOW).cast("timestamp")
-    return collapse.collapse_summing(collapse.summing_rows(msgs, now))
-
-
-def _event_facts(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    return ev.select(F.col("event_id").alias("id"), F.col("ts").alias("event_time"),
-                     F.col("event_type").alias("category"), F.col("value").alias("amount"))
-
-
-@register("sliding_window_batch")
-def sliding_window_batch(spark, sf_dir):
-    """STR1 over the whole table, bucket pre-aggregate path."""
-    return windows.money_window_output(windows.sliding_window_stats_preagg(_event_facts(spark, sf_dir)))
-
-
-@register("flatten_window")
-def flatten_window(spark, sf_dir):
-    """STR1 by Spark's window grouping, flattened for a JDBC sink (SNK5)."""
-    return windows.money_window_output(windows.sliding_window_stats(_event_facts(spark, sf_dir)))
-
-
-@register("tumbling_10min")
-def tumbling_10min(spark, sf_dir):
-    return windows.money_window_output(windows.tumbling_window_stats(_event_facts(spark, sf_dir)))
-
-
-# --- sources ----------------------------------------------------------------------
-
-@register("parquet_scan")
-def parquet_scan_q(spark, sf_dir):
-    """SRC3: projection and a filter that reach the parquet reader."""
-    return parquet_scan(spark, f"{sf_dir}/events.parquet", ["event_id", "event_type", "value"],
-                        F.col("value") > 0)
-
-
-@register("generate_users")
-def generate_users_q(spark, sf_dir):
-    """SRC10: one generated user per customer row, fixed clock."""
-    n = table(spark, sf_dir, "customer").count()
-    return generate_users(spark, n, fixtures.FIXED_NOW)
-
-
-# --- changing tables (CHG1-5, CHG9, SRC8) ----------------------------------------
-
-from txflow.operators import changes  # noqa: E402
-
-AS_OF_VERSION = 4
-
-
-def _target(spark, sf_dir):
+def target_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live transactions table (merge target)."""
     return fixtures.versioned_transactions(table(spark, sf_dir, "orders"))
 
 
-def _log(spark, sf_dir):
+def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.change_log(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-
-
-@register("merge_upsert")
-def merge_upsert(spark, sf_dir):
-    """MERGE settlements into the live table: amount and ts of matched orders are
-    replaced, pending orders (not in the table) are inserted."""
-    source = fixtures.settlements(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-    return changes.merge_upsert(_target(spark, sf_dir), source, "id", update=["amount", "ts"])
-
-
-@register("update_column")
-def update_column(spark, sf_dir):
-    return changes.update_column(_target(spark, sf_dir), "amount", 0.0)
-
-
-@register("version_history")
-def version_history(spark, sf_dir):
-    return changes.version_history(_log(spark, sf_dir), V.RETAIN_LAST_VERSIONS)
-
-
-@register("as_of_version")
-def as_of_version(spark, sf_dir):
-    return changes.as_of_version(_log(spark, sf_dir), AS_OF_VERSION)
-
-
-@register("retain_last_versions")
-def retain_last_versions(spark, sf_dir):
-    return changes.retain_last_versions(_log(spark, sf_dir), V.RETAIN_LAST_VERSIONS)
-
-
-@register("view_projection")
-def view_projection(spark, sf_dir):
-    return changes.view_projection(spark, _target(spark, sf_dir), "transactions_old", ["user", "amount", "ts"])
-
-
-@register("peek_ordered")
-def peek_ordered(spark, sf_dir):
-    return reports.peek_ordered(_target(spark, sf_dir), 5, "id")
-
-
-# --- messages and streams (SRC5-7, SNK2-4, SNK7, STR1, STR3-7) ---------------------
-
-from txflow.session import work_dir  # noqa: E402
-from txflow.streaming import streams  # noqa: E402
-
-
-def _event_envelope(spark, sf_dir):
-    msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
-    return messages.to_envelope(msgs, key="user", offset="id", event_time=None)
-
-
-@register("json_encode")
-def json_encode(spark, sf_dir):
-    """SNK7 + SRC6 round trip: rows -> keyed JSON envelope -> decoded typed rows."""
-    env = _event_envelope(spark, sf_dir)
-    dec = messages.typed(messages.decode(env, keep=["key", "offset"]))
-    return dec.select(F.col("key").cast("string").alias("key"), "offset", "id", "user", "amount",
-                      "timestamp", "category")
-
-
-@register("json_quarantine")
-def json_quarantine(spark, sf_dir):
-    """SRC7: 'error' events arrive with a damaged payload; they are quarantined with
-    their offset and key, every other message decodes."""
-    msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
-    env = messages.to_envelope(msgs, "user", "id", carry=["category"])
-    env = fixtures.truncate_payloads(env, F.col("category") == "error").drop("category")
-    flagged = messages.decode_with_quarantine(env, keep=["key", "offset"])
-    _, bad = messages.split_quarantine(flagged)
-    return bad.select("offset", F.col("key").cast("string").alias("key"))
-
-
-def _silver_and_alerts(spark, sf_dir):
-    root = work_dir(spark, "silver_alerts")
-    msgs = fixtures.messages_from_orders(table(spark, sf_dir, "orders"))
-    streams.write_envelope(messages.to_envelope(msgs, "user", "id"), f"{root}/input")
-    streams.run_silver_and_alerts(spark, f"{root}/input", f"{root}/silver", f"{root}/alerts", f"{root}/chk",
-                                  V.ALERT_THRESHOLD)
-    return root
-
-
-@register("stream_to_silver")
-def stream_to_silver(spark, sf_dir):
-    """Stream of order messages -> amount > 0 -> parquet partitioned by category."""
-    root = _silver_and_alerts(spark, sf_dir)
-    schema = "id BIGINT, user STRING, amount DOUBLE, timestamp BIGINT, category STRING"
-    return spark.read.schema(schema).parquet(f"{root}/silver")
-
-
-@register("stream_alerts")
-def stream_alerts(spark, sf_dir):
-    """The alert query beside the silver one: amount > 10,000."""
-    root = _silver_and_alerts(spark, sf_dir)
-    return spark.read.parquet(f"{root}/alerts")
-
-
-@register("sliding_window_stream")
-def sliding_window_stream(spark, sf_dir):
-    """STR1 as a stream drained by available-now: windows are emitted once the
-    watermark (max event time - 15 min) passes their end; delivered through the
-    multi-sink batch function."""
-    root = work_dir(spark, "sliding")
-    streams.write_envelope(_event_envelope(spark, sf_dir), f"{root}/input")
-    ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input"))
-    q = streams.start_window_stats(ev, streams.multi_sink(streams.parquet_batch_sink(f"{root}/windows")),
-                                   f"{root}/chk")
-    streams.await_all([q])
-    out = spark.read.parquet(f"{root}/windows").drop("batch_id")
-    return out.select("window_start", "window_end", "category", C.money("total_sum").alias("total_sum"),
-                      "tx_count")
-
-
-@register("incremental_summing")
-def incremental_summing(spark, sf_dir):
-    """STR7: the summing view kept up per micro-batch, read back with the collapse."""
-    root = work_dir(spark, "summing_view")
-    streams.write_envelope(_event_envelope(spark, sf_dir), f"{root}/input")
-    ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input")).drop("event_time")
-    now = F.lit(fixtures.FIXED_NOW).cast("timestamp")
-    q = streams.start_view(ev, streams.summing_view_sink(f"{root}/view", now), f"{root}/chk")
-    streams.await_all([q])
-    return streams.read_summing_view(spark, f"{root}/view")
-
-
-@register("incremental_latest")
-def incremental_latest(spark, sf_dir):
-    """STR7: the latest-version view kept up per micro-batch, collapsed at read."""
-    root = work_dir(spark, "latest_view")
-    msgs = fixtures.account_messages(table(spark, sf_dir, "events"))
-    streams.write_envelope(messages.to_envelope(msgs, "user", "seq"), f"{root}/input")
-    ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input"), extra="seq BIGINT").drop("event_time")
-    q = streams.start_view(ev, streams.latest_view_sink(f"{root}/view"), f"{root}/chk")
-    streams.await_all([q])
-    return streams.read_latest_view(spark, f"{root}/view")
-
-
-# --- files and layout (SNK1, SNK8, SNK9, CHG6, CHG7) ---------------------------------
-
-import datetime as _dt  # noqa: E402
-
-from txflow.operators import files  # noqa: E402
-from txflow.sinks import writers  # noqa: E402
-
-ARCHIVE_DAY = _dt.date(2024, 1, 31)
-
-
-@register("silver_roundtrip")
-def silver_roundtrip(spark, sf_dir):
-    """SNK1 + SRC3: silver written as parquet (overwrite), read back with a projection."""
-    path = writers.overwrite_parquet(silver(spark, sf_dir), f"{work_dir(spark, 'silver')}/data")
-    return parquet_scan(spark, path, cleaning.SILVER_COLUMNS)
-
-
-@register("compact")
-def compact(spark, sf_dir):
-    """CHG7: silver in small files, rewritten toward 128 MB files; the rows are the same."""
-    root = work_dir(spark, "compact")
-    silver(spark, sf_dir).repartition(16).write.parquet(f"{root}/small")
-    files.compact(spark, f"{root}/small", f"{root}/compacted", cluster_cols=["id"])
-    return spark.read.parquet(f"{root}/compacted")
-
-
-@register("file_report")
-def file_report(spark, sf_dir):
-    """CHG6: per-file record counts of the laid-out transactions table (no oracle: paths)."""
-    root = work_dir(spark, "layout")
-    laid = files.layout_columns(_target(spark, sf_dir))
-    files.write_partitioned(laid, f"{root}/table", ["month"])
-    return files.file_report(spark, f"{root}/table", ["month"])
-
-
-@register("partition_profile")
-def partition_profile(spark, sf_dir):
-    """SNK9: transactions written by (month) with day and user bucket columns, read back
-    and profiled per (month, day)."""
-    root = work_dir(spark, "layout")
-    laid = files.layout_columns(_target(spark, sf_dir))
-    files.write_partitioned(laid, f"{root}/table", ["month"], ["dt", "user_bucket"])
-    return files.partition_profile(spark.read.parquet(f"{root}/table"))
-
-
-@register("archive_by_day")
-def archive_by_day(spark, sf_dir):
-    """SNK8 re-aimed: the day's silver copied under archive_date=2024-01-31, read back."""
-    root = work_dir(spark, "archive")
-    return files.archive_by_day(silver(spark, sf_dir), f"{root}/archive", ARCHIVE_DAY)
