@@ -1,0 +1,49 @@
+"""first_n: exact n smallest keys without a single-task top-n for large n."""
+
+from pyspark.sql import functions as F
+
+from txflow.operators.topn import first_n
+
+
+def keys(df):
+    return sorted(r.k for r in df.collect() if r.k is not None)
+
+
+def test_matches_sort_limit(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), F.col("id").alias("v"))
+    got = first_n(df, "k", 1234, small_n=10, buckets=64, funnel_rows=0)
+    assert got.count() == 1234
+    assert keys(got) == sorted(r.k for r in df.collect())[:1234]
+
+
+def test_hot_tied_key_at_the_cut(spark):
+    # a third of the rows share key 5, and the cut falls inside them
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") + 10)
+                                  .alias("k"), F.col("id").alias("v"))
+    got = first_n(df, "k", 700, small_n=10, buckets=64, funnel_rows=0)
+    assert got.count() == 700 and set(keys(got)) == {5}
+    assert got.select("v").distinct().count() == 700         # distinct rows, no copies needed
+
+
+def test_identical_rows_at_the_cut(spark):
+    df = spark.range(500).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+    got = first_n(df, "k", 300, small_n=10, buckets=64, funnel_rows=0)
+    assert got.count() == 300
+
+
+def test_nulls_last_and_short_input(spark):
+    df = spark.createDataFrame([(None, "a"), (2, "b"), (1, "c"), (None, "d")], "k int, v string")
+    got = first_n(df, "k", 3, small_n=0, buckets=4096, funnel_rows=0).collect()
+    assert len(got) == 3 and sorted(r.k for r in got if r.k is not None) == [1, 2]
+    assert first_n(df, "k", 10, small_n=0, funnel_rows=0).count() == 4
+
+
+def test_small_n_is_plain_top_k(spark):
+    df = spark.range(100).select(F.col("id").alias("k"))
+    assert keys(first_n(df, "k", 5)) == [0, 1, 2, 3, 4]
+
+
+def test_bounded_funnel_uses_plain_top_n(spark):
+    df = spark.range(100_000).select(F.col("id").alias("k"))
+    plan = first_n(df, "k", 50_000)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan

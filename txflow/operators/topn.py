@@ -1,0 +1,91 @@
+"""The first n rows in key order, for large n, without one task seeing n rows per partition.
+
+``orderBy(key).limit(n)`` plans as TakeOrderedAndProject: every map task keeps its own
+top n and ONE task merges n x (number of partitions) rows. That is right for a
+report's top 100; for n in the tens of thousands over thousands of partitions it
+funnels billions of rows into one task. ``first_n`` finds the n-th smallest key
+instead, by refining a histogram of the key: each round is one aggregate whose result
+has at most ``buckets`` rows, and the range shrinks by that factor per round (at most
+a handful of rounds for a 64-bit key). Rows strictly below the cut are kept by a
+filter; only the rows sharing the cut value need choosing, and ties among them are
+broken by a hash of the whole row (then any copy of identical rows will do).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SMALL_N = 10_000
+BUCKETS = 4096
+# most rows the plain top-n may funnel into its one merging task (n x input partitions)
+FUNNEL_ROWS = 20_000_000
+
+
+def _cut(df: DataFrame, value: Column, need: int, buckets: int) -> tuple[object, int]:
+    """Smallest v such that count(value <= v) >= need, and count(value < v).
+
+    ``value`` is a non-NULL integral column; returns (v, rows strictly below v).
+    """
+    r = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+    lo, hi, below = r["lo"], r["hi"], 0
+    while lo < hi:
+        width = (hi - lo) // buckets + 1
+        # decimal arithmetic: value - lo can exceed the long range for 64-bit hashes
+        off = value.cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)")
+        b = F.floor(off / F.lit(width)).cast("long")
+        counts = (df.filter((value >= lo) & (value <= hi)).groupBy(b.alias("b"))
+                  .agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect())   # <= buckets rows
+        for row in counts:
+            if below + row["n"] >= need:
+                lo, hi = lo + row["b"] * width, min(hi, lo + (row["b"] + 1) * width - 1)
+                break
+            below += row["n"]
+        else:
+            raise ValueError(f"fewer than {need} rows in range")
+        if width == 1:
+            break
+    return lo, below
+
+
+def first_n(df: DataFrame, key: str, n: int, small_n: int = SMALL_N, buckets: int = BUCKETS,
+            funnel_rows: int = FUNNEL_ROWS) -> DataFrame:
+    """Exactly min(n, rows) rows: the smallest keys first, NULL keys last (CLN13).
+
+    The plain top-n is used while its merge task is provably small: n <= small_n, or
+    n x input partitions <= funnel_rows (known when the plan is built, no job runs).
+    ``key`` must be integral (ids, epochs); other orderable keys can be mapped to one.
+    """
+    if n <= small_n or n * df.rdd.getNumPartitions() <= funnel_rows:
+        return df.orderBy(F.col(key).asc_nulls_last()).limit(n)
+    k = F.col(key)
+    sizes = df.agg(F.count(F.lit(1)).alias("rows"), F.count(k).alias("keyed")).first()
+    if sizes["rows"] <= n:
+        return df
+    non_null = df.filter(k.isNotNull())
+    total = sizes["keyed"]
+    if total <= n:
+        # every keyed row, then NULL-key rows in the order of a row hash (never NULL)
+        nulls = df.filter(k.isNull())
+        order = nulls.withColumn("_null_order", F.xxhash64(*df.columns))
+        return non_null.unionByName(first_n(order, "_null_order", n - total, small_n, buckets)
+                                    .drop("_null_order"))
+    v, below = _cut(non_null, k, n, buckets)
+    kept = non_null.filter(k < F.lit(v))
+    tied = non_null.filter(k == F.lit(v))
+    need = n - below
+    if need <= small_n:
+        return kept.unionByName(tied.orderBy(F.xxhash64(*df.columns)).limit(need))
+    # many rows share the cut key: order them by a hash of the row and cut again
+    h = F.xxhash64(*df.columns)
+    hv, hbelow = _cut(tied.select("*", h.alias("_h")), F.col("_h"), need, buckets)
+    tied_h = tied.select("*", h.alias("_h"))
+    chosen = tied_h.filter(F.col("_h") < F.lit(hv)).drop("_h")
+    rest = need - hbelow
+    same = tied_h.filter(F.col("_h") == F.lit(hv)).drop("_h")
+    if rest <= small_n:
+        return kept.unionByName(chosen).unionByName(same.limit(rest))
+    # identical rows (same key, same hash): any `rest` copies of one row will do
+    one = same.limit(1)
+    copies = one.select("*", F.explode(F.sequence(F.lit(1), F.lit(rest))).alias("_c")).drop("_c")
+    return kept.unionByName(chosen).unionByName(copies)

@@ -30,9 +30,12 @@ def enrich(messages: DataFrame, key: str = "id") -> DataFrame:
 
 
 def head_by_key(df: DataFrame, key: str = "id", n: int = V.PRODUCER_MAX_INDEX + 2) -> DataFrame:
-    """The first n rows in key order (CLN13). Planned as TakeOrderedAndProject: each
-    task keeps its own top n, so only n x tasks rows move."""
-    return df.orderBy(F.col(key).asc_nulls_last()).limit(n)
+    """The first n rows in key order (CLN13): the producer's cap of 80,002 messages.
+    For a cap this large the cut key is found by histogram refinement
+    (``operators.topn.first_n``) instead of funnelling n rows per partition into one
+    task."""
+    from txflow.operators.topn import first_n
+    return first_n(df, key, n)
 
 
 def to_envelope(messages: DataFrame, key: str = "user", offset: str = "id", event_time: str | None = None,
