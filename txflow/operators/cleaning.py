@@ -59,7 +59,8 @@ def clean_literal(raw: DataFrame) -> DataFrame:
 
 
 def intended_whitelist() -> list[str]:
-    return sorted({C_.upper() for C_ in V.VALID_CATEGORIES if C_.strip()})
+    """The whitelist in the data's case; the blank entry cannot survive normalising."""
+    return sorted({c.upper() for c in V.VALID_CATEGORIES if c.strip()})
 
 
 def clean_intended(raw: DataFrame) -> DataFrame:
