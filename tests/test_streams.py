@@ -26,10 +26,10 @@ def write_file(spark, path, rows):
     time.sleep(1.1)  # file source orders by modification time
 
 
-def run_windows(spark, inp, out, chk, window="10 minutes", slide="10 minutes"):
+def run_windows(spark, inp, out, chk, window="10 minutes", slide="10 minutes", **kw):
     ev = streams.decoded(streams.envelope_stream(spark, inp, max_files_per_trigger=1))
     q = streams.start_window_stats(ev, streams.multi_sink(streams.parquet_batch_sink(out)), chk,
-                                   window=window, slide=slide)
+                                   window=window, slide=slide, **kw)
     streams.await_all([q])
 
 
@@ -56,7 +56,7 @@ def test_late_rows_dropped_only_when_their_window_closed(spark, tmp):
 def test_restart_from_checkpoint_emits_each_window_once(spark, tmp):
     inp, out, chk = f"{tmp}/in", f"{tmp}/out", f"{tmp}/chk"
     write_file(spark, inp, [(1, 0, "a", 1.0), (2, 30, "a", 1.0)])
-    run_windows(spark, inp, out, chk)
+    run_windows(spark, inp, out, chk, state_partitions=3, state_store="rocksdb")
     first = windows_out(spark, out)
     assert first == [("10:00", "a", 1)]
     write_file(spark, inp, [(3, 35, "a", 2.0), (4, 80, "b", 1.0)])

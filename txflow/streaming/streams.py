@@ -27,6 +27,11 @@ from txflow.sources import messages, schemas
 # checkpoint at the first start and far too few for a cluster, so by default the
 # session's width is kept and callers size it for the data (e.g. 2-4x the cores).
 SOURCE_STATE_PARTITIONS = 4
+STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+STATE_STORES = {
+    "hdfs": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+    "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
 
 
 # --- sources ------------------------------------------------------------------
@@ -169,27 +174,35 @@ def multi_sink(*sinks: BatchSink, flatten: bool = True) -> Callable[[DataFrame,
 def start_window_stats(events: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
                        available_now: bool = True, watermark: str = V.WATERMARK_DELAY,
                        window: str = V.SLIDING_WINDOW, slide: str = V.SLIDING_SLIDE,
-                       state_partitions: int | None = None) -> StreamingQuery:
+                       state_partitions: int | None = None, state_store: str | None = None) -> StreamingQuery:
     """STR1 + STR3 + SNK4: watermark, sliding window per category, append mode, every
     emitted window delivered through ``sink`` (e.g. ``multi_sink``).
 
     ``state_partitions`` sets the state store width for a *new* checkpoint (later
     restarts keep the width recorded in the checkpoint); default: the session's
-    ``spark.sql.shuffle.partitions``. Partial aggregation happens before the state
-    shuffle, so a hot category costs one row per task and window, not all its rows.
+    ``spark.sql.shuffle.partitions``. ``state_store="rocksdb"`` keeps window state in
+    RocksDB (off-heap, incremental checkpoints) instead of executor heap maps, for
+    large state. Partial aggregation happens before the state shuffle, so a hot
+    category costs one row per task and window, not all its rows.
     """
     spark = events.sparkSession
     stats = windows.sliding_window_stats(events, "event_time", "category", "amount", "id",
                                          window, slide, watermark)
     # the query takes a copy of the session conf when it starts, so the old value is
     # restored right after
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = {}
     if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_store:
+        settings[STATE_STORE_KEY] = STATE_STORES[state_store]
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         return _stream_writer(stats, checkpoint, available_now, None).foreachBatch(sink).start()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 # --- continuous views (STR7) -----------------------------------------------------
