@@ -116,3 +116,20 @@ def test_quarantine_sink(spark, tmp):
     strict = streams.quarantine_sink(streams.parquet_batch_sink(f"{tmp}/good2"), f"{tmp}/bad2", limit=1)
     with pytest.raises(messages.TooManyBrokenMessages):
         strict(env, 8)
+
+
+def test_views_fold_to_same_answer(spark, tmp):
+    msgs = msg_rows(spark, [(1, 0, "a", 1.0), (1, 3, "a", 2.0), (2, 15, " n/a", 4.0)]) \
+        .withColumn("seq", F.col("id") * 10 + F.col("timestamp") % 7)
+    summing = streams.summing_view_sink(f"{tmp}/s")
+    latest = streams.latest_view_sink(f"{tmp}/l")
+    for i, part in enumerate([msgs.filter("timestamp % 2 = 0"), msgs.filter("timestamp % 2 = 1")]):
+        summing(part, i)
+        latest(part.withColumn("event_time", F.timestamp_seconds("timestamp")), i)
+    before_s = sorted(map(tuple, streams.read_summing_view(spark, f"{tmp}/s").collect()))
+    before_l = sorted(map(tuple, streams.read_latest_view(spark, f"{tmp}/l").collect()))
+    streams.fold_view(spark, f"{tmp}/s", f"{tmp}/s2", "summing")
+    streams.fold_view(spark, f"{tmp}/l", f"{tmp}/l2", "latest")
+    assert sorted(map(tuple, streams.read_summing_view(spark, f"{tmp}/s2").collect())) == before_s
+    assert sorted(map(tuple, streams.read_latest_view(spark, f"{tmp}/l2").collect())) == before_l
+    assert {r.category for r in streams.read_summing_view(spark, f"{tmp}/s2").collect()} == {"A", "UNKNOWN"}

@@ -261,3 +261,21 @@ def quarantine_sink(good: BatchSink, bad_path: str, limit: int = V.MAX_BROKEN_ME
         finally:
             flagged.unpersist()
     return sink
+
+
+def fold_view(spark: SparkSession, path: str, out_path: str, kind: str) -> str:
+    """Background merge of a continuous view: collapse all per-batch partials into one
+    baseline partition (labelled with the newest folded batch id) in a new directory.
+    Readers get the same answer from ``out_path`` with one partial instead of many;
+    new batches can keep landing beside it. ``kind`` is 'summing' or 'latest'."""
+    parts = spark.read.parquet(path)
+    last = parts.agg(F.max("batch_id")).first()[0]
+    rows = parts.drop("batch_id")
+    if kind == "summing":
+        folded = collapse.collapse_summing(rows)
+    elif kind == "latest":
+        folded = collapse.latest_version(rows, [F.to_date("event_time"), "id"], "timestamp", "seq")
+    else:
+        raise ValueError(kind)
+    parquet_batch_sink(out_path)(folded, int(last))
+    return out_path
