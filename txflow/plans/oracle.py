@@ -400,3 +400,9 @@ SELECT strftime(ts, '%Y%m') AS month, CAST(ts AS DATE) AS dt, count(*) AS rows F
 
 SQL["archive_by_day"] = with_(INTENDED) + """
 SELECT *, DATE '2024-01-31' AS archive_date FROM silver"""
+
+# an empty cell reads back as NULL (CSV has one spelling for both)
+SQL["csv_declared"] = with_(DIRTY) + """
+SELECT id, user_id, NULLIF(amount, '') AS amount, NULLIF(category, '') AS category,
+  NULLIF("timestamp", '') AS "timestamp", NULLIF(city, '') AS city FROM raw"""
+SQL["csv_inferred"] = SQL["csv_declared"]

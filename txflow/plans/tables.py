@@ -6,11 +6,11 @@ import datetime as _dt
 
 from txflow.functions import values as V
 from txflow.operators import changes, cleaning, files, reports
-from txflow.plans.registry import change_log, register, silver, target_table
+from txflow.plans.registry import change_log, raw_transactions, register, silver, target_table
 from txflow.session import work_dir
 from txflow.sinks import writers
 from txflow.sources import fixtures
-from txflow.sources.tables import parquet_scan, table
+from txflow.sources.tables import csv_declared, csv_inferred, parquet_scan, table
 
 
 # --- changing tables (CHG1-5, CHG9, SRC8) ----------------------------------------
@@ -106,3 +106,18 @@ def archive_by_day(spark, sf_dir):
     """SNK8 re-aimed: the day's silver copied under archive_date=2024-01-31, read back."""
     root = work_dir(spark, "archive")
     return files.archive_by_day(silver(spark, sf_dir), f"{root}/archive", ARCHIVE_DAY)
+
+
+@register("csv_declared")
+def csv_declared_q(spark, sf_dir):
+    """SRC1: the raw transactions as CSV, read back with the declared DDL schema; an
+    empty cell comes back as NULL, as with the reader's defaults."""
+    path = writers.write_csv(raw_transactions(spark, sf_dir), f"{work_dir(spark, 'csv')}/raw")
+    return csv_declared(spark, path)
+
+
+@register("csv_inferred")
+def csv_inferred_q(spark, sf_dir):
+    """SRC2: the same CSV with an inferred schema (one extra pass decides the types)."""
+    path = writers.write_csv(raw_transactions(spark, sf_dir), f"{work_dir(spark, 'csv')}/raw")
+    return csv_inferred(spark, path)

@@ -13,6 +13,13 @@ def overwrite_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_csv(df: DataFrame, path: str) -> str:
+    """CSV with a header, cell text kept exactly (Spark's writer trims blanks by default)."""
+    (df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
 def append_parquet(df: DataFrame, path: str) -> str:
     """SNK6 on a path: append files."""
     df.write.mode("append").parquet(path)
