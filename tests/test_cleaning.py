@@ -86,3 +86,36 @@ def test_pick_is_reproducible_and_spread(spark):
     df = spark.range(3000).select(C.pick("id", ["a", "b", "c"], salt=1).alias("p"))
     counts = {r.p: r["count"] for r in df.groupBy("p").count().collect()}
     assert set(counts) == {"a", "b", "c"} and min(counts.values()) == 1000
+
+
+def test_summing_rounds_half_even_and_reports_half_up(spark):
+    """The summing view rounds a float amount to cents with ties to even (that
+    engine's float rounding); the batch reports round half up, as Spark does."""
+    from txflow.operators import collapse
+    df = spark.createDataFrame([(0.125, 1), (0.375, 1), (2.5, 1)], "amount DOUBLE, timestamp BIGINT")
+    df = df.withColumn("category", F.lit("x"))
+    got = [r.total_sum for r in collapse.summing_rows(df).collect()]
+    assert [float(x) for x in got] == [0.12, 0.38, 2.5]
+    assert [r.m for r in df.select(C.money("amount").alias("m")).collect()] == [0.13, 0.38, 2.5]
+
+
+def test_shared_root_refuses_local_temp_on_a_cluster():
+    from txflow import session
+
+    class Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, k, default=None):
+            return default
+
+    class FakeSpark:
+        sparkContext = Ctx()
+        conf = Conf()
+
+    import pytest
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(FakeSpark())

@@ -69,3 +69,22 @@ def test_top_k_limits_hot_group_before_shuffle(spark, skewed):
     top = reports.top_k_per_group(skewed.fillna(-1, ["id"]), "category", "amount", 3)
     assert "WindowGroupLimit" in final_plan(top)
     assert top.filter("category = 'HOT'").count() == 3
+
+
+def test_merge_shuffle_path_combines_hot_target_key(spark, skewed):
+    """A third of the target shares id 0: the insert branch's anti join sees that key
+    pre-combined (partial aggregate before its shuffle), and every target row with
+    the key is updated."""
+    from txflow.operators import changes
+    target = skewed.select(F.coalesce("id", F.lit(0)).alias("id"), "amount")
+    source = spark.range(0, 200_000, 1000).select(F.col("id").cast("int").alias("id"),
+                                                  F.lit(-1.0).alias("amount"))
+    out = changes.merge_upsert(target, source, "id", ["amount"], max_broadcast_rows=0)
+    plan = final_plan(out)
+    # the distinct of the target keys: a partial HashAggregate feeds the anti join
+    assert "LeftAnti" in plan and plan.count("HashAggregate") >= 2
+    assert out.filter("id = 0 AND amount = -1.0").count() == N // 3
+    target_ids = {0} | {i for i in range(N) if i % 3}
+    inserts = [i for i in range(0, 200_000, 1000) if i not in target_ids]
+    assert out.count() == N + len(inserts)
+    assert out.filter("amount = -1.0").count() == N // 3 + (200 - len(inserts) - 1) + len(inserts)

@@ -39,10 +39,16 @@ def tolerant_cast(col: ColumnOrName, to: str) -> Column:
 
 
 def money(col: ColumnOrName) -> Column:
-    """Round to cents, half up (CLN18)."""
+    """Round to cents, half up (CLN18), as the batch reports do."""
     return F.round(_c(col), 2)
 
 
+def money_half_even(col: ColumnOrName) -> Column:
+    """Round a float to cents, ties to even: the summing view's ``round(amount, 2)``
+    on a Float64 column (that engine rounds floats half to even)."""
+    return F.bround(_c(col), 2)
+
+
 # --- time ---------------------------------------------------------------------
 
 def parse_timestamp(col: ColumnOrName) -> Column:

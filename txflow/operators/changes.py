@@ -62,7 +62,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str = "id",
                    .distinct())
         inserts = source.join(F.broadcast(matched), key, "left_anti")
     else:
-        inserts = source.join(target.select(key), key, "left_anti")
+        # distinct first: its partial aggregate collapses a hot target key to one
+        # row per map task, so the anti join's build side never holds it whole
+        inserts = source.join(target.select(key).distinct(), key, "left_anti")
     return updated.unionByName(inserts.select(*target.columns))
 
 

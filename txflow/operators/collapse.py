@@ -48,7 +48,7 @@ def summing_rows(messages: DataFrame, now: Column | None = None) -> DataFrame:
     return messages.select(
         C.to_wall_clock(F.window(when, V.SUMMING_BUCKET).start).alias("timer"),
         C.category_multiif("category").alias("category"),
-        C.money("amount").cast("decimal(18,2)").alias("total_sum"),
+        C.money_half_even("amount").cast("decimal(18,2)").alias("total_sum"),
         F.lit(1).cast("bigint").alias("tx_count"),
     )
 

@@ -252,7 +252,7 @@ SQL["summing_10min"] = with_(MSG_EVENTS) + f"""
 SELECT time_bucket(INTERVAL 10 MINUTE, CASE WHEN "timestamp" = 0 THEN TIMESTAMP '2024-02-01 00:00:00'
          ELSE make_timestamp("timestamp" * 1000000) END) AS timer,
   {_multiif('category')} AS category,
-  CAST(sum(CAST(round(amount, 2) AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_sum,
+  CAST(sum(CAST(round_even(amount, 2) AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_sum,
   CAST(count(*) AS BIGINT) AS tx_count
 FROM msg GROUP BY 1, 2"""
 

@@ -61,6 +61,10 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # a driver-local folder is invisible to executors and dies with a node
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or "
+                               "an object store) before running txflow jobs on a cluster")
         root = tempfile.mkdtemp(prefix="txflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root

@@ -159,11 +159,13 @@ def multi_sink(*sinks: BatchSink, flatten: bool = True) -> Callable[[DataFrame,
     """SNK4: one micro-batch to several sinks. Empty batches are skipped; the batch is
     computed once (persisted) and flattened before any sink sees it."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # persisted before the emptiness check, so the micro-batch plan (state
+        # store reads included) runs once for the check and every sink
         out = windows.flatten_window(batch) if flatten and "window" in batch.columns else batch
         out = out.persist()
         try:
+            if out.isEmpty():
+                return
             for s in sinks:
                 s(out, batch_id)
         finally:
