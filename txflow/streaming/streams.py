@@ -137,8 +137,15 @@ def jdbc_batch_sink(url: str, table: str, properties: dict[str, str] | None = No
     """JDBC append with a ``batch_id`` column; a batch already present is skipped on
     replay (checked with one pushed-down count; Spark creates the column quoted, so
     it is quoted in the check too). Struct columns must be flattened first (JDBC has
-    no struct type)."""
-    props = dict(properties or {})
+    no struct type).
+
+    Spark's JDBC writer commits once per partition, so a write cut off half way
+    would leave part of a batch that the replay check then skips. The batch is
+    therefore written by one writer, in one transaction: all of it or none. The
+    rows are a micro-batch's closed windows (windows x categories under the rate
+    cap), not raw events, so one writer is enough and the database is the limit.
+    """
+    props = {**(properties or {}), "numPartitions": "1"}
 
     def sink(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
