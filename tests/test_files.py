@@ -106,3 +106,14 @@ def test_append_table(spark, tmp):
     writers.append_table(df, "tx_append_t", f"{tmp}/wh/tx_append_t")
     assert spark.table("tx_append_t").count() == 20
     spark.sql("DROP TABLE tx_append_t")
+
+
+def test_scale_settings_size_partitions_to_the_input():
+    from txflow.session import MB, scale_settings
+    big = scale_settings(100 * 1024 ** 4, cores=8000)          # 100 TB on 1000 x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 96_000   # capped at 100k, whole waves
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 * MB
+    mid = scale_settings(1024 ** 4, cores=800)                 # 1 TB: 4096 splits -> 4800 (6 waves)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 4800
+    small = scale_settings(10 * MB, cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16    # at least two tasks per core

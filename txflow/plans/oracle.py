@@ -355,6 +355,10 @@ SELECT * FROM log WHERE version > (SELECT version FROM cut)"""
 SQL["view_projection"] = with_(TARGET) + """
 SELECT "user", amount, ts FROM target"""
 
+SQL["append_table"] = """
+SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount,
+  o_orderdate AS ts FROM orders"""
+
 SQL["peek_ordered"] = with_(TARGET) + """
 SELECT * FROM target ORDER BY id LIMIT 5"""
 

@@ -9,7 +9,7 @@ from txflow.operators import changes, cleaning, files, reports
 from txflow.plans.registry import change_log, raw_transactions, register, silver, target_table
 from txflow.session import work_dir
 from txflow.sinks import writers
-from txflow.sources import fixtures
+from txflow.sources import fixtures, schemas
 from txflow.sources.tables import csv_declared, csv_inferred, parquet_scan, table
 
 
@@ -52,6 +52,21 @@ def view_projection(spark, sf_dir):
     return changes.view_projection(spark, target_table(spark, sf_dir), "transactions_old", ["user", "amount", "ts"])
 
 
+@register("append_table")
+def append_table_q(spark, sf_dir):
+    """SNK6 + CHG10: the table is created when missing from the fixed DDL (a second
+    create is a no-op), then two loads are appended to it: the live orders, later
+    the pending ones. Read back, it holds every order once."""
+    root = work_dir(spark, "append")
+    name = "txflow_tx_" + root.rsplit("-", 1)[1]
+    orders = table(spark, sf_dir, "orders")
+    for _ in range(2):
+        changes.ensure_table(spark, name, schemas.VERSIONED_TRANSACTIONS, location=f"{root}/table")
+    writers.append_table(fixtures.versioned_transactions(orders), name)
+    writers.append_table(fixtures.pending_transactions(orders), name)
+    return spark.table(name)
+
+
 @register("peek_ordered")
 def peek_ordered(spark, sf_dir):
     return reports.peek_ordered(target_table(spark, sf_dir), 5, "id")

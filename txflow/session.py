@@ -41,6 +41,38 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+MB = 1024 * 1024
+
+
+def scale_settings(input_bytes: int, cores: int, partition_bytes: int = 256 * MB,
+                   max_partitions: int = 100_000) -> dict[str, str]:
+    """Session settings sized for ``input_bytes`` of input on ``cores`` executor cores.
+
+    * Scan splits of ``partition_bytes`` (``spark.sql.files.maxPartitionBytes``):
+      100 TB in 256 MB splits is about 400k scan tasks, each well inside a core's
+      share of executor memory.
+    * Initial shuffle width = input / ``partition_bytes``, at least 2 x cores, at
+      most ``max_partitions`` (map x reduce shuffle blocks grow with its square; past
+      the cap a partition grows and the sort spills instead). Shuffled bytes are
+      rarely more than the input: the aggregates here shuffle partial rows.
+      Adaptive execution then coalesces small partitions toward half a split and
+      splits any partition over a full split (the hot-key case) for joins.
+    """
+    n = -(-max(int(input_bytes), 1) // partition_bytes)
+    n = max(2 * cores, min(n, max_partitions))
+    n = -(-n // cores) * cores   # whole waves of tasks
+    if n > max_partitions:
+        n = max(cores, max_partitions // cores * cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the session settings the operators assume (idempotent)."""
     for k, v in SESSION_DEFAULTS.items():

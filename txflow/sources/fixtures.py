@@ -112,9 +112,8 @@ def messages_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def versioned_transactions(orders: DataFrame) -> DataFrame:
-    """Merge target: the live table holds every order that is not pending."""
-    return orders.filter(F.col("o_orderstatus") != "P").select(
+def _as_versioned(orders: DataFrame) -> DataFrame:
+    return orders.select(
         F.col("o_orderkey").cast("int").alias("id"),
         F.col("o_custkey").cast("string").alias("user"),
         F.col("o_totalprice").alias("amount"),
@@ -122,6 +121,16 @@ def versioned_transactions(orders: DataFrame) -> DataFrame:
     )
 
 
+def versioned_transactions(orders: DataFrame) -> DataFrame:
+    """Merge target: the live table holds every order that is not pending."""
+    return _as_versioned(orders.filter(F.col("o_orderstatus") != "P"))
+
+
+def pending_transactions(orders: DataFrame) -> DataFrame:
+    """The pending orders in the same shape: a later load appended to the table."""
+    return _as_versioned(orders.filter(F.col("o_orderstatus") == "P"))
+
+
 def settlements(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Merge source: one row per order that has line items, with the settled amount
     (sum of net price with tax, to cents) and the last ship date."""
