@@ -155,3 +155,13 @@ def test_views_fold_to_same_answer(spark, tmp):
     assert sorted(map(tuple, streams.read_summing_view(spark, f"{tmp}/s2").collect())) == before_s
     assert sorted(map(tuple, streams.read_latest_view(spark, f"{tmp}/l2").collect())) == before_l
     assert {r.category for r in streams.read_summing_view(spark, f"{tmp}/s2").collect()} == {"A", "UNKNOWN"}
+
+
+def test_state_width_follows_cores_not_a_huge_batch_width(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "96000")
+    try:
+        assert streams.default_state_width(spark) == 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert streams.default_state_width(spark) == min(int(before), 2 * spark.sparkContext.defaultParallelism)

@@ -34,6 +34,12 @@ STATE_STORES = {
 }
 
 
+def default_state_width(spark: SparkSession) -> int:
+    """min(session shuffle width, 2 x cores): the width of a new stream's state."""
+    session_width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(session_width, 2 * spark.sparkContext.defaultParallelism))
+
+
 # --- sources ------------------------------------------------------------------
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
@@ -188,8 +194,11 @@ def start_window_stats(events: DataFrame, sink: Callable[[DataFrame, int], None]
     emitted window delivered through ``sink`` (e.g. ``multi_sink``).
 
     ``state_partitions`` sets the state store width for a *new* checkpoint (later
-    restarts keep the width recorded in the checkpoint); default: the session's
-    ``spark.sql.shuffle.partitions``. ``state_store="rocksdb"`` keeps window state in
+    restarts keep the width recorded in the checkpoint). Default: the session's
+    shuffle width, but at most two tasks per core: a batch cluster sized for 100 TB
+    scans may run tens of thousands of shuffle partitions, and every micro-batch
+    would then start that many state tasks forever, while the state itself is only
+    windows x categories. ``state_store="rocksdb"`` keeps window state in
     RocksDB (off-heap, incremental checkpoints) instead of executor heap maps, for
     large state. Partial aggregation happens before the state shuffle, so a hot
     category costs one row per task and window, not all its rows.
@@ -199,9 +208,7 @@ def start_window_stats(events: DataFrame, sink: Callable[[DataFrame, int], None]
                                          window, slide, watermark)
     # the query takes a copy of the session conf when it starts, so the old value is
     # restored right after
-    settings = {}
-    if state_partitions:
-        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    settings = {"spark.sql.shuffle.partitions": str(state_partitions or default_state_width(spark))}
     if state_store:
         settings[STATE_STORE_KEY] = STATE_STORES[state_store]
     before = {k: spark.conf.get(k, None) for k in settings}
