@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 SMALL_N = 10_000
 BUCKETS = 4096
-# most rows the plain top-n may funnel into its one merging task (n x input partitions)
+# most rows the plain top-n may funnel into its one merging task; that task never
+# sees more rows than the input has
 FUNNEL_ROWS = 20_000_000
 
 
@@ -52,16 +53,21 @@ def first_n(df: DataFrame, key: str, n: int, small_n: int = SMALL_N, buckets: in
             funnel_rows: int = FUNNEL_ROWS) -> DataFrame:
     """Exactly min(n, rows) rows: the smallest keys first, NULL keys last (CLN13).
 
-    The plain top-n is used while its merge task is provably small: n <= small_n, or
-    n x input partitions <= funnel_rows (known when the plan is built, no job runs).
+    The plain top-n is used while its merge task is provably small: n <= small_n,
+    or the whole input is at most ``funnel_rows`` rows (one counting job, which
+    reads the key column only; the partition count is not used, as finding it
+    would run the input's shuffles once more under adaptive execution).
     ``key`` must be integral (ids, epochs); other orderable keys can be mapped to one.
     """
-    if n <= small_n or n * df.rdd.getNumPartitions() <= funnel_rows:
-        return df.orderBy(F.col(key).asc_nulls_last()).limit(n)
+    plain = df.orderBy(F.col(key).asc_nulls_last()).limit(n)
+    if n <= small_n:
+        return plain
     k = F.col(key)
     sizes = df.agg(F.count(F.lit(1)).alias("rows"), F.count(k).alias("keyed")).first()
     if sizes["rows"] <= n:
         return df
+    if sizes["rows"] <= funnel_rows:
+        return plain
     non_null = df.filter(k.isNotNull())
     total = sizes["keyed"]
     if total <= n:
