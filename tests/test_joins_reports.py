@@ -77,3 +77,14 @@ def test_derived_dimensions(spark):
     assert users.count() == cust.count()
     seg = fixtures.segments_dimension(cust)
     assert {r.segment for r in seg.select("segment").distinct().collect()} <= {"VIP", "Standart", "Premium"}
+
+
+def test_declared_driver_schemas_match_the_files(spark):
+    """table() reads with a declared schema (no inference pass); it must be the
+    schema the files carry."""
+    from txflow.sources import schemas
+    from txflow.sources.tables import table
+    from tests.conftest import SF01
+    for name in schemas.DRIVER_TABLES:
+        inferred = spark.read.parquet(f"{SF01}/{name}.parquet").schema
+        assert table(spark, SF01, name).schema == inferred, name

@@ -21,3 +21,16 @@ WINDOWED_STATS_FLAT = (
 SUMMING = "timer TIMESTAMP_NTZ, category STRING, total_sum DECIMAL(18,2), tx_count BIGINT"
 LATEST = "id BIGINT, user STRING, amount DOUBLE, timestamp BIGINT, category STRING, event_time TIMESTAMP_NTZ"
 GENERATED_USERS = "id BIGINT, user STRING, ts TIMESTAMP_NTZ"
+
+# The driver tables this library reads, as stored (same at every scale factor). A
+# declared schema skips the footer read of schema inference and pins the types: a
+# file written with other types fails the scan instead of changing a result.
+DRIVER_TABLES = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}

@@ -16,8 +16,12 @@ TABLES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table. Column pruning and filter pushdown happen in the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table, with its declared schema when there is one (no inference
+    pass). Column pruning and filter pushdown happen in the scan."""
+    reader = spark.read
+    if name in schemas.DRIVER_TABLES:
+        reader = reader.schema(schemas.DRIVER_TABLES[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def parquet_scan(spark: SparkSession, path: str, columns: list[str] | None = None,
