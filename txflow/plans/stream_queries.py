@@ -17,9 +17,20 @@ from txflow.streaming import streams
 
 
 
-def _event_envelope(spark, sf_dir):
+def topic_partitions(spark) -> int:
+    """The stand-in topic has one partition per core of the consumer."""
+    return spark.sparkContext.defaultParallelism
+
+
+def _publish(spark, env_of, path):
+    """Publish messages to the stand-in topic: envelope + one file per partition."""
+    n = topic_partitions(spark)
+    return streams.write_envelope(env_of(n), path, partitions=n)
+
+
+def _event_envelope(spark, sf_dir, partitions: int = 3):
     msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
-    return messages.to_envelope(msgs, key="user", offset="id", event_time=None)
+    return messages.to_envelope(msgs, key="user", offset="id", event_time=None, partitions=partitions)
 
 
 @register("json_encode")
@@ -46,7 +57,7 @@ def json_quarantine(spark, sf_dir):
 def _silver_and_alerts(spark, sf_dir):
     root = work_dir(spark, "silver_alerts")
     msgs = fixtures.messages_from_orders(table(spark, sf_dir, "orders"))
-    streams.write_envelope(messages.to_envelope(msgs, "user", "id"), f"{root}/input")
+    _publish(spark, lambda n: messages.to_envelope(msgs, "user", "id", partitions=n), f"{root}/input")
     streams.run_silver_and_alerts(spark, f"{root}/input", f"{root}/silver", f"{root}/alerts", f"{root}/chk",
                                   V.ALERT_THRESHOLD)
     return root
@@ -73,7 +84,7 @@ def sliding_window_stream(spark, sf_dir):
     watermark (max event time - 15 min) passes their end; delivered through the
     multi-sink batch function."""
     root = work_dir(spark, "sliding")
-    streams.write_envelope(_event_envelope(spark, sf_dir), f"{root}/input")
+    _publish(spark, lambda n: _event_envelope(spark, sf_dir, n), f"{root}/input")
     ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input"))
     q = streams.start_window_stats(ev, streams.multi_sink(streams.parquet_batch_sink(f"{root}/windows")),
                                    f"{root}/chk")
@@ -87,7 +98,7 @@ def sliding_window_stream(spark, sf_dir):
 def incremental_summing(spark, sf_dir):
     """STR7: the summing view kept up per micro-batch, read back with the collapse."""
     root = work_dir(spark, "summing_view")
-    streams.write_envelope(_event_envelope(spark, sf_dir), f"{root}/input")
+    _publish(spark, lambda n: _event_envelope(spark, sf_dir, n), f"{root}/input")
     ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input")).drop("event_time")
     now = F.lit(fixtures.FIXED_NOW).cast("timestamp")
     q = streams.start_view(ev, streams.summing_view_sink(f"{root}/view", now), f"{root}/chk")
@@ -100,7 +111,7 @@ def incremental_latest(spark, sf_dir):
     """STR7: the latest-version view kept up per micro-batch, collapsed at read."""
     root = work_dir(spark, "latest_view")
     msgs = fixtures.account_messages(table(spark, sf_dir, "events"))
-    streams.write_envelope(messages.to_envelope(msgs, "user", "seq"), f"{root}/input")
+    _publish(spark, lambda n: messages.to_envelope(msgs, "user", "seq", partitions=n), f"{root}/input")
     ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input"), extra="seq BIGINT").drop("event_time")
     q = streams.start_view(ev, streams.latest_view_sink(f"{root}/view"), f"{root}/chk")
     streams.await_all([q])

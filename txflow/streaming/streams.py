@@ -44,14 +44,21 @@ def default_state_width(spark: SparkSession) -> int:
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
                  max_offsets_per_trigger: int | None = V.MAX_OFFSETS_PER_TRIGGER,
-                 fail_on_data_loss: bool = False) -> DataFrame:
+                 fail_on_data_loss: bool = False, min_partitions: int | None = None) -> DataFrame:
     """Subscribe to one topic from ``starting``, at most ``max_offsets_per_trigger``
-    offsets per micro-batch (SRC5). Needs the spark-sql-kafka connector."""
+    offsets per micro-batch (SRC5). Needs the spark-sql-kafka connector.
+
+    Spark reads one task per topic partition; ``min_partitions`` lets the source
+    split large offset ranges into more tasks, so a hot topic partition (keyed
+    messages of one busy key) is not decoded by one task alone.
+    """
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting)
          .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions:
+        r = r.option("minPartitions", min_partitions)
     return r.load()
 
 
@@ -63,8 +70,16 @@ def envelope_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     return r.parquet(path)
 
 
-def write_envelope(env: DataFrame, path: str) -> str:
-    """Append envelope rows as parquet files (what a producer run would publish)."""
+def write_envelope(env: DataFrame, path: str, partitions: int | None = None) -> str:
+    """Append envelope rows as parquet files (what a producer run would publish).
+
+    With ``partitions``: one file per topic partition. Rows go to the writer of
+    their key's hash partition, the same Murmur3 hash of the key bytes that chose
+    their ``partition`` value, so a micro-batch reads the topic partitions in
+    parallel, as the Kafka source does.
+    """
+    if partitions:
+        env = env.repartition(partitions, "key")
     env.write.mode("append").parquet(path)
     return path
 
