@@ -26,13 +26,21 @@ DIRTY_CITIES = ["nyc", "LA", " sf", "n/a", "unknown\t", None, "new york", "NULL"
 CHANGE_LOG_START = _dt.datetime(2024, 1, 1, 0, 0, 0)
 
 
-def _cents(col: str) -> Column:
-    """Money in exact decimal arithmetic, so rounding to cents is the same everywhere."""
-    return F.col(col).cast("decimal(18,2)")
+def _hundredths(col: str) -> Column:
+    """A money amount in whole cents, or a rate in whole percent, as BIGINT.
+
+    Prices in the driver data are whole cents and rates whole percents, so products
+    and sums of these integers are exact, as DECIMAL arithmetic would be, but stay
+    on 64-bit integers (Spark multiplies decimals through BigDecimal, per row). With
+    ANSI on, an overflow fails instead of wrapping.
+    """
+    return F.round(F.col(col) * 100).cast("bigint")
 
 
-def _rate(col: str) -> Column:
-    return F.col(col).cast("decimal(4,2)")
+def _to_cents(units: Column, scale: int) -> Column:
+    """An exact integer count of 10^-scale units -> DECIMAL(18,2), rounded half up;
+    applied once per group, after the integer sum."""
+    return (units.cast("decimal(38,0)") / F.lit(10 ** scale)).cast("decimal(18,2)")
 
 
 def _cycle(k: Column, items: list) -> Column:
@@ -134,9 +142,10 @@ def pending_transactions(orders: DataFrame) -> DataFrame:
 def settlements(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Merge source: one row per order that has line items, with the settled amount
     (sum of net price with tax, to cents) and the last ship date."""
+    # cents x (100 - discount %) x (100 + tax %): units of 10^-6
+    gross = _hundredths("l_extendedprice") * (100 - _hundredths("l_discount")) * (100 + _hundredths("l_tax"))
     per_order = lineitem.groupBy("l_orderkey").agg(
-        F.sum(_cents("l_extendedprice") * (1 - _rate("l_discount")) * (1 + _rate("l_tax")))
-        .cast("decimal(18,2)").cast("double").alias("amount"),
+        _to_cents(F.sum(gross), 6).cast("double").alias("amount"),
         F.max("l_shipdate").alias("ts"),
     )
     return per_order.join(orders.select("o_orderkey", "o_custkey"),
@@ -168,7 +177,9 @@ def change_log(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     # (order, line number), amounts added up, delete if any of the lines says so
     returned = (lineitem.filter(F.col("l_returnflag") == "R")
                 .groupBy("l_orderkey", "l_linenumber").agg(
-                    F.sum(_cents("l_extendedprice") * (1 - _rate("l_discount"))).alias("net"),
+                    # cents x (100 - discount %): units of 10^-4
+                    _to_cents(F.sum(_hundredths("l_extendedprice") * (100 - _hundredths("l_discount"))), 4)
+                    .alias("net"),
                     F.max("l_shipdate").alias("l_shipdate"),
                     F.max(((F.col("l_linestatus") == "F") & (F.col("l_discount") >= 0.08)).cast("int"))
                     .alias("drop")))
