@@ -410,3 +410,5 @@ SQL["csv_declared"] = with_(DIRTY) + """
 SELECT id, user_id, NULLIF(amount, '') AS amount, NULLIF(category, '') AS category,
   NULLIF("timestamp", '') AS "timestamp", NULLIF(city, '') AS city FROM raw"""
 SQL["csv_inferred"] = SQL["csv_declared"]
+
+SQL["as_of_bucketed"] = SQL["as_of_version"]

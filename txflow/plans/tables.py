@@ -32,6 +32,17 @@ def update_column(spark, sf_dir):
     return changes.update_column(target_table(spark, sf_dir), "amount", 0.0)
 
 
+@register("as_of_bucketed")
+def as_of_bucketed(spark, sf_dir):
+    """CHG4 over the change log stored bucketed by id (one shuffle, at write): the
+    as-of read groups by id inside each bucket, with no shuffle."""
+    root = work_dir(spark, "log_bucketed")
+    name = "txflow_log_" + root.rsplit("-", 1)[1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writers.save_bucketed(change_log(spark, sf_dir), name, ["id"], buckets, f"{root}/log", ["id", "version"])
+    return changes.as_of_version(spark.table(name), AS_OF_VERSION)
+
+
 @register("version_history")
 def version_history(spark, sf_dir):
     return changes.version_history(change_log(spark, sf_dir), V.RETAIN_LAST_VERSIONS)
