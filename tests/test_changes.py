@@ -109,3 +109,23 @@ def test_as_of_over_bucketed_log_needs_no_shuffle(spark, tmp):
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
     want = changes.as_of_version(log, 4)
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_bucketing_falls_back_to_a_plain_table_for_a_hot_key(spark, tmp):
+    """A third of the log on one id: a bucket cannot be split, so the table is written
+    plain; the as-of read then shuffles with a partial aggregate and is still exact."""
+    from txflow.sinks import writers
+    n = 3000
+    log = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("int").alias("id"),
+        F.lit("u").alias("user"), F.col("id").cast("double").alias("amount"),
+        F.lit(TS).cast("timestamp_ntz").alias("ts"), F.lit("update").alias("op"),
+        (F.col("id") % 9 + 1).cast("int").alias("version"),
+        F.lit(TS).cast("timestamp_ntz").alias("committed_at"))
+    assert not writers.save_bucketed(log, "tx_log_hot_t", ["id"], 4, f"{tmp}/log")
+    got = changes.as_of_version(spark.table("tx_log_hot_t"), 9)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "partial_max_by" in plan
+    ids = {7 if i % 3 == 0 else i for i in range(n)}
+    assert got.count() == changes.as_of_version(log, 9).count() == len(ids)

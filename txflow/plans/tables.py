@@ -35,7 +35,8 @@ def update_column(spark, sf_dir):
 @register("as_of_bucketed")
 def as_of_bucketed(spark, sf_dir):
     """CHG4 over the change log stored bucketed by id (one shuffle, at write): the
-    as-of read groups by id inside each bucket, with no shuffle."""
+    as-of read groups by id inside each bucket, with no shuffle. (A key heavier than
+    a bucket's share would make the writer store the log plain instead.)"""
     root = work_dir(spark, "log_bucketed")
     name = "txflow_log_" + root.rsplit("-", 1)[1]
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
