@@ -129,3 +129,31 @@ def test_bucketing_falls_back_to_a_plain_table_for_a_hot_key(spark, tmp):
     assert "Exchange" in plan and "partial_max_by" in plan
     ids = {7 if i % 3 == 0 else i for i in range(n)}
     assert got.count() == changes.as_of_version(log, 9).count() == len(ids)
+
+
+def test_merge_into_bucketed_target_shuffles_only_the_source(spark, tmp):
+    """Target stored bucketed by id, source too large to broadcast: the target is
+    read bucket by bucket on both merge branches; only the source is shuffled."""
+    from txflow.sinks import writers
+    orders = table(spark, SF001, "orders")
+    assert writers.save_bucketed(fixtures.versioned_transactions(orders), "tx_target_b", ["id"], 8,
+                                 f"{tmp}/target")
+    source = fixtures.settlements(orders, table(spark, SF001, "lineitem"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = changes.merge_upsert(spark.table("tx_target_b"), source, "id", ["amount", "ts"],
+                                   max_broadcast_rows=0)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        scans = [l for l in plan.splitlines() if "FileScan" in l and "tx_target_b" in l]
+        assert scans and all("Bucketed: true" in l for l in scans)
+        final = plan.split("== Initial Plan ==")[0]
+        assert final.count("Exchange hashpartitioning") == 2   # the source, once per branch
+        want = changes.merge_upsert(fixtures.versioned_transactions(orders), source, "id", ["amount", "ts"])
+        assert out.count() == want.count() and out.exceptAll(want).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
