@@ -412,3 +412,4 @@ SELECT id, user_id, NULLIF(amount, '') AS amount, NULLIF(category, '') AS catego
 SQL["csv_inferred"] = SQL["csv_declared"]
 
 SQL["as_of_bucketed"] = SQL["as_of_version"]
+SQL["stream_restart"] = SQL["sliding_window_stream"]
