@@ -413,3 +413,21 @@ SQL["csv_inferred"] = SQL["csv_declared"]
 
 SQL["as_of_bucketed"] = SQL["as_of_version"]
 SQL["stream_restart"] = SQL["sliding_window_stream"]
+
+# STR3: the newer half (epoch second >= the middle of the range) arrives first; a pair
+# (older row, window) still counts when the window ends after that half's watermark
+SQL["stream_late_rows"] = """
+WITH ev AS (SELECT event_id, ts, event_type, value, CAST(floor(epoch(ts)) AS BIGINT) AS e FROM events),
+cut AS (SELECT CAST(floor((min(e) + max(e)) / 2) AS BIGINT) AS c FROM ev),
+wm AS (SELECT make_timestamp(max(e) * 1000000) - INTERVAL 15 MINUTE AS w FROM ev, cut WHERE e >= c),
+pairs AS (
+  SELECT unnest(generate_series(date_trunc('minute', ts) - INTERVAL 9 MINUTE, date_trunc('minute', ts),
+                                INTERVAL 1 MINUTE)) AS window_start,
+         event_type AS category, value AS amount, event_id AS id, e
+  FROM ev)
+SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, category,
+  round(sum(amount), 2) AS total_sum, count(id) AS tx_count
+FROM pairs, cut, wm
+WHERE e >= c OR window_start + INTERVAL 10 MINUTE > w
+GROUP BY window_start, category, w
+HAVING window_start + INTERVAL 10 MINUTE <= w"""

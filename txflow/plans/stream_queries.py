@@ -94,19 +94,16 @@ def sliding_window_stream(spark, sf_dir):
                       "tx_count")
 
 
-@register("stream_restart")
-def stream_restart(spark, sf_dir):
-    """STR5: the topic is published in two parts, older events first. The window
-    stream runs to completion after each part, the second time restarting from the
-    first run's checkpoint: consumed files are not read again, open windows keep
-    their state, nothing is emitted twice. Both runs together give the same windows
-    as one run over everything."""
-    root = work_dir(spark, "restart")
+def _windows_over_publishes(spark, sf_dir, name, newer_first: bool):
+    """Publish the events in two parts split at the middle of their time range, and
+    run the window stream to completion after each, restarting from one checkpoint."""
+    root = work_dir(spark, name)
     msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
-    # the middle of the event-time range, one scalar: older rows go out first
+    # the middle of the event-time range (whole epoch seconds): one scalar
     cut = msgs.agg(((F.min("timestamp") + F.max("timestamp")) / 2).cast("bigint")).first()[0]
+    older, newer = F.col("timestamp") < cut, F.col("timestamp") >= cut
     sink = streams.multi_sink(streams.parquet_batch_sink(f"{root}/windows"))
-    for part in (F.col("timestamp") < cut, F.col("timestamp") >= cut):
+    for part in ((newer, older) if newer_first else (older, newer)):
         _publish(spark, lambda n: messages.to_envelope(msgs.filter(part), "user", "id", partitions=n),
                  f"{root}/input")
         ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input"))
@@ -116,6 +113,24 @@ def stream_restart(spark, sf_dir):
                       "tx_count")
 
 
+@register("stream_restart")
+def stream_restart(spark, sf_dir):
+    """STR5: older events published first, newer ones after. The window stream runs
+    to completion after each part, the second time restarting from the first run's
+    checkpoint: consumed files are not read again, open windows keep their state,
+    nothing is emitted twice. Both runs together give the same windows as one run
+    over everything."""
+    return _windows_over_publishes(spark, sf_dir, "restart", newer_first=False)
+
+
+@register("stream_late_rows")
+def stream_late_rows(spark, sf_dir):
+    """STR3: newer events published and drained first, the older half after them,
+    late. A late row adds to a window only while that window is still open (its end
+    after the watermark of the earlier batches); for the rest it is dropped."""
+    return _windows_over_publishes(spark, sf_dir, "late_rows", newer_first=True)
+
+
 @register("incremental_summing")
 def incremental_summing(spark, sf_dir):
     """STR7: the summing view kept up per micro-batch, read back with the collapse."""
