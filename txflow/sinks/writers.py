@@ -71,11 +71,12 @@ def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, locat
     which pre-combine the hot key in every map task.
     """
     rows, worst = heaviest_key_share(df, keys)
-    w = df.write.mode("overwrite").format("parquet")
     bucketed = worst <= max(1, rows // buckets)
     if bucketed:
         w = (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
              .bucketBy(buckets, *keys).sortBy(*(sort_cols or keys)))
+    else:
+        w = df.write.mode("overwrite").format("parquet")
     if location:
         w = w.option("path", location)
     w.saveAsTable(name)
