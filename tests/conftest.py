@@ -7,6 +7,12 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF001 = "/root/testdata/sf0.001"
+
+# Tests that boot an embedded (in-process, in-memory) Derby database for the JDBC sink.
+# No database may be started by default, so they run only on request.
+needs_database = pytest.mark.skipif(
+    os.environ.get("TXFLOW_DB_TESTS") != "1",
+    reason="boots an embedded Derby database; run with TXFLOW_DB_TESTS=1")
 SF01 = "/root/testdata/sf0.01"
 
 

@@ -11,6 +11,7 @@ from txflow.session import local_path
 from txflow.sinks import writers
 from txflow.sources import schemas
 from txflow.sources.tables import csv_declared, csv_inferred, generate_users
+from tests.conftest import needs_database
 
 
 def data(spark, n=1000):
@@ -86,6 +87,7 @@ def test_generate_users(spark):
     assert r.user == "user_42"
 
 
+@needs_database
 def test_jdbc_append_flattens_window(spark):
     url = "jdbc:derby:memory:txflow_ja;create=true"
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
