@@ -184,3 +184,23 @@ def test_state_width_follows_cores_not_a_huge_batch_width(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert streams.default_state_width(spark) == min(int(before), 2 * spark.sparkContext.defaultParallelism)
+
+
+def test_window_stream_combines_a_hot_category_before_the_state_shuffle(spark, tmp):
+    """A third of the rows in one category: the streaming aggregate runs a partial sum
+    in every map task before the exchange that feeds the state store, so the hot
+    category reaches the state as one row per task and window."""
+    rows = [(i, i % 30, "HOT" if i % 3 == 0 else f"c{i % 7}", 1.0) for i in range(300)]
+    write_file(spark, f"{tmp}/in", rows)
+    ev = streams.decoded(streams.envelope_stream(spark, f"{tmp}/in"))
+    q = streams.start_window_stats(ev, streams.multi_sink(streams.parquet_batch_sink(f"{tmp}/out")),
+                                   f"{tmp}/chk")
+    streams.await_all([q])
+    plan = q._jsq.explainInternal(False)
+    lines = plan.splitlines()
+    exchange = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
+    restore = next(i for i, l in enumerate(lines) if "StateStoreRestore" in l)
+    partial = next(i for i, l in enumerate(lines) if "partial_sum" in l)
+    assert restore < exchange < partial     # state (top) <- exchange <- partial aggregate (below)
+    got = spark.read.parquet(f"{tmp}/out")
+    assert got.filter("category = 'HOT'").agg(F.sum("tx_count")).first()[0] > 0
