@@ -204,3 +204,31 @@ def test_window_stream_combines_a_hot_category_before_the_state_shuffle(spark, t
     assert restore < exchange < partial     # state (top) <- exchange <- partial aggregate (below)
     got = spark.read.parquet(f"{tmp}/out")
     assert got.filter("category = 'HOT'").agg(F.sum("tx_count")).first()[0] > 0
+
+
+def test_state_width_under_dynamic_allocation():
+    """Dynamic allocation: the bound is maxExecutors x cores, not the (possibly tiny)
+    parallelism at start; unbounded -> the session width."""
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return dict.get(self, k, default)
+
+    class Ctx:
+        def __init__(self, conf):
+            self._conf, self.defaultParallelism = Conf(conf), 2
+
+        def getConf(self):
+            return self._conf
+
+    class Spark:
+        def __init__(self, conf):
+            self.sparkContext = Ctx(conf)
+            self.conf = Conf({"spark.sql.shuffle.partitions": "96000"})
+
+    dyn = {"spark.dynamicAllocation.enabled": "true", "spark.dynamicAllocation.maxExecutors": "1000",
+           "spark.executor.cores": "8"}
+    assert streams.default_state_width(Spark(dyn)) == 16_000
+    unbounded = {"spark.dynamicAllocation.enabled": "true"}
+    assert streams.default_state_width(Spark(unbounded)) == 96_000
+    assert streams.default_state_width(Spark({})) == 4          # static: 2 x defaultParallelism

@@ -34,10 +34,28 @@ STATE_STORES = {
 }
 
 
+def cluster_cores(spark: SparkSession) -> int | None:
+    """Cores the job can use; None when unbounded.
+
+    With dynamic allocation a stream often starts before executors scale up, when
+    ``defaultParallelism`` is tiny, and the width chosen then is fixed by the
+    checkpoint for good; so the bound is maxExecutors x executor cores instead.
+    """
+    sc = spark.sparkContext
+    conf = sc.getConf()
+    if conf.get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        most = conf.get("spark.dynamicAllocation.maxExecutors", None)
+        if most is None or int(most) >= 2 ** 31 - 1:
+            return None
+        return int(most) * int(conf.get("spark.executor.cores", "1"))
+    return sc.defaultParallelism
+
+
 def default_state_width(spark: SparkSession) -> int:
     """min(session shuffle width, 2 x cores): the width of a new stream's state."""
     session_width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(session_width, 2 * spark.sparkContext.defaultParallelism))
+    cores = cluster_cores(spark)
+    return max(1, session_width if cores is None else min(session_width, 2 * cores))
 
 
 # --- sources ------------------------------------------------------------------
@@ -213,7 +231,9 @@ def start_window_stats(events: DataFrame, sink: Callable[[DataFrame, int], None]
     shuffle width, but at most two tasks per core: a batch cluster sized for 100 TB
     scans may run tens of thousands of shuffle partitions, and every micro-batch
     would then start that many state tasks forever, while the state itself is only
-    windows x categories. ``state_store="rocksdb"`` keeps window state in
+    windows x categories. Under dynamic allocation the cores are maxExecutors x
+    executor cores; with no executor limit the session width stays, so give
+    ``state_partitions`` explicitly there. ``state_store="rocksdb"`` keeps window state in
     RocksDB (off-heap, incremental checkpoints) instead of executor heap maps, for
     large state. Partial aggregation happens before the state shuffle, so a hot
     category costs one row per task and window, not all its rows.
