@@ -18,8 +18,9 @@ from txflow.streaming import streams
 
 
 def topic_partitions(spark) -> int:
-    """The stand-in topic has one partition per core of the consumer."""
-    return spark.sparkContext.defaultParallelism
+    """The stand-in topic has one partition per core of the consumer (counted as
+    for the state width; with no executor limit, the cores present now)."""
+    return streams.cluster_cores(spark) or spark.sparkContext.defaultParallelism
 
 
 def _publish(spark, env_of, path):
