@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WORDS_KEPT = 300_000     # encoded words, and runs between blanks, remembered per worker; then that memory starts anew
+WORDS_KEPT = 200_000     # encoded words, and runs between blanks, remembered per worker; then that memory starts anew
 PAIRS_KEPT = 500_000     # pair checks remembered per worker
-FLUSH_TOKENS = 1 << 20
+FLUSH_TOKENS = 1 << 19
+DECODED_AT_ONCE = 1 << 16
 
 
 def byte_chars() -> list[str]:
@@ -38,6 +39,35 @@ def byte_chars() -> list[str]:
     return out
 
 
+class OffsetTable:
+    """Decoding: the text of every token in one blob, token i from offset i to offset i + 1."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if spec["decoder"] is not None:
+            raise ValueError("this tokenizer file names a decoder that is not known here")
+        names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        pieces = [names.get(i, "").encode() + b" " for i in range(max(names) + 1)]
+        self.offsets = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
+        self.blob = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        self.decimals = [str(i) for i in range(len(pieces))]
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The tokens' own texts joined by a blank, as the file names no decoder."""
+        parts = []
+        for at in range(0, len(ids), DECODED_AT_ONCE):
+            some = ids[at:at + DECODED_AT_ONCE]
+            starts = self.offsets[some]
+            sizes = self.offsets[some + 1] - starts
+            place = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+            parts.append(self.blob[place].tobytes())
+        return b"".join(parts)[:-1].decode()
+
+    def decimal(self, ids: np.ndarray) -> str:
+        return " ".join(map(self.decimals.__getitem__, ids.tolist()))
+
+
 class WordBpe:
     """Byte-level BPE with a word-end mark, read from a tokenizer file; ids must be in merge order."""
 
@@ -79,12 +109,6 @@ class WordBpe:
         for i, t in text.items():
             self.matches.add_word(t, entry[i])
         self.matches.make_automaton()
-        # decoding: every token's text in one blob, token i from offset i to offset i + 1
-        names = {**{i: t for t, i in vocab.items()}, **{i: t for t, i in self.special.items()}}
-        pieces = [names.get(i, "").encode() + b" " for i in range(max(names) + 1)]
-        self.offsets = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
-        self.blob = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        self.decimals = [str(i) for i in range(len(pieces))]
         self._words: dict[str, tuple[int, ...]] = {}
         self._runs: dict[str, tuple[int, ...]] = {}
         self._pairs: dict[int, bool] = {}
@@ -231,25 +255,17 @@ class WordBpe:
         words += self._plain(text[at:] if at else text)
         return np.fromiter(chain.from_iterable(words), dtype=np.int32)
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The tokens' own texts joined by a blank, as the file names no decoder."""
-        starts = self.offsets[ids]
-        sizes = self.offsets[ids + 1] - starts
-        if not len(ids):
-            return ""
-        total = int(sizes.sum())
-        place = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
-        return self.blob[place].tobytes()[:-1].decode()
-
-    def decimal(self, ids: np.ndarray) -> str:
-        return " ".join(map(self.decimals.__getitem__, ids.tolist()))
-
 
 @lru_cache(maxsize=2)
 def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+@lru_cache(maxsize=2)
+def load_table(path: str) -> OffsetTable:
+    return OffsetTable(path)
+
+
 def encode_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ids (array of int).
@@ -285,11 +301,11 @@ def decode_ids(encoded: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id
         fields[1:1] = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_text", T.StringType())]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(tokenizer_path)
+        table = load_table(tokenizer_path)
 
         def one(row) -> tuple:
             ids = row.to_numpy().astype(np.int64) if row is not None else np.empty(0, np.int64)
-            return (len(ids), bpe.decimal(ids), bpe.decode(ids)) if digest else (len(ids), bpe.decode(ids))
+            return (len(ids), table.decimal(ids), table.decode(ids)) if digest else (len(ids), table.decode(ids))
 
         for batch in batches:
             ids = batch.column(1)
