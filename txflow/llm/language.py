@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 BITS = 16                # 2^BITS hashed n-grams
 ORDERS = (1, 2, 3)
 AT_ONCE = 1 << 18        # characters hashed in one step, so that a long text needs no more memory
+SALTS = 64
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)   # odd, to mix the characters
@@ -101,10 +102,12 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
 def _sample(rows: DataFrame, per_language: int, rows_at_most: int) -> DataFrame:
     """lang, grams, counts, part of at most ``per_language`` rows of each language and ``rows_at_most`` in all,
     those of lowest hash; ids are chosen first, so that only the chosen texts move."""
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = (rows.select("id", "lang", F.xxhash64("id", "lang").alias("h"))
-              .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
-              .orderBy("r", "h", "id").limit(rows_at_most))
+    lowest = (rows.select("id", "lang", F.xxhash64("id", "lang").alias("h"))
+              .withColumn("salt", F.pmod(F.xxhash64("lang", "id"), F.lit(SALTS))))
+    for keys in (["lang", "salt"], ["lang"]):   # a frequent language is thinned out in SALTS parts first
+        order = Window.partitionBy(*keys).orderBy("h", "id")
+        lowest = lowest.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
+    chosen = lowest.orderBy("r", "h", "id").limit(rows_at_most)
     # at most rows_at_most ids, whatever the input
     texts = rows.join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi")
 
