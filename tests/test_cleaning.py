@@ -119,3 +119,10 @@ def test_shared_root_refuses_local_temp_on_a_cluster():
     import pytest
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_root(FakeSpark())
+
+
+def test_ids_past_int_stay_apart(spark):
+    for clean, category in ((cleaning.clean_intended, "Food"), (cleaning.clean_literal, None)):
+        rows = [(str(i), str(i), "1,5", category, None, None) for i in (3_000_000_000, 3_000_000_001, 2**31, 2**62)]
+        raw = spark.createDataFrame(rows, "id string, user_id string, amount string, category string, timestamp string, city string")
+        assert sorted(r.id for r in clean(raw).collect()) == [2**31, 3_000_000_000, 3_000_000_001, 2**62]

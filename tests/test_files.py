@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from txflow.operators import files
@@ -51,11 +52,29 @@ def test_orphan_files(spark, tmp):
     assert files.orphan_files(spark, f"{tmp}/t", live=live, older_than=dt.timedelta(days=30)).count() == 0
 
 
+def test_no_live_file_is_an_orphan_whatever_its_folder_is_called(spark, tmp):
+    names = ["a b", "x:y", "50%", "é", "plain", "a=b", "q?#"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, kind string")
+    df.write.partitionBy("kind").parquet(f"{tmp}/odd names")
+    later = dt.datetime.now() + dt.timedelta(days=30)
+    assert files.orphan_files(spark, f"{tmp}/odd names", now=later).count() == 0
+    live = files.file_report(spark, f"{tmp}/odd names", ["kind"])
+    found = files.orphan_files(spark, f"{tmp}/odd names", live=live.filter("kind <> 'a b'"), now=later).collect()
+    assert len(found) == 1 and "a b" in found[0].path
+    with pytest.raises(ValueError):
+        files.orphan_files(spark, f"{tmp}/odd names", live=spark.createDataFrame([("file:/elsewhere",)], "file_path string"))
+
+
 def test_archive_by_day(spark, tmp):
     src = data(spark)
-    back = files.archive_by_day(src, f"{tmp}/a", dt.date(2024, 1, 31))
+    day = dt.date(2024, 1, 31)
+    back = files.archive_by_day(src, f"{tmp}/a", day, "one")
     assert files.archive_complete(src, back)
     assert os.path.isdir(os.path.join(local_path(f"{tmp}/a"), "archive_date=2024-01-31"))
+    files.archive_by_day(src.limit(2), f"{tmp}/a", day, "two")
+    files.archive_by_day(src.limit(2), f"{tmp}/a", day, "two")   # repeated: replaces itself
+    files.archive_by_day(src, f"{tmp}/a", dt.date(2024, 2, 1), "one")
+    assert files.archived_day(spark, f"{tmp}/a", day).count() == src.count() + 2
 
 
 def test_layout_and_partition_pruning(spark, tmp):

@@ -1,4 +1,4 @@
-"""Joins with a checked broadcast, reports, plan shapes."""
+"""Joins broadcast by size, reports, plan shapes."""
 
 from pyspark.sql import functions as F
 
@@ -12,7 +12,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-USERS = [(1, "Andrey", "M", 25), (2, "Maria", "F", 30), (3, "Oleg", "M", 45), (4, "Anna", "F", 22)]
+USERS = [(i, f"user{i}", "F" if i % 2 == 0 else "M", 18 + i) for i in range(1, 5)]
 
 
 def silver_rows(spark):
@@ -21,9 +21,10 @@ def silver_rows(spark):
     return spark.createDataFrame(rows, "id int, user_id int, amount double, category string")
 
 
-def test_literal_dimension_is_broadcast(spark):
-    users = spark.createDataFrame(USERS, "user_id INT, name STRING, gender STRING, age INT")
-    rep = reports.gender_category_report(silver_rows(spark), users, known_rows=len(USERS))
+def test_small_dimension_is_broadcast(spark, tmp):
+    spark.createDataFrame(USERS, "user_id INT, name STRING, gender STRING, age INT").write.parquet(f"{tmp}/users")
+    users = spark.read.parquet(f"{tmp}/users")   # its size in bytes is known
+    rep = reports.gender_category_report(silver_rows(spark), users)
     assert "BroadcastHashJoin" in plan(rep)
     got = {(r.gender, r.category): (r.total_amount, r.tx_count) for r in rep.collect()}
     # user 9 and the NULL user never match
@@ -34,7 +35,7 @@ def test_dimension_over_the_limit_is_shuffled(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         users = spark.createDataFrame(USERS, "user_id INT, name STRING, gender STRING, age INT")
-        joined = joins.join_dimension(silver_rows(spark), users, "user_id", max_rows=2)
+        joined = joins.join_dimension(silver_rows(spark), users, "user_id")
         p = plan(joined)
         assert "BroadcastHashJoin" not in p or "SortMergeJoin" in p
         assert joined.count() == 3
@@ -43,10 +44,10 @@ def test_dimension_over_the_limit_is_shuffled(spark):
 
 
 def test_segment_join_on_text_key(spark):
-    seg = spark.createDataFrame([("1", "VIP"), ("2", "Standart"), ("3", "Premium")], "user STRING, segment STRING")
+    seg = spark.createDataFrame([(str(i), f"segment{i}") for i in (1, 5, 6)], "user STRING, segment STRING")
     rows = [(1, 1, 10.0, "F", __import__("datetime").datetime(2024, 1, 1, 5, 0))]
     df = spark.createDataFrame(rows, "id int, user_id int, amount double, category string, timestamp timestamp_ntz")
-    rep = reports.hourly_report(df, seg, known_rows=3).collect()
+    rep = reports.hourly_report(df, seg).collect()
     assert [(r.hour_time, r.tx_count, r.total_sum) for r in rep] == [(5, 1, 10.0)]
 
 

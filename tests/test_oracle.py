@@ -11,7 +11,7 @@ from txflow.plans import QUERIES, SQL
 def test_every_query_has_oracle_or_is_listed():
     assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
     no_oracle = set(QUERIES) - set(SQL)
-    assert no_oracle == {"file_report"}
+    assert no_oracle == set()
 
 
 def test_entry_smoke(spark):

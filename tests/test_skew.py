@@ -39,7 +39,7 @@ def test_join_splits_hot_key_when_not_broadcast(spark, skewed):
     try:
         dim = spark.range(10_000).select(F.col("id").cast("int").alias("user_id"),
                                          F.lit("F").alias("gender"))
-        joined = joins.join_dimension(skewed, dim, "user_id", max_rows=100)   # over the bound: shuffle join
+        joined = joins.join_dimension(skewed, dim, "user_id")
         plan = final_plan(joined)
         assert "SortMergeJoin" in plan and "skew=true" in plan
         assert joined.count() == N
@@ -79,7 +79,7 @@ def test_merge_shuffle_path_combines_hot_target_key(spark, skewed):
     target = skewed.select(F.coalesce("id", F.lit(0)).alias("id"), "amount")
     source = spark.range(0, 200_000, 1000).select(F.col("id").cast("int").alias("id"),
                                                   F.lit(-1.0).alias("amount"))
-    out = changes.merge_upsert(target, source, "id", ["amount"], max_broadcast_rows=0)
+    out = changes.merge_upsert(target, source, "id", ["amount"])
     plan = final_plan(out)
     # the distinct of the target keys: a partial HashAggregate feeds the anti join
     assert "LeftAnti" in plan and plan.count("HashAggregate") >= 2

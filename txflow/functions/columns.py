@@ -78,9 +78,9 @@ def timestamp_to_epoch(col: ColumnOrName) -> Column:
 
 
 def clock_fallback(epoch: ColumnOrName, now: Column | None = None) -> Column:
-    """``timestamp = 0`` means "not set": use ``now`` instead (CLN15)."""
+    """``timestamp = 0``, or none, means "not set": use ``now`` instead (CLN15)."""
     now = F.current_timestamp() if now is None else now
-    e = _c(epoch)
+    e = F.coalesce(_c(epoch), F.lit(0))
     return F.when(e == 0, now).otherwise(epoch_to_timestamp(e))
 
 

@@ -31,7 +31,6 @@ NO_CATEGORY_LABEL = "UNKNOWN"
 PRODUCER_CATEGORIES = ["electro", "food", "auto", "beauty"]
 PRODUCER_TYPES = ["transfer", "refund", "purchase"]
 PRODUCER_CLASSES = ["standart", "premium", "vip"]
-PRODUCER_MAX_INDEX = 80000  # the loop stops after index 80001 -> 80,002 messages
 
 # --- Fixed values: streaming job ---------------------------------------------
 WATERMARK_DELAY = "15 minutes"
@@ -41,7 +40,6 @@ SUMMING_BUCKET = "10 minutes"
 MAX_OFFSETS_PER_TRIGGER = 10000
 ALERT_THRESHOLD = 10000.0
 BIG_AMOUNT_THRESHOLD = 15000.0
-MAX_BROKEN_MESSAGES = 100
 
 # --- Fixed values: table maintenance -----------------------------------------
 TARGET_FILE_BYTES = 134217728

@@ -14,57 +14,47 @@ from pyspark.sql import functions as F
 
 from txflow.functions import values as V
 from txflow.operators.collapse import latest_version
-from txflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
-from txflow.session import shared_root
+from txflow.session import work_dir
 
 
 class MergeCardinalityError(ValueError):
     """Two source rows match one target row: the merge is ambiguous and refused."""
 
 
-def source_profile(source: DataFrame, key: str) -> tuple[int, int]:
-    """(row count, largest number of rows sharing one non-NULL key) in one job."""
-    per_key = source.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    row = per_key.agg(F.sum("n").alias("rows"),
-                      F.max(F.when(F.col(key).isNotNull(), F.col("n"))).alias("worst")).first()
-    return int(row["rows"] or 0), int(row["worst"] or 0)
+def most_per_key(source: DataFrame, key: str) -> int:
+    """The largest number of rows that share one non-NULL key."""
+    per_key = source.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return int(per_key.agg(F.max("n")).first()[0] or 0)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str = "id",
-                 update: list[str] | None = None, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 update: list[str] | None = None) -> DataFrame:
     """MERGE: matched on ``key`` -> set ``update`` columns from the source (others kept);
     not matched -> insert the source row. Every target row with a matching key is
     updated; a key that occurs twice in the source is refused. NULL keys never match.
 
-    Plan: when the source is provably small it is broadcast to the target scan (no
-    shuffle of the target at all); the insert side then needs only the matched
-    keys, at most one per source row. Otherwise both sides shuffle on the key and
-    adaptive execution splits skewed target keys.
+    The source is written once to the shared folder: it feeds the check and two
+    branches, and its size in bytes is then known, so Spark broadcasts it to the target
+    scan when it is under the broadcast threshold and shuffles both sides otherwise
+    (adaptive execution splits hot target keys). The insert side reads the target's key
+    column only, one row per key after the map-side step.
     """
     update = update if update is not None else [c for c in source.columns if c != key and c in target.columns]
-    # the source feeds three branches and the profile: compute it once, written to
-    # the shared checkpoint folder (survives a lost executor, cuts the lineage)
-    shared_root(source.sparkSession)
-    source = source.checkpoint(eager=True)
-    rows, worst = source_profile(source, key)
+    spark = source.sparkSession
+    path = work_dir(spark, "merge_source")
+    source.write.parquet(path)
+    source = spark.read.schema(source.schema).parquet(path)
+    worst = most_per_key(source, key)
     if worst > 1:
         raise MergeCardinalityError(f"source has {worst} rows for one {key}")
-    small = rows <= max_broadcast_rows
 
     src = source.select(key, *[F.col(c).alias(f"_src_{c}") for c in update], F.lit(True).alias("_matched"))
-    joined = target.join(F.broadcast(src) if small else src, key, "left")
-    updated = joined.select(*[
+    updated = target.join(src, key, "left").select(*[
         (F.when(F.col("_matched"), F.col(f"_src_{c}")).otherwise(F.col(c)) if c in update else F.col(c)).alias(c)
         for c in target.columns])
-
-    if small:
-        matched = (target.select(key).join(F.broadcast(source.select(key)), key, "left_semi")
-                   .distinct())
-        inserts = source.join(F.broadcast(matched), key, "left_anti")
-    else:
-        # distinct first: its partial aggregate collapses a hot target key to one
-        # row per map task, so the anti join's build side never holds it whole
-        inserts = source.join(target.select(key).distinct(), key, "left_anti")
+    # only keys that the source has, then one row per key: never more rows than the source
+    matched = target.select(key).join(source.select(key), key, "left_semi").distinct()
+    inserts = source.join(matched, key, "left_anti")
     return updated.unionByName(inserts.select(*target.columns))
 
 

@@ -23,7 +23,8 @@ def latest_version(df: DataFrame, keys: list[str | Column], version: str, seq: s
     """Newest row per key. ``keys`` may be expressions (e.g. the day of a timestamp)."""
     key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     key_names = [f"_k{i}" for i in range(len(key_cols))]
-    order = F.struct(F.col(version), F.col(seq)) if seq else F.col(version)
+    # a struct is never NULL, so a key whose versions are all NULL keeps a row
+    order = F.struct(F.col(version), F.col(seq)) if seq else F.struct(F.col(version))
     row = F.struct(*[F.col(c) for c in df.columns])
     agg = (df.select(*[k.alias(n) for k, n in zip(key_cols, key_names)], row.alias("_row"), order.alias("_ord"))
            .groupBy(*key_names).agg(F.max_by("_row", "_ord").alias("_row")))
@@ -43,12 +44,13 @@ def latest_per_day(messages: DataFrame, seq: str | None = "seq") -> DataFrame:
 
 
 def summing_rows(messages: DataFrame, now: Column | None = None) -> DataFrame:
-    """Per-message projection of the summing view (STR2 bucket, CLN9, CLN15, CLN18)."""
+    """Per-message projection of the summing view (STR2 bucket, CLN9, CLN15, CLN18). An absent
+    field counts as the empty default of a column that can't be null: time 0 ("not set"), amount 0."""
     when = C.clock_fallback("timestamp", now)
     return messages.select(
         C.to_wall_clock(F.window(when, V.SUMMING_BUCKET).start).alias("timer"),
         C.category_multiif("category").alias("category"),
-        C.money_half_even("amount").cast("decimal(18,2)").alias("total_sum"),
+        C.money_half_even(F.coalesce("amount", F.lit(0.0))).cast("decimal(18,2)").alias("total_sum"),
         F.lit(1).cast("bigint").alias("tx_count"),
     )
 

@@ -13,6 +13,7 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txflow.functions import values as V
 
@@ -67,39 +68,56 @@ def compact(spark: SparkSession, path: str, out_path: str, target_bytes: int = V
 
 
 def storage_listing(spark: SparkSession, path: str) -> DataFrame:
-    """Every data file under ``path``: path, length, modificationTime (content unread)."""
+    """Every data file under ``path``: file_path (spelled as ``_metadata.file_path`` spells it, escapes
+    included, so that it compares with what a table read reports), path, length, modificationTime
+    (content unread)."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.parquet").load(path)
-            .select(F.col("path"), F.col("length"), F.col("modificationTime")))
+            .select(F.col("_metadata.file_path").alias("file_path"), "path", "length", "modificationTime"))
 
 
 def orphan_files(spark: SparkSession, path: str, live: DataFrame | None = None,
                  older_than: _dt.timedelta = _dt.timedelta(days=3), now: _dt.datetime | None = None) -> DataFrame:
     """Files in storage that no live version references, older than the age floor (CHG8).
 
-    ``live`` has a ``file_path`` column; by default the files the table read uses
-    (for a streaming file sink: the files in its commit log). Report only.
+    ``live`` has a ``file_path`` column as ``_metadata.file_path`` gives it; by default the files the
+    table read uses (for a streaming file sink: the files in its commit log). Report only. A live file
+    that the listing lacks shows that the two sides don't name files alike: refused, as every file
+    could then pass for an orphan.
     """
     if live is None:
-        live = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file_path")).distinct()
+        live = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file_path"))
+    live = live.select(F.col("file_path").alias("live_path")).distinct()
     now = now or _dt.datetime.now()
     floor = F.lit(now - older_than).cast("timestamp")
     listed = storage_listing(spark, path)
-    return (listed.join(live, listed.path == live.file_path, "left_anti")
+    missing = live.join(listed, live.live_path == listed.file_path, "left_anti").limit(1).collect()
+    if missing:
+        raise ValueError(f"live file {missing[0][0]} is not in the listing of {path}")
+    return (listed.join(live, listed.file_path == live.live_path, "left_anti")
             .filter(F.col("modificationTime") < floor))
 
 
-def archive_by_day(df: DataFrame, out_path: str, day: _dt.date, col: str = "archive_date") -> DataFrame:
-    """Copy rows under ``archive_date=YYYY-MM-DD`` (SNK8, re-aimed upload). Returns the
-    archived partition as read back; its row count is checked against the source
-    before anyone may remove the source."""
+def archive_by_day(df: DataFrame, out_path: str, day: _dt.date, load: str, col: str = "archive_date") -> DataFrame:
+    """Add rows under ``archive_date=YYYY-MM-DD/load=<load>`` (SNK8, re-aimed upload): loads of one day stay
+    side by side, and a load that is repeated replaces itself only. Returns the load as read back, after its
+    row count was checked against the source's: then the source may be removed."""
     spark = df.sparkSession
-    (df.withColumn(col, F.lit(day).cast("date")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(out_path))
-    back = spark.read.parquet(out_path).filter(F.col(col) == F.lit(day).cast("date"))
+    (df.withColumn(col, F.lit(day).cast("date")).withColumn("load", F.lit(load)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(col, "load").parquet(out_path))
+    schema = T.StructType([*df.schema, T.StructField(col, T.DateType()), T.StructField("load", T.StringType())])
+    back = spark.read.schema(schema).parquet(out_path).filter(
+        (F.col(col) == F.lit(day).cast("date")) & (F.col("load") == load)).drop("load")
+    if not archive_complete(df, back):
+        raise RuntimeError(f"load {load} of {day} is not whole in {out_path}")
     return back
 
 
+def archived_day(spark: SparkSession, out_path: str, day: _dt.date, col: str = "archive_date") -> DataFrame:
+    """All loads of one day."""
+    return spark.read.parquet(out_path).filter(F.col(col) == F.lit(day).cast("date")).drop("load")
+
+
 def archive_complete(source: DataFrame, archived: DataFrame) -> bool:
     """True when the archive holds as many rows as the source: removal allowed."""
     return source.count() == archived.count()

@@ -1,14 +1,9 @@
-"""Dimension joins with a checked broadcast (JN1, JN2).
+"""Dimension joins (JN1, JN2).
 
-A dimension is broadcast only when its size is *proven* small:
-
-* ``known_rows`` -- the caller built it from a literal list, so the count is known;
-* otherwise one cheap action counts it (a parquet count reads footers only,
-  and a derived dimension prunes to its filter columns).
-
-Beyond the limit the join stays a shuffle join (sort-merge), and adaptive
-execution splits skewed partitions of the fact side at run time, so a hot key
-that holds a third of all fact rows is spread over many tasks.
+Which side is broadcast is left to Spark's size statistics in bytes
+(``spark.sql.autoBroadcastJoinThreshold``, and adaptive execution with run-time sizes):
+no counting job, no limit in rows of unknown width. Beyond the threshold the join is a
+sort-merge join, whose hot keys adaptive execution splits on the fact side.
 """
 
 from __future__ import annotations
@@ -16,29 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# 2M rows of a few narrow columns is a few tens of MB per executor.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                   known_rows: int | None = None) -> bool:
-    rows = known_rows if known_rows is not None else dim.count()
-    return rows <= max_rows
-
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner",
-                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """``fact`` join ``dim`` on equal key columns (kept once; NULL keys never match)."""
-    if fits_broadcast(dim, max_rows, known_rows):
-        dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)
 
 
 def join_on_text_key(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, name: str = "user",
-                     **kw) -> DataFrame:
+                     how: str = "inner") -> DataFrame:
     """JN2: both keys cast to STRING under one name, then ``join_dimension``."""
     f = fact.withColumn(name, F.col(fact_key).cast("string"))
     d = dim.withColumn(name, F.col(dim_key).cast("string"))
     if dim_key != name:
         d = d.drop(dim_key)
-    return join_dimension(f, d, name, **kw)
+    return join_dimension(f, d, name, how)

@@ -25,15 +25,15 @@ def category_report(silver: DataFrame) -> DataFrame:
     return silver.groupBy("category").agg(*_money_aggs()).orderBy(F.col("total_amount").desc())
 
 
-def gender_category_report(silver: DataFrame, users: DataFrame, **join_kw) -> DataFrame:
+def gender_category_report(silver: DataFrame, users: DataFrame) -> DataFrame:
     """JN1 + AGG2: join the users dimension on user_id, report per (gender, category)."""
-    joined = join_dimension(silver, users.select("user_id", "gender"), "user_id", **join_kw)
+    joined = join_dimension(silver, users.select("user_id", "gender"), "user_id")
     return joined.groupBy("gender", "category").agg(*_money_aggs()).orderBy(F.col("total_amount").desc())
 
 
-def hourly_report(silver: DataFrame, segments: DataFrame, **join_kw) -> DataFrame:
+def hourly_report(silver: DataFrame, segments: DataFrame) -> DataFrame:
     """JN2 + AGG3: join segments on the user id as text, report per hour of day."""
-    joined = join_on_text_key(silver, segments.select("user"), "user_id", "user", **join_kw)
+    joined = join_on_text_key(silver, segments.select("user"), "user_id", "user")
     return (joined.withColumn("hour_time", F.hour("timestamp"))
             .groupBy("hour_time")
             .agg(F.count("user").alias("tx_count"), C.money(F.sum("amount")).alias("total_sum"),

@@ -69,7 +69,7 @@ def parse_amount(spark, sf_dir):
 def cast_tolerant(spark, sf_dir):
     """Straight casts as the table load does them: the decimal comma is lost (trap 8)."""
     raw = raw_transactions(spark, sf_dir)
-    return raw.select(C.tolerant_cast("id", "int").alias("id"),
+    return raw.select(C.tolerant_cast("id", "bigint").alias("id"),
                       C.tolerant_cast("user_id", "string").alias("user"),
                       C.tolerant_cast("amount", "double").alias("amount"))
 
@@ -139,12 +139,6 @@ def enrich_deterministic(spark, sf_dir):
     return messages.enrich(raw_transactions(spark, sf_dir))
 
 
-@register("head_by_key")
-def head_by_key(spark, sf_dir):
-    """Producer cap: the first 80,002 rows in key order (the cap is the feature)."""
-    return messages.head_by_key(messages.enrich(raw_transactions(spark, sf_dir)), "id")
-
-
 @register("epoch_to_event_time")
 def epoch_to_event_time(spark, sf_dir):
     msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
@@ -153,7 +147,7 @@ def epoch_to_event_time(spark, sf_dir):
 
 @register("clock_fallback")
 def clock_fallback(spark, sf_dir):
-    msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
+    msgs = fixtures.untidy_messages(table(spark, sf_dir, "events"))
     now = F.lit(fixtures.FIXED_NOW).cast("timestamp")
     return msgs.select("id", "timestamp", C.to_wall_clock(C.clock_fallback("timestamp", now)).alias("event_time"))
 
@@ -183,7 +177,7 @@ def latest_100(spark, sf_dir):
 
 @register("summing_10min")
 def summing_10min(spark, sf_dir):
-    msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
+    msgs = fixtures.untidy_messages(table(spark, sf_dir, "events"))
     now = F.lit(fixtures.FIXED_NOW).cast("timestamp")
     return collapse.collapse_summing(collapse.summing_rows(msgs, now))
 

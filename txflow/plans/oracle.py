@@ -18,7 +18,7 @@ def initcap(x: str) -> str:
 
 DIRTY = f"""
 raw1 AS (
-  SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS INTEGER) AS user_id,
+  SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_custkey AS BIGINT) AS user_id,
     CASE WHEN o_orderkey % 17 = 0 THEN 'bad'
          WHEN o_orderkey % 19 = 0 THEN NULL
          WHEN o_orderkey % 2 = 0 THEN replace(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
@@ -90,7 +90,7 @@ silver_literal AS (
 
 USERS = """
 users AS (
-  SELECT CAST(c_custkey AS INTEGER) AS user_id, c_name AS name,
+  SELECT CAST(c_custkey AS BIGINT) AS user_id, c_name AS name,
     CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
     CAST(18 + c_custkey % 60 AS INTEGER) AS age
   FROM customer)"""
@@ -214,9 +214,6 @@ FROM raw"""
 
 SQL["enrich_deterministic"] = with_(DIRTY) + _ENRICH
 
-SQL["head_by_key"] = with_(DIRTY) + f", e AS ({_ENRICH})" + """
-SELECT * FROM e ORDER BY id ASC NULLS LAST LIMIT 80002"""
-
 MSG_EVENTS = """
 msg AS (SELECT event_id AS id, CAST(user_id AS VARCHAR) AS "user", value AS amount,
   epoch_us(ts) // 1000000 AS "timestamp", event_type AS category FROM events)"""
@@ -224,9 +221,17 @@ msg AS (SELECT event_id AS id, CAST(user_id AS VARCHAR) AS "user", value AS amou
 SQL["epoch_to_event_time"] = with_(MSG_EVENTS) + """
 SELECT id, "timestamp", make_timestamp("timestamp" * 1000000) AS event_time FROM msg"""
 
-SQL["clock_fallback"] = with_(MSG_EVENTS) + """
-SELECT id, "timestamp", CASE WHEN "timestamp" = 0 THEN TIMESTAMP '2024-02-01 00:00:00'
-  ELSE make_timestamp("timestamp" * 1000000) END AS event_time FROM msg"""
+# by event id: a time of 0 or none, no amount, a dirty category (NULL included)
+UNTIDY = MSG_EVENTS + """,
+untidy AS (SELECT id, "user", CASE WHEN id % 13 <> 0 THEN amount END AS amount,
+  CASE WHEN id % 7 = 0 THEN 0 WHEN id % 11 <> 0 THEN "timestamp" END AS "timestamp",
+  CASE WHEN id % 3 = 0 THEN ['retail', ' Tech ', 'FOOD' || chr(9), 'fin ance', 'Unknown', 'N/A', 'NULL', '', NULL,
+                             'Retail', 'noname', 'toys'][CAST(id % 12 AS INTEGER) + 1] ELSE category END AS category
+  FROM msg)"""
+
+SQL["clock_fallback"] = with_(UNTIDY) + """
+SELECT id, "timestamp", CASE WHEN coalesce("timestamp", 0) = 0 THEN TIMESTAMP '2024-02-01 00:00:00'
+  ELSE make_timestamp("timestamp" * 1000000) END AS event_time FROM untidy"""
 
 SQL["json_decode"] = """
 SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"""
@@ -248,13 +253,13 @@ SELECT * FROM latest"""
 SQL["latest_100"] = with_(LATEST) + """
 SELECT * FROM latest ORDER BY event_time DESC NULLS LAST, id DESC NULLS LAST LIMIT 100"""
 
-SQL["summing_10min"] = with_(MSG_EVENTS) + f"""
-SELECT time_bucket(INTERVAL 10 MINUTE, CASE WHEN "timestamp" = 0 THEN TIMESTAMP '2024-02-01 00:00:00'
+SQL["summing_10min"] = with_(UNTIDY) + f"""
+SELECT time_bucket(INTERVAL 10 MINUTE, CASE WHEN coalesce("timestamp", 0) = 0 THEN TIMESTAMP '2024-02-01 00:00:00'
          ELSE make_timestamp("timestamp" * 1000000) END) AS timer,
   {_multiif('category')} AS category,
-  CAST(sum(CAST(round_even(amount, 2) AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_sum,
+  CAST(sum(CAST(round_even(coalesce(amount, 0), 2) AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_sum,
   CAST(count(*) AS BIGINT) AS tx_count
-FROM msg GROUP BY 1, 2"""
+FROM untidy GROUP BY 1, 2"""
 
 SLIDING = """
 SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, category,
@@ -283,12 +288,12 @@ FROM range((SELECT count(*) FROM customer)) t(i)"""
 # --- changing tables ------------------------------------------------------------------
 
 TARGET = """
-target AS (SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS VARCHAR) AS "user",
+target AS (SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_custkey AS VARCHAR) AS "user",
   o_totalprice AS amount, o_orderdate AS ts FROM orders WHERE o_orderstatus <> 'P')"""
 
 SETTLEMENTS = """
 src AS (
-  SELECT CAST(l_orderkey AS INTEGER) AS id, CAST(o_custkey AS VARCHAR) AS "user",
+  SELECT CAST(l_orderkey AS BIGINT) AS id, CAST(o_custkey AS VARCHAR) AS "user",
     CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
                   * (1 + CAST(l_tax AS DECIMAL(4,2)))) AS DECIMAL(18,2)) AS DOUBLE) AS amount,
     max(l_shipdate) AS ts
@@ -296,10 +301,10 @@ src AS (
 
 CHANGE_LOG = """
 log0 AS (
-  SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount,
+  SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount,
     o_orderdate AS ts, 'insert' AS op, 1 AS version FROM orders
   UNION ALL
-  SELECT CAST(l_orderkey AS INTEGER), CAST(o_custkey AS VARCHAR), CAST(CAST(net AS DECIMAL(18,2)) AS DOUBLE),
+  SELECT CAST(l_orderkey AS BIGINT), CAST(o_custkey AS VARCHAR), CAST(CAST(net AS DECIMAL(18,2)) AS DOUBLE),
     l_shipdate, CASE WHEN drop = 1 THEN 'delete' ELSE 'update' END, CAST(l_linenumber + 1 AS INTEGER)
   FROM (SELECT l_orderkey, l_linenumber,
           sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS net,
@@ -356,7 +361,7 @@ SQL["view_projection"] = with_(TARGET) + """
 SELECT "user", amount, ts FROM target"""
 
 SQL["append_table"] = """
-SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount,
+SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount,
   o_orderdate AS ts FROM orders"""
 
 SQL["peek_ordered"] = with_(TARGET) + """
@@ -371,6 +376,10 @@ SELECT CAST(user_id AS VARCHAR) AS key, event_id AS offset, event_id AS id, CAST
 SQL["json_quarantine"] = """
 SELECT event_id AS offset, CAST(user_id AS VARCHAR) AS key FROM events WHERE event_type = 'error'"""
 
+SQL["stream_quarantine"] = """
+SELECT event_id AS offset, CASE WHEN NOT bad THEN value END AS amount, bad
+FROM (SELECT *, event_type = 'error' OR event_id % 10 = 0 AS bad FROM events)"""
+
 SQL["stream_to_silver"] = """
 SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount,
   epoch_us(o_orderdate) // 1000000 AS "timestamp", o_orderpriority AS category
@@ -402,6 +411,12 @@ SQL["compact"] = SQL["clean_intended"]
 SQL["partition_profile"] = with_(TARGET) + """
 SELECT strftime(ts, '%Y%m') AS month, CAST(ts AS DATE) AS dt, count(*) AS rows FROM target GROUP BY 1, 2"""
 
+SQL["file_report"] = with_(TARGET) + """
+SELECT strftime(ts, '%Y%m') AS month, count(*) AS record_count, 0 AS empty_files FROM target GROUP BY 1"""
+
+SQL["orphan_files"] = """
+SELECT o_orderpriority AS priority, count(*) AS orphan_rows FROM orders WHERE o_orderstatus = 'P' GROUP BY 1"""
+
 SQL["archive_by_day"] = with_(INTENDED) + """
 SELECT *, DATE '2024-01-31' AS archive_date FROM silver"""
 

@@ -55,6 +55,22 @@ def json_quarantine(spark, sf_dir):
     return bad.select("offset", F.col("key").cast("string").alias("key"))
 
 
+@register("stream_quarantine")
+def stream_quarantine(spark, sf_dir):
+    """SRC7 as a stream: damaged and empty payloads are parked, the good rows are kept; both are returned."""
+    root = work_dir(spark, "quarantine")
+    msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
+    env = messages.to_envelope(msgs, "user", "id", carry=["category"])
+    env = fixtures.truncate_payloads(env, F.col("category") == "error")
+    env = env.withColumn("value", F.when(F.col("offset") % 10 == 0, F.lit(" ").cast("binary")).otherwise(F.col("value")))
+    streams.write_envelope(env.drop("category"), f"{root}/input")
+    sink = streams.quarantine_sink(streams.parquet_batch_sink(f"{root}/good"), f"{root}/bad")
+    streams.await_all([streams.start_view(streams.envelope_stream(spark, f"{root}/input"), sink, f"{root}/chk")])
+    good = spark.read.parquet(f"{root}/good").select(F.col("id").alias("offset"), "amount", F.lit(False).alias("bad"))
+    bad = spark.read.parquet(f"{root}/bad").select("offset", F.lit(None).cast("double").alias("amount"), F.lit(True).alias("bad"))
+    return good.unionByName(bad)
+
+
 def _silver_and_alerts(spark, sf_dir):
     root = work_dir(spark, "silver_alerts")
     msgs = fixtures.messages_from_orders(table(spark, sf_dir, "orders"))
@@ -134,13 +150,20 @@ def stream_late_rows(spark, sf_dir):
 
 @register("incremental_summing")
 def incremental_summing(spark, sf_dir):
-    """STR7: the summing view kept up per micro-batch, read back with the collapse."""
+    """STR7: the summing view kept up per micro-batch, read back with the collapse. The topic comes
+    in two parts and at a capped rate, so there are several batches; between the parts the view is
+    folded to a baseline, and the last folded batch arrives a second time."""
     root = work_dir(spark, "summing_view")
-    _publish(spark, lambda n: _event_envelope(spark, sf_dir, n), f"{root}/input")
-    ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input")).drop("event_time")
+    msgs = fixtures.untidy_messages(table(spark, sf_dir, "events"))
     now = F.lit(fixtures.FIXED_NOW).cast("timestamp")
-    q = streams.start_view(ev, streams.summing_view_sink(f"{root}/view", now), f"{root}/chk")
-    streams.await_all([q])
+    sink = streams.summing_view_sink(f"{root}/view", now)
+    for part in (F.col("id") % 2 == 0, F.col("id") % 2 == 1):
+        _publish(spark, lambda n: messages.to_envelope(msgs.filter(part), "user", "id", partitions=n), f"{root}/input")
+        files_per_batch = max(1, topic_partitions(spark) // 2)
+        ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input", files_per_batch)).drop("event_time")
+        streams.await_all([streams.start_view(ev, sink, f"{root}/chk")])
+        last = streams.fold_view(spark, f"{root}/view", "summing")
+        sink(msgs.filter(part), last)   # a replay of a folded batch, whatever its rows, changes nothing
     return streams.read_summing_view(spark, f"{root}/view")
 
 

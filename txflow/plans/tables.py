@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.sql import functions as F
+
 from txflow.functions import values as V
 from txflow.operators import changes, cleaning, files, reports
 from txflow.plans.registry import change_log, raw_transactions, register, silver, target_table
@@ -35,13 +37,19 @@ def update_column(spark, sf_dir):
 @register("as_of_bucketed")
 def as_of_bucketed(spark, sf_dir):
     """CHG4 over the change log stored bucketed by id (one shuffle, at write): the
-    as-of read groups by id inside each bucket, with no shuffle. (A key heavier than
-    a bucket's share would make the writer store the log plain instead.)"""
+    as-of read groups by id inside each bucket, with no shuffle."""
     root = work_dir(spark, "log_bucketed")
     name = "txflow_log_" + root.rsplit("-", 1)[1]
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writers.save_bucketed(change_log(spark, sf_dir), name, ["id"], buckets, f"{root}/log", ["id", "version"])
-    return changes.as_of_version(spark.table(name), AS_OF_VERSION)
+    return _detached(spark, name, changes.as_of_version(spark.table(name), AS_OF_VERSION))
+
+
+def _detached(spark, name, df):
+    """``df``, whose table's catalog entry is dropped; the files of a table with a location stay."""
+    df.schema   # resolved before the entry goes
+    spark.sql(f"DROP TABLE {name}")
+    return df
 
 
 @register("version_history")
@@ -76,7 +84,7 @@ def append_table_q(spark, sf_dir):
         changes.ensure_table(spark, name, schemas.VERSIONED_TRANSACTIONS, location=f"{root}/table")
     writers.append_table(fixtures.versioned_transactions(orders), name)
     writers.append_table(fixtures.pending_transactions(orders), name)
-    return spark.table(name)
+    return _detached(spark, name, spark.table(name))
 
 
 @register("peek_ordered")
@@ -111,11 +119,32 @@ def compact(spark, sf_dir):
 
 @register("file_report")
 def file_report(spark, sf_dir):
-    """CHG6: per-file record counts of the laid-out transactions table (no oracle: paths)."""
+    """CHG6: the file report of the laid-out transactions table, added up per partition value (file names
+    differ from run to run); ``empty_files`` counts files without rows or bytes."""
     root = work_dir(spark, "layout")
     laid = files.layout_columns(target_table(spark, sf_dir))
     files.write_partitioned(laid, f"{root}/table", ["month"])
-    return files.file_report(spark, f"{root}/table", ["month"])
+    report = files.file_report(spark, f"{root}/table", ["month"])
+    return report.groupBy(F.col("month").cast("string").alias("month")).agg(
+        F.sum("record_count").alias("record_count"),
+        F.count_if((F.col("record_count") == 0) | (F.col("file_size_in_bytes") <= 0)).alias("empty_files"))
+
+
+@register("orphan_files")
+def orphan_files_q(spark, sf_dir):
+    """CHG8: live orders by priority (one has a blank in its name, so the folder too); the pending orders land in
+    the same folders without being referenced. Rows behind the files reported as orphans, by priority."""
+    root = work_dir(spark, "orphans")
+    orders = table(spark, sf_dir, "orders")
+    shown = orders.select("o_orderkey", "o_orderstatus", F.col("o_orderpriority").alias("priority"))
+    shown.filter("o_orderstatus <> 'P'").write.partitionBy("priority").parquet(f"{root}/table")
+    live = files.file_report(spark, f"{root}/table").select("file_path")
+    live.write.parquet(f"{root}/live")
+    shown.filter("o_orderstatus = 'P'").write.mode("append").partitionBy("priority").parquet(f"{root}/table")
+    later = _dt.datetime.now() + _dt.timedelta(days=10)
+    strays = files.orphan_files(spark, f"{root}/table", spark.read.parquet(f"{root}/live"), now=later)
+    behind = files.file_report(spark, f"{root}/table", ["priority"]).join(strays.select("file_path"), "file_path", "left_semi")
+    return behind.groupBy("priority").agg(F.sum("record_count").alias("orphan_rows"))
 
 
 @register("partition_profile")
@@ -130,9 +159,13 @@ def partition_profile(spark, sf_dir):
 
 @register("archive_by_day")
 def archive_by_day(spark, sf_dir):
-    """SNK8 re-aimed: the day's silver copied under archive_date=2024-01-31, read back."""
+    """SNK8 re-aimed: the day's silver copied under archive_date=2024-01-31 in two loads, the second one
+    repeated; both are read back whole."""
     root = work_dir(spark, "archive")
-    return files.archive_by_day(silver(spark, sf_dir), f"{root}/archive", ARCHIVE_DAY)
+    rows = silver(spark, sf_dir)
+    for load, part in (("even", F.col("id") % 2 == 0), ("odd", F.col("id") % 2 == 1), ("odd", F.col("id") % 2 == 1)):
+        files.archive_by_day(rows.filter(part), f"{root}/archive", ARCHIVE_DAY, load)
+    return files.archived_day(spark, f"{root}/archive", ARCHIVE_DAY)
 
 
 @register("csv_declared")

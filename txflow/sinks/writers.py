@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from txflow.operators.windows import flatten_window
 
@@ -45,39 +44,23 @@ def jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str, str]
         .mode("append").save()
 
 
-def heaviest_key_share(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(rows, rows of the most frequent key) in one aggregate over the key columns."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    r = per_key.agg(F.sum("_n").alias("rows"), F.max("_n").alias("worst")).first()
-    return int(r["rows"] or 0), int(r["worst"] or 0)
-
-
 def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, location: str | None = None,
-                  sort_cols: list[str] | None = None) -> bool:
+                  sort_cols: list[str] | None = None) -> str:
     """Catalog table bucketed (and sorted) by ``keys`` into ``buckets`` buckets: the
     Spark form of a bucket(n, key) layout. Later group-bys and joins on ``keys`` read
-    the buckets as they are, with no shuffle. Returns True when bucketed.
+    the buckets as they are, with no shuffle.
 
     The rows are hash-partitioned on the keys into exactly ``buckets`` partitions
     first (the same hash that places a row in its bucket), so each write task holds
     one bucket and the table gets one file per bucket, not tasks x buckets files.
     Size ``buckets`` with the data (e.g. the session's shuffle width): it is also the
-    number of read tasks.
-
-    A bucket is read by one task and cannot be split, so a key holding more rows
-    than a bucket's fair share (rows / buckets) would put its whole group on one
-    task. One aggregate over the key columns checks that first; with such a key the
-    table is written plain instead, and readers shuffle with partial aggregates,
-    which pre-combine the hot key in every map task.
+    number of read tasks. The layout is always the one asked for. A bucket can't be
+    split: for a key that holds a large share of the rows write a plain table, whose
+    readers pre-combine the key in every map task.
     """
-    rows, worst = heaviest_key_share(df, keys)
-    bucketed = worst <= max(1, rows // buckets)
-    if bucketed:
-        w = (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
-             .bucketBy(buckets, *keys).sortBy(*(sort_cols or keys)))
-    else:
-        w = df.write.mode("overwrite").format("parquet")
+    w = (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+         .bucketBy(buckets, *keys).sortBy(*(sort_cols or keys)))
     if location:
         w = w.option("path", location)
     w.saveAsTable(name)
-    return bucketed
+    return name

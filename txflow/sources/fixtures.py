@@ -65,8 +65,8 @@ def dirty_transactions(orders: DataFrame) -> DataFrame:
     copies = F.explode(F.sequence(F.lit(1), F.when(k % 20 == 0, F.lit(2)).otherwise(F.lit(1)))).alias("_copy")
     rows = orders.select(
         copies,
-        k.cast("int").alias("id"),
-        F.col("o_custkey").cast("int").alias("user_id"),
+        k.alias("id"),
+        F.col("o_custkey").alias("user_id"),
         amount.alias("amount"),
         _cycle(k, DIRTY_CATEGORIES).alias("category"),
         ts.alias("timestamp"),
@@ -80,7 +80,7 @@ def users_dimension(customer: DataFrame) -> DataFrame:
     age 18 + key % 60."""
     k = F.col("c_custkey")
     return customer.select(
-        k.cast("int").alias("user_id"),
+        k.alias("user_id"),
         F.col("c_name").alias("name"),
         F.when(k % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
         (F.lit(18) + k % 60).cast("int").alias("age"),
@@ -109,6 +109,17 @@ def messages_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def untidy_messages(events: DataFrame) -> DataFrame:
+    """The event messages as a careless producer sends them: by event id a time of 0 (k % 7 = 0) or none
+    (k % 11 = 0), no amount (k % 13 = 0), and every dirty category of the fixed list in turn."""
+    k = F.col("id")
+    return messages_from_events(events).select(
+        "id", "user",
+        F.when(k % 13 != 0, F.col("amount")).alias("amount"),
+        F.when(k % 7 == 0, F.lit(0)).when(k % 11 != 0, F.col("timestamp")).cast("bigint").alias("timestamp"),
+        F.when(k % 3 == 0, _cycle(k, DIRTY_CATEGORIES)).otherwise(F.col("category")).alias("category"))
+
+
 def messages_from_orders(orders: DataFrame) -> DataFrame:
     """Typed message rows from orders (large amounts, used for alerts)."""
     return orders.select(
@@ -122,7 +133,7 @@ def messages_from_orders(orders: DataFrame) -> DataFrame:
 
 def _as_versioned(orders: DataFrame) -> DataFrame:
     return orders.select(
-        F.col("o_orderkey").cast("int").alias("id"),
+        F.col("o_orderkey").alias("id"),
         F.col("o_custkey").cast("string").alias("user"),
         F.col("o_totalprice").alias("amount"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("ts"),
@@ -150,7 +161,7 @@ def settlements(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
     return per_order.join(orders.select("o_orderkey", "o_custkey"),
                           per_order.l_orderkey == orders.o_orderkey, "inner").select(
-        F.col("l_orderkey").cast("int").alias("id"),
+        F.col("l_orderkey").alias("id"),
         F.col("o_custkey").cast("string").alias("user"),
         F.col("amount"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
@@ -165,14 +176,7 @@ def change_log(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     discount of at least 0.08, else an 'update' (amount = net price of those lines).
     committed_at = start + version hours.
     """
-    inserts = orders.select(
-        F.col("o_orderkey").cast("int").alias("id"),
-        F.col("o_custkey").cast("string").alias("user"),
-        F.col("o_totalprice").alias("amount"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("ts"),
-        F.lit("insert").alias("op"),
-        F.lit(1).alias("version"),
-    )
+    inserts = _as_versioned(orders).withColumns({"op": F.lit("insert"), "version": F.lit(1)})
     # line numbers repeat within an order in the driver data: one change per
     # (order, line number), amounts added up, delete if any of the lines says so
     returned = (lineitem.filter(F.col("l_returnflag") == "R")
@@ -185,7 +189,7 @@ def change_log(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                     .alias("drop")))
     changes = returned.join(orders.select("o_orderkey", "o_custkey"),
                             returned.l_orderkey == orders.o_orderkey, "inner").select(
-        F.col("l_orderkey").cast("int").alias("id"),
+        F.col("l_orderkey").alias("id"),
         F.col("o_custkey").cast("string").alias("user"),
         F.col("net").cast("decimal(18,2)").cast("double").alias("amount"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("ts"),

@@ -29,15 +29,6 @@ def enrich(messages: DataFrame, key: str = "id") -> DataFrame:
             .withColumn("type", C.pick(key, V.PRODUCER_TYPES, salt=3)))
 
 
-def head_by_key(df: DataFrame, key: str = "id", n: int = V.PRODUCER_MAX_INDEX + 2) -> DataFrame:
-    """The first n rows in key order (CLN13): the producer's cap of 80,002 messages.
-    For a cap this large the cut key is found by histogram refinement
-    (``operators.topn.first_n``) instead of funnelling n rows per partition into one
-    task."""
-    from txflow.operators.topn import first_n
-    return first_n(df, key, n)
-
-
 def to_envelope(messages: DataFrame, key: str = "user", offset: str = "id", event_time: str | None = None,
                 topic: str = "raw_transactions", partitions: int = 3, carry: list[str] | None = None) -> DataFrame:
     """Rows -> envelope: key = key column as bytes, value = JSON of all columns (SNK7).
@@ -83,16 +74,16 @@ def typed(decoded: DataFrame) -> DataFrame:
 
 def decode_with_quarantine(envelope: DataFrame, ddl: str = schemas.LOOSE_MESSAGE,
                            keep: list[str] | None = None) -> DataFrame:
-    """Decode and flag: ``_bad`` is true when the value is missing or not valid JSON
-    for the schema; ``_corrupt_record`` holds the broken text (SRC7)."""
+    """Decode and flag: ``_bad`` is true when the value is missing, empty or blank (no
+    JSON object at all), or not valid JSON for the schema; ``_corrupt_record`` holds the
+    broken text (SRC7)."""
     keep = keep or ["partition", "offset"]
     ddl_c = f"{ddl}, {CORRUPT_COLUMN} STRING"
     data = F.from_json(F.col("value").cast("string"), ddl_c,
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}).alias("data")
-    out = envelope.select(*keep, F.col("value").isNull().alias("_null_value"), data).select(
-        *keep, "_null_value", "data.*")
-    return (out.withColumn("_bad", F.col("_null_value") | F.col(CORRUPT_COLUMN).isNotNull())
-            .drop("_null_value"))
+    parsed = envelope.select(*keep, data)
+    bad = F.col("data").isNull() | F.col(f"data.{CORRUPT_COLUMN}").isNotNull()
+    return parsed.select(*keep, "data.*", bad.alias("_bad"))
 
 
 def split_quarantine(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -106,10 +97,11 @@ class TooManyBrokenMessages(RuntimeError):
     pass
 
 
-def check_broken(bad_count: int, limit: int = V.MAX_BROKEN_MESSAGES) -> None:
-    """Skip up to ``limit`` broken messages per block; refuse the block beyond that."""
-    if bad_count > limit:
-        raise TooManyBrokenMessages(f"{bad_count} broken messages in one batch (limit {limit})")
+def check_broken(bad_count: int, count: int, most: float | None = None) -> None:
+    """Refuse a block of ``count`` messages when more than the share ``most`` of them is broken;
+    no limit by default. A share, so that it means the same at every block size."""
+    if most is not None and bad_count > most * count:
+        raise TooManyBrokenMessages(f"{bad_count} of {count} messages of one batch are broken (at most {most:.2%})")
 
 
 def big_amounts(messages: DataFrame, threshold: float = V.BIG_AMOUNT_THRESHOLD) -> DataFrame:

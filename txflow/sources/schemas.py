@@ -1,26 +1,14 @@
 """Schemas as DDL strings, one per place data lives."""
 
-RAW_TRANSACTIONS = "id INT, user_id INT, amount STRING, category STRING, timestamp STRING, city STRING"
-SILVER_TRANSACTIONS = "id INT, user_id INT, amount DOUBLE, category STRING, timestamp TIMESTAMP_NTZ, city STRING"
-# how the stream jobs declared the message (kept for reference; too strict, see LOOSE_MESSAGE)
-STRICT_MESSAGE = "id INT, user STRING, amount INT, timestamp LONG, category STRING"
+RAW_TRANSACTIONS = "id BIGINT, user_id BIGINT, amount STRING, category STRING, timestamp STRING, city STRING"
 # decode every field as text, then convert with try_cast: numbers and strings both arrive
 LOOSE_MESSAGE = "id STRING, user STRING, amount STRING, timestamp STRING, category STRING"
 TYPED_MESSAGE = "id BIGINT, user STRING, amount DOUBLE, timestamp BIGINT, category STRING"
 ENVELOPE = "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
-USERS = "user_id INT, name STRING, gender STRING, age INT"
-SEGMENTS = "user STRING, segment STRING"
-VERSIONED_TRANSACTIONS = "id INT, user STRING, amount DOUBLE, ts TIMESTAMP_NTZ"
+VERSIONED_TRANSACTIONS = "id BIGINT, user STRING, amount DOUBLE, ts TIMESTAMP_NTZ"
 CHANGE_LOG = (
-    "id INT, user STRING, amount DOUBLE, ts TIMESTAMP_NTZ, op STRING, version INT, committed_at TIMESTAMP_NTZ"
+    "id BIGINT, user STRING, amount DOUBLE, ts TIMESTAMP_NTZ, op STRING, version INT, committed_at TIMESTAMP_NTZ"
 )
-WINDOWED_STATS = "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, category STRING, total_sum DOUBLE, tx_count BIGINT"
-WINDOWED_STATS_FLAT = (
-    "category STRING, total_sum DOUBLE, tx_count BIGINT, window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ"
-)
-SUMMING = "timer TIMESTAMP_NTZ, category STRING, total_sum DECIMAL(18,2), tx_count BIGINT"
-LATEST = "id BIGINT, user STRING, amount DOUBLE, timestamp BIGINT, category STRING, event_time TIMESTAMP_NTZ"
-GENERATED_USERS = "id BIGINT, user STRING, ts TIMESTAMP_NTZ"
 
 # The driver tables this library reads, as stored (same at every scale factor). A
 # declared schema skips the footer read of schema inference and pins the types: a

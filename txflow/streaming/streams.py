@@ -14,8 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from txflow.functions import columns as C
@@ -23,10 +25,6 @@ from txflow.functions import values as V
 from txflow.operators import collapse, windows
 from txflow.sources import messages, schemas
 
-# The source job ran its stateful query with 4 shuffle partitions; that is fixed in the
-# checkpoint at the first start and far too few for a cluster, so by default the
-# session's width is kept and callers size it for the data (e.g. 2-4x the cores).
-SOURCE_STATE_PARTITIONS = 4
 STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
 STATE_STORES = {
     "hdfs": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
@@ -61,10 +59,10 @@ def default_state_width(spark: SparkSession) -> int:
 # --- sources ------------------------------------------------------------------
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
-                 max_offsets_per_trigger: int | None = V.MAX_OFFSETS_PER_TRIGGER,
+                 max_offsets_per_trigger: int | None = None,
                  fail_on_data_loss: bool = False, min_partitions: int | None = None) -> DataFrame:
     """Subscribe to one topic from ``starting``, at most ``max_offsets_per_trigger``
-    offsets per micro-batch (SRC5). Needs the spark-sql-kafka connector.
+    offsets per micro-batch if given (SRC5; a job that wants the cap of the fixed values passes it). Needs the spark-sql-kafka connector.
 
     Spark reads one task per topic partition; ``min_partitions`` lets the source
     split large offset ranges into more tasks, so a hot topic partition (keyed
@@ -284,49 +282,69 @@ def start_view(stream: DataFrame, sink: BatchSink, checkpoint: str, available_no
     return _stream_writer(stream, checkpoint, available_now, None).foreachBatch(sink).start()
 
 
+def _collapse_view(rows: DataFrame, kind: str) -> DataFrame:
+    if kind == "summing":
+        return collapse.collapse_summing(rows)
+    if kind == "latest":
+        return collapse.latest_version(rows, [F.to_date("event_time"), "id"], "timestamp", "seq")
+    raise ValueError(kind)
+
+
+BASELINE = "_baseline"   # beside the batches; a reader of the batches passes over names with an underscore
+
+
+def _view_rows(spark: SparkSession, path: str) -> tuple[DataFrame, int | None]:
+    """(rows of the newest baseline and of the batches after it, the last batch of that baseline)."""
+    try:
+        base = spark.read.parquet(f"{path}/{BASELINE}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.read.parquet(path).drop("batch_id"), None
+    through = base.agg(F.max("through")).first()[0]
+    base = base.filter(F.col("through") == through).drop("through")
+    batches = spark.read.schema(T.StructType([*base.schema, T.StructField("batch_id", T.LongType())])).parquet(path)
+    return base.unionByName(batches.filter(F.col("batch_id") > through).drop("batch_id")), through
+
+
 def read_summing_view(spark: SparkSession, path: str) -> DataFrame:
-    return collapse.collapse_summing(spark.read.parquet(path).drop("batch_id"))
+    return _collapse_view(_view_rows(spark, path)[0], "summing")
 
 
 def read_latest_view(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path).drop("batch_id")
-    return collapse.latest_version(rows, [F.to_date("event_time"), "id"], "timestamp", "seq").drop("seq")
+    return _collapse_view(_view_rows(spark, path)[0], "latest").drop("seq")
 
 
-def quarantine_sink(good: BatchSink, bad_path: str, limit: int = V.MAX_BROKEN_MESSAGES,
+def quarantine_sink(good: BatchSink, bad_path: str, most: float | None = None,
                     ddl: str = schemas.LOOSE_MESSAGE) -> BatchSink:
     """SRC7 for streams: decode each raw envelope batch, park broken messages under
-    ``bad_path/batch_id=N``, refuse the batch when more than ``limit`` are broken, and
-    hand the good rows (typed) to ``good``. The batch is decoded once (persisted)."""
+    ``bad_path/batch_id=N`` before anything else, refuse the batch when more than the share
+    ``most`` of it is broken (no limit by default), and hand the good rows (typed) to ``good``.
+    The batch is decoded once (persisted)."""
     write_bad = parquet_batch_sink(bad_path)
 
     def sink(env: DataFrame, batch_id: int) -> None:
         flagged = messages.decode_with_quarantine(env, ddl, keep=["key", "partition", "offset"]).persist()
         try:
             ok, bad = messages.split_quarantine(flagged)
-            n_bad = bad.count()
-            messages.check_broken(n_bad, limit)
+            n, n_bad = flagged.agg(F.count("*"), F.count_if("_bad")).first()
             if n_bad:
                 write_bad(bad.select("key", "partition", "offset", messages.CORRUPT_COLUMN), batch_id)
+            messages.check_broken(n_bad, n, most)
             good(messages.typed(ok), batch_id)
         finally:
             flagged.unpersist()
     return sink
 
 
-def fold_view(spark: SparkSession, path: str, out_path: str, kind: str) -> str:
-    """Background merge of a continuous view: collapse all per-batch partials into one
-    baseline partition (labelled with the newest folded batch id) in a new directory.
-    Readers get the same answer from ``out_path`` with one partial instead of many;
-    new batches can keep landing beside it. ``kind`` is 'summing' or 'latest'."""
-    parts = spark.read.parquet(path)
-    last = parts.agg(F.max("batch_id")).first()[0]
-    rows = parts.drop("batch_id")
-    if kind == "summing":
-        folded = collapse.collapse_summing(rows)
-    elif kind == "latest":
-        folded = collapse.latest_version(rows, [F.to_date("event_time"), "id"], "timestamp", "seq")
-    else:
-        raise ValueError(kind)
-    parquet_batch_sink(out_path)(folded, int(last))
-    return out_path
+def fold_view(spark: SparkSession, path: str, kind: str) -> int:
+    """Background merge of a continuous view: everything up to the newest batch N becomes one
+    baseline, ``path/_baseline/through=N``. Readers take the newest baseline and the batches after
+    it, so a replay of batch N or an earlier one changes nothing, and new batches land as before.
+    Returns N. ``kind`` is 'summing' or 'latest'. A view folded twice at the same N stays as it is."""
+    rows, through = _view_rows(spark, path)
+    last = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    if through is not None and last <= through:
+        return through
+    _collapse_view(rows, kind).write.parquet(f"{path}/{BASELINE}/through={int(last)}")
+    return int(last)
