@@ -1,34 +1 @@
 """Scalar column functions and fixed vocabularies."""
-
-from txflow.functions import values
-from txflow.functions.columns import (
-    category_as_written,
-    category_multiif,
-    city_as_written,
-    clock_fallback,
-    epoch_to_timestamp,
-    intended_category,
-    intended_city,
-    money,
-    normalized_category,
-    null_if_in,
-    parse_amount_or_zero,
-    parse_decimal_comma,
-    parse_timestamp,
-    pick,
-    recode,
-    strip_all_space,
-    strip_edges,
-    timestamp_to_epoch,
-    to_instant,
-    to_wall_clock,
-    tolerant_cast,
-)
-
-__all__ = [
-    "values", "category_as_written", "category_multiif", "city_as_written", "clock_fallback",
-    "epoch_to_timestamp", "intended_category", "intended_city", "money", "normalized_category",
-    "null_if_in", "parse_amount_or_zero", "parse_decimal_comma", "parse_timestamp", "pick",
-    "recode", "strip_all_space", "strip_edges", "timestamp_to_epoch", "to_instant",
-    "to_wall_clock", "tolerant_cast",
-]

@@ -240,7 +240,7 @@ SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FRO
 
 LATEST = """
 acct AS (SELECT user_id AS id, CAST(user_id AS VARCHAR) AS "user", value AS amount,
-  epoch_us(ts) // 1000000 AS "timestamp", event_type AS category, event_id AS seq FROM events),
+  epoch_us(ts) // 3600000000 * 3600 AS "timestamp", event_type AS category, event_id AS seq FROM events),
 latest AS (
   SELECT id, "user", amount, "timestamp", category, make_timestamp("timestamp" * 1000000) AS event_time
   FROM acct
@@ -279,7 +279,7 @@ SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start,
 FROM events GROUP BY 1, 2, 3"""
 
 SQL["parquet_scan"] = """
-SELECT event_id, event_type, value FROM events WHERE value > 0"""
+SELECT event_id, event_type, value FROM events WHERE value > 50"""
 
 SQL["generate_users"] = """
 SELECT CAST(i AS BIGINT) AS id, 'user_' || CAST(i AS VARCHAR) AS "user", TIMESTAMP '2024-02-01 00:00:00' AS ts
@@ -381,9 +381,11 @@ SELECT event_id AS offset, CASE WHEN NOT bad THEN value END AS amount, bad
 FROM (SELECT *, event_type = 'error' OR event_id % 10 = 0 AS bad FROM events)"""
 
 SQL["stream_to_silver"] = """
-SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount,
-  epoch_us(o_orderdate) // 1000000 AS "timestamp", o_orderpriority AS category
-FROM orders WHERE o_totalprice > 0"""
+WITH clean AS (SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS "user",
+                 CASE WHEN o_orderkey % 9 = 0 THEN -o_totalprice WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS amount,
+                 epoch_us(o_orderdate) // 1000000 AS "timestamp", o_orderpriority AS category FROM orders)
+SELECT 'silver' AS sink, * FROM clean WHERE amount > 0
+UNION ALL SELECT 'alerts', NULL, "user", amount, NULL, category FROM clean WHERE amount > 10000"""
 
 SQL["stream_alerts"] = """
 SELECT CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount, o_orderpriority AS category

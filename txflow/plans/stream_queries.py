@@ -82,10 +82,21 @@ def _silver_and_alerts(spark, sf_dir):
 
 @register("stream_to_silver")
 def stream_to_silver(spark, sf_dir):
-    """Stream of order messages -> amount > 0 -> parquet partitioned by category."""
-    root = _silver_and_alerts(spark, sf_dir)
-    schema = "id BIGINT, user STRING, amount DOUBLE, timestamp BIGINT, category STRING"
-    return spark.read.schema(schema).parquet(f"{root}/silver")
+    """SNK2 + SNK4: stream of order messages, some with a negative amount or none, in several batches ->
+    amount > 0 -> two sinks of one decoded batch: silver by category, and alerts. Both are returned."""
+    root = work_dir(spark, "silver_with_alerts")
+    msgs = fixtures.messages_from_orders(table(spark, sf_dir, "orders"))
+    k = F.col("id")
+    msgs = msgs.withColumn("amount", F.when(k % 9 == 0, -F.col("amount")).when(k % 10 != 0, F.col("amount")))
+    _publish(spark, lambda n: messages.to_envelope(msgs, "user", "id", partitions=n), f"{root}/input")
+    streams.run_silver_with_alerts(spark, f"{root}/input", f"{root}/silver", f"{root}/alerts", f"{root}/chk",
+                                   V.ALERT_THRESHOLD, max(1, topic_partitions(spark) // 2))
+    silver = spark.read.parquet(f"{root}/silver").select(
+        F.lit("silver").alias("sink"), "id", "user", "amount", "timestamp", F.col("category").cast("string").alias("category"))
+    alerts = spark.read.parquet(f"{root}/alerts").select(
+        F.lit("alerts").alias("sink"), F.lit(None).cast("bigint").alias("id"), "user", "amount",
+        F.lit(None).cast("bigint").alias("timestamp"), "category")
+    return silver.unionByName(alerts)
 
 
 @register("stream_alerts")

@@ -64,7 +64,13 @@ def as_of_version(spark, sf_dir):
 
 @register("retain_last_versions")
 def retain_last_versions(spark, sf_dir):
-    return changes.retain_last_versions(change_log(spark, sf_dir), V.RETAIN_LAST_VERSIONS)
+    """CHG5 over the stored log, one folder per version: the newest versions, the baseline and the tail each
+    read the files they need, and the log is computed once."""
+    path = f"{work_dir(spark, 'log')}/log"
+    log = change_log(spark, sf_dir)
+    log.write.partitionBy("version").parquet(path)
+    return changes.retain_last_versions(spark.read.schema(log.schema).parquet(path).select(*log.columns),
+                                        V.RETAIN_LAST_VERSIONS)
 
 
 @register("view_projection")

@@ -203,12 +203,13 @@ def change_log(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 def account_messages(events: DataFrame) -> DataFrame:
     """Messages keyed by account (id = user_id), in arrival order ``seq`` = event_id:
-    the input of the replacing (latest-version) table."""
+    the input of the replacing (latest-version) table. Times are whole hours, so that
+    versions of an account tie and the last to arrive wins."""
     return events.select(
         F.col("user_id").alias("id"),
         F.col("user_id").cast("string").alias("user"),
         F.col("value").alias("amount"),
-        C.timestamp_to_epoch("ts").alias("timestamp"),
+        (C.timestamp_to_epoch("ts") - C.timestamp_to_epoch("ts") % 3600).alias("timestamp"),
         F.col("event_type").alias("category"),
         F.col("event_id").alias("seq"),
     )

@@ -155,18 +155,37 @@ def run_silver_and_alerts(spark: SparkSession, env_path: str, silver_path: str,
     await_all([q1, q2])
 
 
+def run_silver_with_alerts(spark: SparkSession, env_path: str, silver_path: str, alerts_path: str, checkpoint: str,
+                           threshold: float = V.ALERT_THRESHOLD, max_files_per_trigger: int | None = None) -> None:
+    """SNK2 and SNK3 from one read and one decode of the topic: each cleaned micro-batch goes to
+    the silver sink (by category) and its large amounts to the alert sink."""
+    clean = positive_amounts(decoded(envelope_stream(spark, env_path, max_files_per_trigger))).drop("event_time")
+    alert_sink = parquet_batch_sink(alerts_path)
+
+    def alerts(batch: DataFrame, batch_id: int) -> None:
+        alert_sink(messages.big_amounts(batch, threshold).select("user", "amount", "category"), batch_id)
+
+    both = multi_sink(parquet_batch_sink(silver_path, partition_by=["category"]), alerts)
+    await_all([_stream_writer(clean, checkpoint, True, None).foreachBatch(both).start()])
+
+
 # --- foreachBatch: several sinks per micro-batch -------------------------------
 
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def parquet_batch_sink(path: str, partition_col: str = "batch_id") -> BatchSink:
+def parquet_batch_sink(path: str, partition_col: str = "batch_id", partition_by: list[str] | None = None) -> BatchSink:
     """Writes each micro-batch to ``path/batch_id=N``, replacing that folder only:
-    a replayed batch overwrites its own earlier output (dynamic partition overwrite)."""
+    a replayed batch overwrites its own earlier output (dynamic partition overwrite).
+    Batch ids are those of one checkpoint: a new checkpoint starts at 0, so it needs a
+    new ``path``. ``partition_by`` adds folders below the batch's; the rows are then
+    dealt by them first (a hot one is split at run time), so that not every task
+    writes a small file into every folder."""
     def sink(df: DataFrame, batch_id: int) -> None:
-        (df.withColumn(partition_col, F.lit(batch_id).cast("bigint")).write
+        dealt = df.hint("rebalance", *partition_by) if partition_by else df
+        (dealt.withColumn(partition_col, F.lit(batch_id).cast("bigint")).write
          .option("partitionOverwriteMode", "dynamic").mode("overwrite")
-         .partitionBy(partition_col).parquet(path))
+         .partitionBy(partition_col, *(partition_by or [])).parquet(path))
     return sink
 
 
