@@ -68,7 +68,7 @@ def test_scan_pushes_filter_and_prunes(spark):
     from __spark_entry__ import queries
     df = queries()["parquet_scan"](spark, SF001)
     text = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(value), GreaterThan(value,0.0)]" in text
+    assert "PushedFilters: [IsNotNull(value), GreaterThan(value,50.0)]" in text
     assert "ReadSchema: struct<event_id:bigint,event_type:string,value:double>" in text
 
 
