@@ -154,14 +154,23 @@ class Ftrl:
 
 
 def _temperature(logits: np.ndarray, target: np.ndarray) -> float:
-    """The temperature of lowest log loss, by golden-section search on its logarithm."""
+    """The temperature of lowest log loss, by golden-section search on its logarithm.
+
+    The label counts (n + 1) / (n + 2) and the rest is shared by the others, as in Platt's scaling: n rows
+    that are all told right don't show that an error is impossible.
+    """
+    n, classes = logits.shape
+    spared = 1.0 / (n + 2)
+    share = np.full(logits.shape, spared / (classes - 1))
+    share[np.arange(n), target] = 1.0 - spared
+
     def loss(log_t: float) -> float:
         scaled = logits / np.exp(log_t)
         scaled = scaled - scaled.max(1, keepdims=True)
-        return float((np.log(np.exp(scaled).sum(1)) - scaled[np.arange(len(target)), target]).mean())
+        return float((np.log(np.exp(scaled).sum(1)) - (scaled * share).sum(1)).mean())
 
-    low, high, cut = -3.0, 3.0, (np.sqrt(5) - 1) / 2
-    for _ in range(40):
+    low, high, cut = -5.0, 5.0, (np.sqrt(5) - 1) / 2
+    for _ in range(50):
         a, b = high - cut * (high - low), low + cut * (high - low)
         low, high = (low, b) if loss(a) <= loss(b) else (a, high)
     return float(np.exp((low + high) / 2))
@@ -225,7 +234,7 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text", out_col: s
 
 
 def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    least: float = 0.4) -> DataFrame:
+                    least: float = 0.3) -> DataFrame:
     """``docs`` without the rows whose language is ``und`` or told with less than ``least``; columns as they were.
 
     Repeated rows stay. If nothing could be learned, every row with a letter stays.
