@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from txflow.llm.queries import op10_secrets
-from txflow.llm.secret_scan import ALLOWED, CLASSES, KINDS, WINDOW, find_secrets, redact, window_entropy
+from txflow.llm.secret_scan import ALLOWED, KINDS, WINDOW, find_secrets, redact, window_entropy
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
+RUNS = [(r"(?<![A-Za-z0-9+/=_-])[0-9a-fA-F]{20,}(?![A-Za-z0-9+/=_-])", 3.0), (r"[A-Za-z0-9+/=_-]{20,}", 3.9)]
+
 
 def entropy(run):
     best = 0.0
@@ -26,7 +28,7 @@ def brute(text):
     base = [(m.start(), 0, m.end()) for m in re.finditer(ASSIGN, text, re.ASCII) if len(m[2]) >= 6]
     base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
-    more = {(m.start(), 3, m.end()) for _, pattern, least in CLASSES.values() for m in re.finditer(pattern, text)
+    more = {(m.start(), 3, m.end()) for pattern, least in RUNS for m in re.finditer(pattern, text)
             if not any(re.search(a, m[0]) for a in ALLOWED) and entropy(m[0]) >= least - 1e-9}
     more = [s for s in more if not any(b[0] < s[2] and s[0] < b[2] for b in base)]
     return sorted(base), sorted(base + more)
@@ -86,3 +88,26 @@ def test_redact(spark, odd_docs, no_docs):
     assert redact(df).schema == df.schema
     out = redact(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count() and redact(no_docs).count() == 0
+
+
+def test_many_spans_and_long_runs(spark):
+    """More spans than one block holds, spans over a block's end, runs longer than one fold, and runs that a
+    backtracking pattern would not finish."""
+    rng = random.Random(5)
+    hashes = [hashlib.md5(str(i).encode()).hexdigest() for i in range(1500)]
+    mixed = "".join(rng.choices(string.ascii_letters + string.digits, k=25))
+    texts = ["é\n".join(hashes), "".join(f"token={h} {mixed[i % 5:]}{i}Zq " for i, h in enumerate(hashes[:700])),
+             "-" * 60 + "1a", "a-" * 30_000 + "1a2b3", "a1_" * 30_000 + "x", "=" * 40_000 + "9z",
+             "ab1" * 9000 + mixed, "ab1" * 2730 + mixed + "ab1" * 3000]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    clean = {r["doc_id"]: r["text"] for r in redact(df).collect()}
+    for r in find_secrets(df).collect():
+        text = texts[r["doc_id"]]
+        base, spans = brute(text)
+        assert ([tuple(s) for s in r["base"]], [tuple(s) for s in r["spans"]]) == (base, spans)
+        out, at = [], 0
+        for start, _, end in spans:
+            if start >= at:
+                out += [text[at:start], "[SECRET]"]
+            at = max(at, end)
+        assert clean[r["doc_id"]] == "".join(out) + text[at:]

@@ -9,6 +9,7 @@ reaches the class's threshold is a secret unless the allow list knows it. DataFr
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,19 +25,20 @@ HEX = r"[0-9a-f]{24,}"
 WINDOW = 20
 HEX_DIGITS = "0123456789abcdefABCDEF"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
-# class: its characters, the pattern of a run, the least entropy of a window in bits per character
-CLASSES = {
-    "hex": (HEX_DIGITS, r"(?<![A-Za-z0-9+/=_-])[0-9a-fA-F]{20,}(?![A-Za-z0-9+/=_-])", 3.0),
-    "base64": (BASE64, r"[A-Za-z0-9+/=_-]{20,}", 3.9),
-}
-# known to be no secret: placeholders, alphabets, words or numbers joined by marks, one kind of letter only
+RUN = r"[A-Za-z0-9+/=_-]{20,}"
+# class: its characters, what tells its runs, the least entropy of a window in bits per character
+CLASSES = {"hex": (HEX_DIGITS, r"^[0-9a-fA-F]+$", 3.0), "base64": (BASE64, r"[^0-9a-fA-F]", 3.9)}
+# known to be no secret: placeholders, alphabets, letters or numbers joined by marks, numbered words joined by marks.
+# Possessive, so that a run of any length is read once
 ALLOWED = (
     r"(?i)example|sample|placeholder|changeme|dummy|redacted|x{6}|0{8}|12345678|abcdefgh",
-    r"^[A-Za-z]*(?:[-_/+=]+[A-Za-z]*)*$",
-    r"^[0-9]*(?:[-_/+=]+[0-9]*)*$",
+    r"^[A-Za-z/+=_-]*+$",
+    r"^[0-9/+=_-]*+$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^(?:[A-Za-z]+[0-9]{0,4}|[0-9]{1,4})(?:[-_/+=]+(?:[A-Za-z]+[0-9]{0,4}|[0-9]{1,4}))+$",
+    r"^(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,4}+)(?:[-_/+=]++(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,4}+))++$",
 )
+AT_ONCE = 512            # items of one fold: appending copies, so a fold over all items would be quadratic
+WINDOWS_AT_ONCE = 8192   # windows of a long run that are looked at in one fold
 
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
 NONE = f"array<{SPAN}>"
@@ -46,30 +48,66 @@ def _empty(kind: str = NONE) -> Column:
     return F.array().cast(kind)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once; a lambda would compute the expression anew for each item."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(items: Column) -> Column:
+    """``items`` (a variable or column) in arrays of AT_ONCE."""
+    firsts = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(AT_ONCE))).otherwise(_empty("array<int>"))
+    return F.transform(firsts, lambda i: F.slice(items, i, F.lit(AT_ONCE)))
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """(at, before): all ``values`` (bigint) combined from 0 on, and for each value those before it combined."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), _empty("array<bigint>").alias("before"))
+    return F.aggregate(values, start, lambda acc, x: F.struct(
+        combine(acc["at"], x).alias("at"), F.array_append(acc["before"], acc["at"]).alias("before")))
+
+
+def _sums_before(sizes: Column) -> Column:
+    """For each of ``sizes`` the sum of those before it: block by block, then moved by the blocks before."""
+    def moved(blocks: Column) -> Column:
+        totals = _running(F.transform(blocks, lambda b: b["at"]), lambda x, y: x + y)
+        return F.flatten(F.zip_with(blocks, totals["before"], lambda b, by: F.transform(b["before"], lambda x: x + by)))
+
+    return _let(F.transform(_blocks(sizes), lambda b: _running(b, lambda x, y: x + y)), moved)
+
+
 def _placed(text: Column, pattern: str) -> Column:
     """(start, match) of every match in order: the text between matches and the matches are laid end to end."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g).cast("long"))
-    steps = F.zip_with(gaps, matches, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), _empty("array<bigint>").alias("starts"))
+    pairs = F.filter(F.zip_with(F.split(text, pattern, -1), matches, lambda g, m: F.struct(
+        F.length(g).cast("long").alias("gap"), m.alias("match"))), lambda p: p["match"].isNotNull())
+
+    def placed(steps: Column) -> Column:
+        return _let(F.transform(steps, lambda p: p["gap"] + F.length(p["match"])), lambda sizes: F.zip_with(
+            steps, _sums_before(sizes), lambda p, before: F.struct((before + p["gap"]).alias("start"), p["match"].alias("match"))))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["gap"]
-        return F.struct((begin + F.coalesce(F.length(x["match"]), F.lit(0))).alias("at"),
-                        F.array_append(acc["starts"], begin).alias("starts"))
+    return _let(pairs, placed)
 
-    starts = F.aggregate(steps, start, step)["starts"]
-    return F.zip_with(F.slice(starts, F.lit(1), F.size(matches)), matches,
-                      lambda s, m: F.struct(s.alias("start"), m.alias("match")))
 
+def _span(place: Column, kind: str) -> Column:
+    return F.struct(place["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"),
+                    (place["start"] + F.length(place["match"])).alias("end"))
 
-def _spans(text: Column, pattern: str, kind: str, fits) -> Column:
-    found = F.transform(F.filter(_placed(text, pattern), lambda p: fits(p["match"])), lambda p: F.struct(
-        p["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"),
-        (p["start"] + F.length(p["match"])).alias("end")))
+
+def _spans(text: Column, pattern: str, kind: str, fits: Callable[[Column], Column]) -> Column:
+    found = F.transform(F.filter(_placed(text, pattern), fits), lambda p: _span(p, kind))
     return F.when(text.rlike(pattern), found).otherwise(_empty())
 
 
+def _untouched(spans: Column) -> Callable[[Column], Column]:
+    """Does a place touch none of ``spans`` (a variable: blocks with their first start and last end)?"""
+    def free(place: Column) -> Column:
+        end = place["start"] + F.length(place["match"])
+        return ~F.exists(spans, lambda b: (b["first"] < end) & (place["start"] < b["beyond"]) & F.exists(
+            b["spans"], lambda s: (s["start"] < end) & (place["start"] < s["end"])))
+
+    return free
+
+
 def _c_log_c(most: int) -> Column:
     return F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(most + 1)])
 
@@ -79,9 +117,11 @@ def window_entropy(run: Column, alphabet: str, window: int = WINDOW) -> Column:
 
     ``run`` holds characters of ``alphabet`` only and is at least as long as the window.
     """
-    numbers = F.transform(F.split(run, ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
-    late = F.slice(F.concat(F.array_repeat(F.lit(-1), window), numbers), F.lit(1), F.size(numbers))
-    moves = F.zip_with(numbers, late, lambda e, x: F.struct(e.alias("enters"), x.alias("leaves")))
+    def paired(numbers: Column) -> Column:
+        late = F.slice(F.concat(F.array_repeat(F.lit(-1), window), numbers), F.lit(1), F.size(numbers))
+        return F.zip_with(numbers, late, lambda e, x: F.struct(e.alias("enters"), x.alias("leaves")))
+
+    moves = _let(F.transform(F.split(run, ""), lambda c: F.instr(F.lit(alphabet), c) - 1), paired)
     f = _c_log_c(window)
     state = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0.0).alias("sum"),
                      F.lit(float("inf")).alias("least"), F.lit(0).alias("at"))
@@ -112,27 +152,39 @@ def _allowed(run: Column) -> Column:
     return out
 
 
+def _rich(run: Column) -> Column:
+    """Has the run a window that reaches its class's threshold? Long runs are cut so that every window is in one part."""
+    firsts = F.sequence(F.lit(1), F.length(run) - (WINDOW - 1), F.lit(WINDOWS_AT_ONCE))
+
+    def reaches(alphabet: str, least: float) -> Column:
+        return F.exists(firsts, lambda at: window_entropy(
+            F.substring(run, at, F.lit(WINDOWS_AT_ONCE + WINDOW - 1)), alphabet) >= least)
+
+    (hex_digits, only_hex, hex_least), (base64, _, least) = CLASSES["hex"], CLASSES["base64"]
+    return F.when(run.rlike(only_hex), reaches(hex_digits, hex_least)).otherwise(reaches(base64, least))
+
+
 def with_spans(docs: DataFrame, text_col: str, base_col: str, spans_col: str) -> DataFrame:
     """``docs`` with the base spans and all spans, arrays of (start, kind, end) in order of start and kind.
 
-    An entropy span that touches a base span, or an earlier one of its own, is left out. A null text is empty.
+    A candidate run that touches a base span is left out. A null text is empty. Work grows evenly with the
+    length of a text and of its runs, but for one look at each block of AT_ONCE base spans per candidate.
     """
     text = text_of(F.col(text_col))
     base = F.array_sort(F.concat(
-        _spans(text, ASSIGN, "assign", lambda m: F.length(F.regexp_extract(m, ASSIGN, 1)) >= 6),
-        _spans(text, ACCESS, "access", lambda m: F.lit(True)),
-        _spans(text, HEX, "hex", lambda m: F.lit(True))))
-    windows = []
-    for alphabet, pattern, least in CLASSES.values():
-        def rich(run: Column, alphabet=alphabet, least=least) -> Column:
-            return ~_allowed(run) & (window_entropy(run, alphabet) >= least)
-
-        windows.append(_spans(text, pattern, "entropy", rich))
-    out = docs.withColumns({base_col: base, spans_col: F.array_sort(F.array_distinct(F.concat(*windows)))})
-    known = F.col(base_col)
-    fresh = F.filter(F.col(spans_col), lambda w: ~F.exists(
-        known, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
-    return out.withColumn(spans_col, F.when(F.size(spans_col) == 0, known).otherwise(F.array_sort(F.concat(known, fresh))))
+        _spans(text, ASSIGN, "assign", lambda p: F.length(F.regexp_extract(p["match"], ASSIGN, 1)) >= 6),
+        _spans(text, ACCESS, "access", lambda p: F.lit(True)),
+        _spans(text, HEX, "hex", lambda p: F.lit(True))))
+    out = docs.withColumn(base_col, base)
+    known = F.transform(_blocks(F.col(base_col)), lambda b: F.struct(
+        b[0]["start"].alias("first"), F.array_max(F.transform(b, lambda s: s["end"])).alias("beyond"), b.alias("spans")))
+
+    def fresh(blocks: Column) -> Column:
+        free = _untouched(blocks)
+        return _spans(text, RUN, "entropy", lambda p: free(p) & ~_allowed(p["match"]) & _rich(p["match"]))
+
+    return out.withColumn(spans_col, F.when(
+        text.rlike(RUN), F.array_sort(F.concat(F.col(base_col), _let(known, fresh)))).otherwise(F.col(base_col)))
 
 
 def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,17 +208,29 @@ def redact(docs: DataFrame, *, text_col: str = "text", length_col: str | None =
         base, spans = base + "_", spans + "_"
     found = with_spans(docs, text_col, base, spans)
     text = F.col(text_col)
-    start = F.struct(F.lit(0).cast("long").alias("at"), _empty("array<string>").alias("parts"))
 
-    def step(acc: Column, s: Column) -> Column:
-        clear = s["start"] >= acc["at"]
-        part = F.concat(F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(clear, F.array_append(acc["parts"], part)).otherwise(acc["parts"]).alias("parts"))
+    def masked(block: Column, first: Column) -> Column:
+        """The text from ``first`` to the last end of the block's spans, marks in place of the spans."""
+        start = F.struct(first.alias("at"), _empty("array<string>").alias("parts"))
+
+        def fold(own: Column) -> Column:
+            def step(acc: Column, s: Column) -> Column:
+                clear = F.concat(F.substring(own, (acc["at"] - first + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))
+                return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(
+                    s["start"] >= acc["at"], F.array_append(acc["parts"], clear)).otherwise(acc["parts"]).alias("parts"))
+
+            return F.array_join(F.aggregate(block, start, step)["parts"], "")
+
+        long = (F.array_max(F.transform(block, lambda s: s["end"])) - first).cast("int")
+        return _let(F.substring(text, (first + 1).cast("int"), long), fold)
+
+    def joined(blocks: Column) -> Column:
+        ends = _running(F.transform(blocks, lambda b: F.array_max(F.transform(b, lambda s: s["end"]))), F.greatest)
+        return _let(ends, lambda e: F.concat(
+            F.array_join(F.zip_with(blocks, e["before"], masked), ""),
+            F.substring(text, (e["at"] + 1).cast("int"), F.lit(2147483647))))
 
-    done = F.aggregate(F.col(spans), start, step)
-    clean = F.concat(F.array_join(done["parts"], ""),
-                     F.substring(text, (done["at"] + 1).cast("int"), F.lit(2147483647)))
+    clean = _let(_blocks(F.col(spans)), joined)
     changed = F.size(spans) > 0
     out = {text_col: F.when(changed, clean).otherwise(text)}
     result = found.withColumn(text_col, out[text_col])
