@@ -148,3 +148,13 @@ def partition_profile(df: DataFrame) -> DataFrame:
     folder name back as a number, so month is cast to text again."""
     return (df.withColumn("month", F.col("month").cast("string"))
             .groupBy("month", "dt").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def bucket_profile(df: DataFrame, user_col: str = "user", buckets: int = V.USER_BUCKETS) -> DataFrame:
+    """Per day of a table laid out by (day, user bucket): rows, users (distinct ones of each bucket, added up)
+    and strays (rows whose bucket is not that of their user)."""
+    own = F.pmod(F.hash(F.col(user_col)), F.lit(buckets))
+    per_bucket = df.groupBy("dt", "user_bucket").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(user_col).alias("users"),
+        F.count_if(~F.col("user_bucket").eqNullSafe(own)).alias("strays"))
+    return per_bucket.groupBy("dt").agg(*[F.sum(c).alias(c) for c in ("rows", "users", "strays")])

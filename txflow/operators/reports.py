@@ -7,7 +7,7 @@ the shuffle. Money sums are rounded to cents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txflow.functions import columns as C
@@ -61,3 +61,8 @@ def latest_n(df: DataFrame, time_col: str, n: int = 100, tie: str = "id") -> Dat
 def peek_ordered(df: DataFrame, n: int = 5, key: str = "id") -> DataFrame:
     """SRC8: first n rows of a table, in key order so the rows are fixed."""
     return df.orderBy(F.col(key).asc_nulls_last()).limit(n)
+
+
+def describe(spark: SparkSession, table: str) -> DataFrame:
+    """Column names and types of a catalog table."""
+    return spark.sql(f"DESCRIBE TABLE {table}").select("col_name", "data_type")

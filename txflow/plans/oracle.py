@@ -413,6 +413,14 @@ SQL["compact"] = SQL["clean_intended"]
 SQL["partition_profile"] = with_(TARGET) + """
 SELECT strftime(ts, '%Y%m') AS month, CAST(ts AS DATE) AS dt, count(*) AS rows FROM target GROUP BY 1, 2"""
 
+SQL["day_bucket_layout"] = """
+SELECT CAST(ts AS DATE) AS dt, count(*) AS rows, count(DISTINCT user_id) AS users, 0::BIGINT AS strays
+FROM events GROUP BY 1"""
+
+SQL["describe_table"] = """
+SELECT * FROM (VALUES ('id', 'bigint'), ('user', 'string'), ('amount', 'double'), ('ts', 'timestamp_ntz'))
+  AS t(col_name, data_type)"""
+
 SQL["file_report"] = with_(TARGET) + """
 SELECT strftime(ts, '%Y%m') AS month, count(*) AS record_count, 0 AS empty_files FROM target GROUP BY 1"""
 

@@ -93,13 +93,21 @@ def append_table_q(spark, sf_dir):
     return _detached(spark, name, spark.table(name))
 
 
+@register("describe_table")
+def describe_table(spark, sf_dir):
+    """SRC9: column names and types of the transactions table, stored from all orders."""
+    root = work_dir(spark, "describe")
+    name = "txflow_desc_" + root.rsplit("-", 1)[1]
+    changes.ensure_table(spark, name, schemas.VERSIONED_TRANSACTIONS, location=f"{root}/table")
+    writers.append_table(fixtures.versioned_transactions(table(spark, sf_dir, "orders")), name)
+    return _detached(spark, name, reports.describe(spark, name))
+
+
 @register("peek_ordered")
 def peek_ordered(spark, sf_dir):
     return reports.peek_ordered(target_table(spark, sf_dir), 5, "id")
 
 
-
-
 # --- files and layout (SNK1, SNK8, SNK9, CHG6, CHG7) ---------------------------------
 
 
@@ -163,6 +171,17 @@ def partition_profile(spark, sf_dir):
     return files.partition_profile(spark.read.parquet(f"{root}/table"))
 
 
+@register("day_bucket_layout")
+def day_bucket_layout(spark, sf_dir):
+    """SNK9: events written by (day, bucket of the user), one folder each, read back and profiled per day.
+    ``users`` adds up the distinct users of each bucket, so it is right only if no user is in two buckets;
+    ``strays`` counts rows in a folder that is not their user's."""
+    root = work_dir(spark, "layout")
+    laid = files.layout_columns(table(spark, sf_dir, "events"), "ts", "user_id")
+    files.write_partitioned(laid.drop("month"), f"{root}/table", ["dt", "user_bucket"])
+    return files.bucket_profile(spark.read.parquet(f"{root}/table"), "user_id")
+
+
 @register("archive_by_day")
 def archive_by_day(spark, sf_dir):
     """SNK8 re-aimed: the day's silver copied under archive_date=2024-01-31 in two loads, the second one
