@@ -75,7 +75,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"), whole=True)
     counts = [count_kind(F.col("base"), i).alias(f"n_{kind}") for i, kind in enumerate(secret_scan.KINDS[:3])]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base"), secret_scan.KINDS), 256).alias("base_sha256"),
                         listed(F.col("spans"), secret_scan.KINDS).alias("spans"))

@@ -37,6 +37,9 @@ ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,4}+)(?:[-_/+=]++(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,4}+))++$",
 )
+# of what is left of a run beside a base span: marks at its ends, a single numbered word
+MARKS_AROUND = r"^[-_/+=]++|[-_/+=]++$"
+ONE_WORD = r"^[A-Za-z]++[0-9]{0,4}+$"
 AT_ONCE = 512            # items of one fold: appending copies, so a fold over all items would be quadratic
 WINDOWS_AT_ONCE = 8192   # windows of a long run that are looked at in one fold
 
@@ -66,13 +69,17 @@ def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Col
         combine(acc["at"], x).alias("at"), F.array_append(acc["before"], acc["at"]).alias("before")))
 
 
-def _sums_before(sizes: Column) -> Column:
-    """For each of ``sizes`` the sum of those before it: block by block, then moved by the blocks before."""
+def _before(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each of ``values`` those before it combined: block by block, then with the blocks before."""
     def moved(blocks: Column) -> Column:
-        totals = _running(F.transform(blocks, lambda b: b["at"]), lambda x, y: x + y)
-        return F.flatten(F.zip_with(blocks, totals["before"], lambda b, by: F.transform(b["before"], lambda x: x + by)))
+        totals = _running(F.transform(blocks, lambda b: b["at"]), combine)
+        return F.flatten(F.zip_with(blocks, totals["before"], lambda b, by: F.transform(b["before"], lambda x: combine(x, by))))
+
+    return _let(F.transform(_blocks(values), lambda b: _running(b, combine)), moved)
 
-    return _let(F.transform(_blocks(sizes), lambda b: _running(b, lambda x, y: x + y)), moved)
+
+def _sums_before(sizes: Column) -> Column:
+    return _before(sizes, lambda x, y: x + y)
 
 
 def _placed(text: Column, pattern: str) -> Column:
@@ -108,6 +115,43 @@ def _untouched(spans: Column) -> Callable[[Column], Column]:
     return free
 
 
+def _outside(place: Column, spans: Column) -> Column:
+    """(start, end) of the parts of a place that lie outside ``spans`` (blocks as in ``_untouched``), in order."""
+    beyond = place["start"] + F.length(place["match"])
+    touched = F.flatten(F.transform(
+        F.filter(spans, lambda b: (b["first"] < beyond) & (place["start"] < b["beyond"])),
+        lambda b: F.filter(b["spans"], lambda s: (s["start"] < beyond) & (place["start"] < s["end"]))))
+
+    def parts(own: Column) -> Column:
+        ends = F.transform(own, lambda s: s["end"])
+        gaps = F.zip_with(own, _before(ends, F.greatest), lambda s, e: F.struct(
+            F.greatest(e, place["start"]).alias("start"), s["start"].alias("end")))
+        last = F.struct(F.greatest(place["start"], F.array_max(ends)).alias("start"), beyond.alias("end"))
+        return F.filter(F.concat(gaps, F.array(last)), lambda p: p["start"] < p["end"])
+
+    return _let(touched, parts)
+
+
+def _rest_spans(place: Column, spans: Column) -> Column:
+    """Entropy spans of the parts of a run that lie outside the base spans it touches.
+
+    Every window that reaches into a part counts, so a short rest of a key is found by the windows that it
+    shares with the span beside it. Marks at a part's ends don't keep it from the allow list.
+    """
+    beyond, reach = place["start"] + F.length(place["match"]), WINDOW - 1
+
+    def cut(start: Column, end: Column) -> Column:
+        return F.substring(place["match"], (start - place["start"] + 1).cast("int"), (end - start).cast("int"))
+
+    def secret(p: Column) -> Column:
+        words = F.regexp_replace(cut(p["start"], p["end"]), MARKS_AROUND, "")
+        near = cut(F.greatest(p["start"] - reach, place["start"]), F.least(p["end"] + reach, beyond))
+        return ~_let(words, lambda w: (w == "") | w.rlike(ONE_WORD) | _allowed(w)) & _let(near, _rich)
+
+    return F.transform(F.filter(_outside(place, spans), secret), lambda p: F.struct(
+        p["start"].alias("start"), F.lit(KINDS.index("entropy")).alias("kind"), p["end"].alias("end")))
+
+
 def _c_log_c(most: int) -> Column:
     return F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(most + 1)])
 
@@ -164,11 +208,12 @@ def _rich(run: Column) -> Column:
     return F.when(run.rlike(only_hex), reaches(hex_digits, hex_least)).otherwise(reaches(base64, least))
 
 
-def with_spans(docs: DataFrame, text_col: str, base_col: str, spans_col: str) -> DataFrame:
+def with_spans(docs: DataFrame, text_col: str, base_col: str, spans_col: str, whole: bool) -> DataFrame:
     """``docs`` with the base spans and all spans, arrays of (start, kind, end) in order of start and kind.
 
-    A candidate run that touches a base span is left out. A null text is empty. Work grows evenly with the
-    length of a text and of its runs, but for one look at each block of AT_ONCE base spans per candidate.
+    Of a candidate run that touches a base span the parts outside base spans are judged if ``whole``, else it
+    is left out. A null text is empty. Work grows evenly with the length of a text and of its runs, but for
+    one look at each block of AT_ONCE base spans per candidate.
     """
     text = text_of(F.col(text_col))
     base = F.array_sort(F.concat(
@@ -181,32 +226,42 @@ def with_spans(docs: DataFrame, text_col: str, base_col: str, spans_col: str) ->
 
     def fresh(blocks: Column) -> Column:
         free = _untouched(blocks)
-        return _spans(text, RUN, "entropy", lambda p: free(p) & ~_allowed(p["match"]) & _rich(p["match"]))
+        if not whole:
+            return _spans(text, RUN, "entropy", lambda p: free(p) & ~_allowed(p["match"]) & _rich(p["match"]))
+
+        def judged(p: Column) -> Column:
+            fits = ~_allowed(p["match"]) & _rich(p["match"])
+            return F.when(~free(p), _rest_spans(p, blocks)).when(fits, F.array(_span(p, "entropy"))).otherwise(_empty())
+
+        return F.flatten(F.transform(_placed(text, RUN), judged))
 
     return out.withColumn(spans_col, F.when(
         text.rlike(RUN), F.array_sort(F.concat(F.col(base_col), _let(known, fresh)))).otherwise(F.col(base_col)))
 
 
-def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """One row per row of ``docs``: id, base and spans, arrays of (start, kind, end) in code points, end exclusive.
 
+    ``whole``: what a candidate run holds beside base spans is judged too; the query and the pipeline ask for it.
+
     Null texts are empty and have no spans. Null and repeated ids stay rows of their own, an empty table gives no
     rows, other columns are not read. Nothing is shuffled.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return with_spans(rows, "text", "base", "spans").select(F.col("id").alias(id_col), "base", "spans")
+    return with_spans(rows, "text", "base", "spans", whole).select(F.col("id").alias(id_col), "base", "spans")
 
 
-def redact(docs: DataFrame, *, text_col: str = "text", length_col: str | None = "n_chars", mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, *, text_col: str = "text", length_col: str | None = "n_chars", mark: str = "[SECRET]",
+           whole: bool = False) -> DataFrame:
     """``docs`` with every secret in the text replaced by ``mark``; overlapping spans become one mark.
 
-    No row goes. ``length_col``, if there is one, is set anew where the text changed. Columns as they were.
+    ``whole`` as in ``find_secrets``. No row goes. ``length_col``, if there is one, is set anew where the text changed. Columns as they were.
     """
     names = {c.lower() for c in docs.columns}
     base, spans = "secret_base", "secret_spans"
     while base in names or spans in names:
         base, spans = base + "_", spans + "_"
-    found = with_spans(docs, text_col, base, spans)
+    found = with_spans(docs, text_col, base, spans, whole)
     text = F.col(text_col)
 
     def masked(block: Column, first: Column) -> Column:
