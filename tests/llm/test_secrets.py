@@ -129,3 +129,20 @@ def test_the_rest_of_a_run_beside_a_base_span(spark):
         assert bool(more) == (i < 7) and key not in clean[i] and tail not in clean[i]
     assert clean[7] == "aws_key_id=[SECRET]" and clean[8] == "path/to/file2/[SECRET]/v2"
     assert clean[9] == "[SECRET]-[SECRET]"
+
+
+def test_hex_in_larger_runs_and_letters_only(spark):
+    rng = random.Random(8)
+    upper = ["".join(rng.choices("0123456789ABCDEF", k=n)) for n in (24, 32, 40, 64) for _ in range(10)]
+    lower = ["".join(rng.choices("0123456789abcdef", k=22)) for _ in range(10)]
+    keys = [p + k for p in ("SIG=", "path/", "k=") for k in upper + lower if entropy(k) >= 3.0]
+    letters = ["".join(rng.choices(a, k=n)) for a in (string.ascii_letters, string.ascii_lowercase) for n in (28, 40, 64) for _ in range(10)]
+    words = ["getHttpResponseHeadersFromCachedQuery", "some/long/path/with/many-words_joined/by=marks", "Donaudampfschifffahrtsgesellschaft",
+             "internationalisation-of-quick-brown-foxes", "MAX_BUFFER_SIZE_EXCEEDED_WARNING_FLAG", "desarrollo-sostenible/quelques_chevaux"]
+    texts = keys + [t for t in letters if entropy(t) >= 3.9] + words
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in find_secrets(df, whole=True).collect()}
+    missed = [t for i, t in enumerate(texts) if t not in words and not found[i]]
+    assert len(missed) <= 0.02 * len(texts), missed
+    assert not [t for i, t in enumerate(texts) if t in words and found[i]]
+    assert found[0] == [(4, 3, 28)]

@@ -1,6 +1,6 @@
 """Secret scan: credential patterns, and sliding-window Shannon entropy of candidate strings.
 
-A candidate is a run of one character class (hexadecimal digits, or the base-64 alphabet). A window slides
+A candidate is a run of one character class (hexadecimal digits, also inside other runs, or the base-64 alphabet). A window slides
 over it; the counts of its characters and the sum of c * log2(c) are updated for the character that enters
 and the one that leaves, so a step costs the same however wide the window is. A run whose best window
 reaches the class's threshold is a secret unless the allow list knows it. DataFrame functions only.
@@ -28,18 +28,26 @@ BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 RUN = r"[A-Za-z0-9+/=_-]{20,}"
 # class: its characters, what tells its runs, the least entropy of a window in bits per character
 CLASSES = {"hex": (HEX_DIGITS, r"^[0-9a-fA-F]+$", 3.0), "base64": (BASE64, r"[^0-9a-fA-F]", 3.9)}
-# known to be no secret: placeholders, alphabets, letters or numbers joined by marks, numbered words joined by marks.
+HEX_RUN = r"[0-9a-fA-F]{20,}"
+# pairs of letters that words of the corpus's languages hardly hold; three close together are no words
+ODD_PAIR = (
+    r"(?i:a[aoq]|b[cdfghkmnpqvwxz]|c[bdfgjmnpqvwxz]|d[bcfkpqtxz]|f[bcdghjkmnpqvwxz]|g[bcdfjkpqvwxz]|h[bcdfghjkpqsvxz]"
+    r"|i[ijqwy]|j[b-df-hj-np-tv-z]|k[bcdfghjmpqvxz]|l[hjnqrwxz]|m[cdfghjkqrtvwxz]|n[qrwx]|o[hjqz]|p[bcdgjkmqvwxz]"
+    r"|q[a-tv-z]|r[jqwxz]|s[bdgjrvxz]|t[bdfgjkpqvx]|u[jquvwy]|v[b-df-hj-np-qs-tv-xz]|w[bcfgjkmpqtu-z]"
+    r"|x[bdfgj-mnoq-suv-wyz]|y[bfghjkqv-z]|z[bcdfghjkmnp-svx])")
+WORDS = rf"(?!.*{ODD_PAIR}.{{0,6}}{ODD_PAIR}.{{0,6}}{ODD_PAIR})"
+# known to be no secret: placeholders, alphabets, words or numbers joined by marks, numbered words joined by marks.
 # Possessive, so that a run of any length is read once
 ALLOWED = (
     r"(?i)example|sample|placeholder|changeme|dummy|redacted|x{6}|0{8}|12345678|abcdefgh",
-    r"^[A-Za-z/+=_-]*+$",
+    rf"^{WORDS}[A-Za-z/+=_-]*+$",
     r"^[0-9/+=_-]*+$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,4}+)(?:[-_/+=]++(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,4}+))++$",
+    rf"^{WORDS}(?:[A-Za-z]++[0-9]{{0,4}}+|[0-9]{{1,4}}+)(?:[-_/+=]++(?:[A-Za-z]++[0-9]{{0,4}}+|[0-9]{{1,4}}+))++$",
 )
 # of what is left of a run beside a base span: marks at its ends, a single numbered word
 MARKS_AROUND = r"^[-_/+=]++|[-_/+=]++$"
-ONE_WORD = r"^[A-Za-z]++[0-9]{0,4}+$"
+ONE_WORD = rf"^{WORDS}[A-Za-z]++[0-9]{{0,4}}+$"
 AT_ONCE = 512            # items of one fold: appending copies, so a fold over all items would be quadratic
 WINDOWS_AT_ONCE = 8192   # windows of a long run that are looked at in one fold
 
@@ -132,24 +140,38 @@ def _outside(place: Column, spans: Column) -> Column:
     return _let(touched, parts)
 
 
-def _rest_spans(place: Column, spans: Column) -> Column:
-    """Entropy spans of the parts of a run that lie outside the base spans it touches.
+def _run_spans(place: Column, spans: Column) -> Column:
+    """Entropy spans of the parts of a run that lie outside the base spans it touches: the part if it is rich, else
+    its hexadecimal runs that are.
 
     Every window that reaches into a part counts, so a short rest of a key is found by the windows that it
-    shares with the span beside it. Marks at a part's ends don't keep it from the allow list.
+    shares with the span beside it. Marks at a cut part's ends don't keep it from the allow list.
     """
     beyond, reach = place["start"] + F.length(place["match"]), WINDOW - 1
 
     def cut(start: Column, end: Column) -> Column:
         return F.substring(place["match"], (start - place["start"] + 1).cast("int"), (end - start).cast("int"))
 
-    def secret(p: Column) -> Column:
-        words = F.regexp_replace(cut(p["start"], p["end"]), MARKS_AROUND, "")
-        near = cut(F.greatest(p["start"] - reach, place["start"]), F.least(p["end"] + reach, beyond))
-        return ~_let(words, lambda w: (w == "") | w.rlike(ONE_WORD) | _allowed(w)) & _let(near, _rich)
+    def entropy_span(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(KINDS.index("entropy")).alias("kind"), end.alias("end"))
 
-    return F.transform(F.filter(_outside(place, spans), secret), lambda p: F.struct(
-        p["start"].alias("start"), F.lit(KINDS.index("entropy")).alias("kind"), p["end"].alias("end")))
+    def known(p: Column) -> Column:
+        own = cut(p["start"], p["end"])
+        rest = _let(F.regexp_replace(own, MARKS_AROUND, ""), lambda w: (w == "") | w.rlike(ONE_WORD) | _allowed(w))
+        return F.when(p["end"] - p["start"] == F.length(place["match"]), _allowed(own)).otherwise(rest)
+
+    def judged(p: Column) -> Column:
+        first = F.greatest(p["start"] - reach, place["start"])
+
+        def of(near: Column) -> Column:
+            hexes = F.transform(F.filter(_placed(near, HEX_RUN), lambda h: ~_allowed(h["match"]) & _rich(h["match"])), lambda h: entropy_span(
+                F.greatest(first + h["start"], p["start"]), F.least(first + h["start"] + F.length(h["match"]), p["end"])))
+            return F.when(~known(p) & _rich(near), F.array(entropy_span(p["start"], p["end"]))).when(
+                near.rlike(HEX_RUN), F.filter(hexes, lambda s: s["start"] < s["end"])).otherwise(_empty())
+
+        return _let(cut(first, F.least(p["end"] + reach, beyond)), of)
+
+    return F.flatten(F.transform(_outside(place, spans), judged))
 
 
 def _c_log_c(most: int) -> Column:
@@ -211,8 +233,8 @@ def _rich(run: Column) -> Column:
 def with_spans(docs: DataFrame, text_col: str, base_col: str, spans_col: str, whole: bool) -> DataFrame:
     """``docs`` with the base spans and all spans, arrays of (start, kind, end) in order of start and kind.
 
-    Of a candidate run that touches a base span the parts outside base spans are judged if ``whole``, else it
-    is left out. A null text is empty. Work grows evenly with the length of a text and of its runs, but for
+    If ``whole``, the parts of a candidate run outside base spans are judged, and the hexadecimal runs in them.
+    Else a run has one class and is left out if it touches a base span. A null text is empty. Work grows evenly with the length of a text and of its runs, but for
     one look at each block of AT_ONCE base spans per candidate.
     """
     text = text_of(F.col(text_col))
@@ -229,11 +251,7 @@ def with_spans(docs: DataFrame, text_col: str, base_col: str, spans_col: str, wh
         if not whole:
             return _spans(text, RUN, "entropy", lambda p: free(p) & ~_allowed(p["match"]) & _rich(p["match"]))
 
-        def judged(p: Column) -> Column:
-            fits = ~_allowed(p["match"]) & _rich(p["match"])
-            return F.when(~free(p), _rest_spans(p, blocks)).when(fits, F.array(_span(p, "entropy"))).otherwise(_empty())
-
-        return F.flatten(F.transform(_placed(text, RUN), judged))
+        return F.flatten(F.transform(_placed(text, RUN), lambda p: _run_spans(p, blocks)))
 
     return out.withColumn(spans_col, F.when(
         text.rlike(RUN), F.array_sort(F.concat(F.col(base_col), _let(known, fresh)))).otherwise(F.col(base_col)))
@@ -242,7 +260,8 @@ def with_spans(docs: DataFrame, text_col: str, base_col: str, spans_col: str, wh
 def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """One row per row of ``docs``: id, base and spans, arrays of (start, kind, end) in code points, end exclusive.
 
-    ``whole``: what a candidate run holds beside base spans is judged too; the query and the pipeline ask for it.
+    ``whole``: what a candidate run holds beside base spans and its hexadecimal runs are judged too; the query and the
+    pipeline ask for it.
 
     Null texts are empty and have no spans. Null and repeated ids stay rows of their own, an empty table gives no
     rows, other columns are not read. Nothing is shuffled.
