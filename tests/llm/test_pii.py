@@ -69,3 +69,21 @@ def test_contexts_find_unseen_identifiers(spark):
     assert found[5] == [(15, 2, 27)]                     # an unknown identifier in a trusted context
     assert not any(found[i] for i in range(6, len(texts)))   # a failed checksum, plain words, contexts without seeds
     assert all(found[i] == brute(texts[i]) for i in range(5))
+
+
+def test_spaced_bracketed_and_digitless_identifiers(spark):
+    seeds = [f"+1 (301) 555-{n}" for n in range(1000, 1020)]
+    mails = [f"user{chr(97 + i)}@mail.example.com" for i in range(20)]
+    texts = [f"please call me at {x} today" for x in seeds] + [f"home phone: {x}" for x in seeds]
+    texts += [f"reach email: {x} now" for x in mails]
+    new = [("please call me at {} today", "(555) 123-4567", 3), ("please call me at {} today", "555 123 4567", 3),
+           ("please call me at {}", "301 555 0346", 3), ("home phone: {}", "(555) 987-6543", 3), ("home phone: {}", "555.987.6544", 3),
+           ("reach email: {} now", "jane.doe@intranet", 0)]
+    n = len(texts)
+    texts += [t.format(x) for t, x, _ in new] + ["reach email: none now", "home phone: 12 no", "home phone: 77123456 2024"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in find_personal_data(docs).collect()}
+    for i, (_, x, kind) in enumerate(new):
+        start = texts[n + i].index(x)
+        assert found[n + i] == [(start, kind, start + len(x))], texts[n + i]
+    assert found[n + 6] == [] and found[n + 7] == [] and found[n + 8] == [(12, 3, 20)]

@@ -31,10 +31,13 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 BACK = 100               # characters before an entity in which its context is read
 LONGEST = 64             # characters of a filler; a longer one is no identifier
 FILLER = re.compile(r"[^\s\"'<>()\[\],;|]+")
+# digit groups with blanks, dots, hyphens and brackets between them, and what follows without a blank
+GROUPS = re.compile(r"[(\[]?[0-9]{1,7}(?:[)\]]?[ .\-]{0,2}[(\[]?(?<![0-9])[0-9]{1,7})+(?![0-9])[^\s\"'<>()\[\],;|]*")
 FIELD = re.compile(r"(?:(\w+)[ \t]+)?(\w+)[ \t]*([:=#])[ \t]*[\"'(<\[]?$")
 PHRASE = re.compile(r"(\w+)[ ,\t]+(\w+)[ ,\t]+(\w+)[ \t]+$")
 MARK = re.compile(r"[:=#][ \t]*[\"'(<\[]?")
 DIGITS = re.compile(r"[0-9]+")
+PLACE = re.compile(r"[0-9]+|@")   # no identifier without one
 
 
 def _luhn(digits: str) -> bool:
@@ -96,13 +99,25 @@ def contexts(text: str, start: int) -> list[str]:
     return [re.sub(r"[0-9]", "0", w) for w in words]
 
 
-def _identifier(filler: str) -> bool:
-    return 6 <= len(filler) <= LONGEST and sum("0" <= c <= "9" for c in filler) >= 4
+def _digits(filler: str) -> int:
+    return sum("0" <= c <= "9" for c in filler)
+
+
+def _groups(text: str, start: int) -> int:
+    """The end of a spaced or bracketed number that starts at ``start``, or -1. A first token that is a whole
+    identifier (6 digits, or 8 with marks) takes in no further group."""
+    m = GROUPS.match(text, start, start + LONGEST + 1)
+    if not m or m.end() - start > LONGEST or not 7 <= _digits(m.group()) <= 15:
+        return -1
+    first = FILLER.match(text, start)
+    if first and (_digits(first.group()) >= 8 or (len(first.group()) >= 6 and DIGITS.fullmatch(first.group()))):
+        return -1
+    return m.end()
 
 
 def mentions(text: str, base: list[tuple[int, int, int]], failed: list[tuple[int, int]]) -> list[dict]:
-    """Fillers of a context: seeds (with their kind), identifiers that may be found, and plain words that speak
-    against a pattern. What failed a kind's check speaks against it too and is never found."""
+    """Fillers of a context: seeds (with their kind), and others, which speak against a pattern until they are found
+    (free: short enough to be). What failed a kind's check speaks against it too and is never found."""
     taken = sorted([(s, e) for s, _, e in base] + failed)
     out = []
 
@@ -119,21 +134,28 @@ def mentions(text: str, base: list[tuple[int, int, int]], failed: list[tuple[int
     places = set()
     for m in MARK.finditer(text):
         places.add(m.end())
-    for m in DIGITS.finditer(text):
+    for m in PLACE.finditer(text):
         start = m.start()
         while start > 0 and m.start() - start < LONGEST and FILLER.match(text[start - 1]):
             start -= 1
         places.add(start)
     at, beyond = 0, -1
     for start in sorted(places):
-        m = FILLER.match(text, start, start + LONGEST + 1)
-        if not m or start < beyond:
+        if start < beyond:
             continue
-        end = start + len(m.group().rstrip(".:!?"))
         while at < len(taken) and taken[at][1] <= start:
             at += 1
-        if end > start and not (at < len(taken) and taken[at][0] < end):
-            add(start, end, None, _identifier(text[start:end]))
+        clear = taken[at][0] if at < len(taken) else len(text)
+        opened = start - 1 if start > beyond and start and text[start - 1] in "([" else start
+        for first, last in ((opened, _groups(text, opened)), (start, _groups(text, start))):
+            if 0 <= last <= clear and (at == 0 or taken[at - 1][1] <= first):
+                break
+        else:
+            m = FILLER.match(text, start, start + LONGEST + 1)
+            first, last = start, m.end() if m else start
+        end = first + len(text[first:last].rstrip(".:!?"))
+        if end > first and end <= clear:
+            add(first, end, None, end - first <= LONGEST)
             beyond = end
     return out
 
@@ -169,18 +191,27 @@ def extract(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def score_graph(edges: DataFrame, *, rounds: int, support: int, trust: float) -> tuple[DataFrame, DataFrame]:
     """(trusted patterns: pattern, kind, conf; found instances: instance, kind, score) of the distinct edges
-    (pattern, instance, kind of a seed or null, free)."""
-    edges = saved(edges.groupBy("pattern", "instance").agg(F.max("kind").alias("seed"), F.bool_and("free").alias("free")),
-                  "pii-edges")
+    (pattern, instance, kind of a seed or null, free). A pattern also tells how its known instances look."""
+    text = F.col("instance")
+    looks = {"size": F.length(text), "digits": F.length(F.regexp_replace(text, "[^0-9]", "")),
+             "letters": text.rlike(r"\p{L}"), "at": text.contains("@")}
+    edges = saved(edges.groupBy("pattern", "instance").agg(F.max("kind").alias("seed"), F.bool_and("free").alias("free"))
+                  .withColumns(looks), "pii-edges")
     sizes = edges.groupBy("pattern").agg(F.count("*").alias("fillers"))
     seeds = edges.filter("seed is not null").select("instance", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
+    # an identifier has 4 digits and 6 characters, or looks like what is known of the pattern
+    shape = ["short", "long", "few", "lettered", "all_at"]
+    alike = F.expr("(size >= 6 and digits >= 4) or (size between short / 2 and long * 2 and digits >= few / 2"
+                   " and (lettered or not letters) and at = all_at)")
     known, patterns, found = seeds, None, None
     for _ in range(rounds):
-        held = (edges.select("pattern", "instance").join(known, "instance").groupBy("pattern", "kind")
-                .agg(F.sum("score").alias("score"), F.count("*").alias("n")).filter(F.col("n") >= support))
+        held = (edges.select("pattern", "instance", *looks).join(known, "instance").groupBy("pattern", "kind")
+                .agg(F.sum("score").alias("score"), F.count("*").alias("n"), F.min("size").alias("short"), F.max("size").alias("long"),
+                     F.min("digits").alias("few"), F.bool_or("letters").alias("lettered"), F.bool_and("at").alias("all_at"))
+                .filter(F.col("n") >= support))
         patterns = saved(held.join(sizes, "pattern").withColumn("conf", F.col("score") / F.col("fillers"))
-                         .filter(F.col("conf") >= trust).select("pattern", "kind", "conf"), "pii-patterns")
-        chances = (edges.filter("free and seed is null").join(patterns, "pattern").groupBy("instance", "kind")
+                         .filter(F.col("conf") >= trust).select("pattern", "kind", "conf", *shape), "pii-patterns")
+        chances = (edges.filter("free and seed is null").join(patterns, "pattern").filter(alike).groupBy("instance", "kind")
                    .agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-12), 1 - F.col("conf")))))).alias("score")))
         best = chances.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("order"))).alias("won"))
         found = saved(best.select("instance", (-F.col("won.order")).alias("kind"), F.col("won.score").alias("score"))
