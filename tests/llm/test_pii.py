@@ -87,3 +87,20 @@ def test_spaced_bracketed_and_digitless_identifiers(spark):
         start = texts[n + i].index(x)
         assert found[n + i] == [(start, kind, start + len(x))], texts[n + i]
     assert found[n + 6] == [] and found[n + 7] == [] and found[n + 8] == [(12, 3, 20)]
+
+
+def test_chains_of_contexts_are_followed_to_their_end(spark):
+    """Each hop: three new identifiers, each in three contexts of its own with the three that the hop before found."""
+    known, texts, new = ["4929348385146306", "4795522935961213", "4736962573099581"], [], []
+    for hop in range(5):
+        fresh = [f"{hop}{g}77-AB-{hop}{g}34" for g in range(3)]
+        for g, key in enumerate(fresh):
+            for c in range(3):
+                name = "field" + "abcde"[hop] + "xyz"[g] + "uvw"[c]
+                texts += [f"{name}: {x} was used" for x in known]
+                new.append((len(texts), len(name) + 2, len(key)))
+                texts.append(f"{name}: {key} was used")
+        known = fresh
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in find_personal_data(docs).collect()}
+    assert [i for i, start, n in new if found[i] != [(start, 2, start + n)]] == []

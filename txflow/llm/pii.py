@@ -189,9 +189,11 @@ def extract(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(found, schema)
 
 
-def score_graph(edges: DataFrame, *, rounds: int, support: int, trust: float) -> tuple[DataFrame, DataFrame]:
+def score_graph(edges: DataFrame, *, rounds: int | None, support: int, trust: float) -> tuple[DataFrame, DataFrame]:
     """(trusted patterns: pattern, kind, conf; found instances: instance, kind, score) of the distinct edges
-    (pattern, instance, kind of a seed or null, free). A pattern also tells how its known instances look."""
+    (pattern, instance, kind of a seed or null, free). A pattern also tells how its known instances look.
+    Rounds end when one leaves the trusted patterns and their confidences (to 3 digits) as an earlier one had them,
+    which must come, or after ``rounds``."""
     text = F.col("instance")
     looks = {"size": F.length(text), "digits": F.length(F.regexp_replace(text, "[^0-9]", "")),
              "letters": text.rlike(r"\p{L}"), "at": text.contains("@")}
@@ -203,8 +205,8 @@ def score_graph(edges: DataFrame, *, rounds: int, support: int, trust: float) ->
     shape = ["short", "long", "few", "lettered", "all_at"]
     alike = F.expr("(size >= 6 and digits >= 4) or (size between short / 2 and long * 2 and digits >= few / 2"
                    " and (lettered or not letters) and at = all_at)")
-    known, patterns, found = seeds, None, None
-    for _ in range(rounds):
+    known, patterns, found, states = seeds, None, None, set()
+    while rounds is None or len(states) < rounds:
         held = (edges.select("pattern", "instance", *looks).join(known, "instance").groupBy("pattern", "kind")
                 .agg(F.sum("score").alias("score"), F.count("*").alias("n"), F.min("size").alias("short"), F.max("size").alias("long"),
                      F.min("digits").alias("few"), F.bool_or("letters").alias("lettered"), F.bool_and("at").alias("all_at"))
@@ -217,17 +219,22 @@ def score_graph(edges: DataFrame, *, rounds: int, support: int, trust: float) ->
         found = saved(best.select("instance", (-F.col("won.order")).alias("kind"), F.col("won.score").alias("score"))
                       .filter(F.col("score") >= trust), "pii-found")
         known = seeds.unionByName(found)
+        state = tuple(patterns.agg(F.count("*"), F.bit_xor(F.xxhash64("pattern", "kind", F.round("conf", 3)))).first())
+        if state in states:
+            break
+        states.add(state)
     return patterns, found
 
 
-def find_personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2,
-                       support: int = 3, trust: float = 0.7) -> DataFrame:
+def find_personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                       rounds: int | None = None, support: int = 3, trust: float = 0.7) -> DataFrame:
     """One row per row of ``docs``: id, base and spans, both arrays of (start, kind, end) in order of start and kind.
 
     ``base`` are the entities of the patterns, ``spans`` these and the identifiers that trusted contexts add
     (kind: index into KINDS; code points, end exclusive). A pattern is trusted for a kind if at least ``support``
     distinct known instances fill it and they are ``trust`` of all its distinct fillers; an identifier is added
-    where it stands in a trusted pattern and its own score reaches ``trust``.
+    where it stands in a trusted pattern and its own score reaches ``trust``. Rounds go on until nothing new is
+    found, or up to ``rounds``.
 
     A null text is empty and has no spans. Null and repeated ids stay rows of their own, an empty table gives no
     rows, other columns are not read. The text is read once; the graph holds only fillers of contexts, counted
