@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.llm import bpe, conversations, language, lattice, licenses, packing, pii, ppm, secret_scan, simhash, topk, url_rules
+from txflow.llm import bpe, collocations, conversations, language, lattice, licenses, packing, pii, ppm, secret_scan, simhash, topk, url_rules
 from txflow.llm.common import count_kind, listed, table
 from txflow.llm.sql import SQL  # noqa: F401  (part of this module's interface)
 
@@ -81,6 +81,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed(F.col("spans"), secret_scan.KINDS).alias("spans"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_documents(table(spark, sf_dir, "documents"))
 
@@ -91,4 +95,4 @@ def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filters, op2_packing, op3_simhash, op4_topk, op5_lattice, op6_pii, op7_bpe,
-                            op8_licenses, op9_language, op10_secrets, op12_lm_scoring, op13_conversations)}
+                            op8_licenses, op9_language, op10_secrets, op11_collocations, op12_lm_scoring, op13_conversations)}

@@ -63,4 +63,34 @@ FROM base LEFT JOIN fits USING (doc_id)
 """
 
 
-SQL: dict[str, str] = {"op1_url_filters": _URLS, "op4_topk": _TOP_K, "op8_licenses": _licenses()}
+_COLLOCATIONS = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM docs),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+ngrams AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded WHERE len(w) > 0),
+f AS (SELECT lang, w[i:i + k] AS g, count(*) AS c FROM ngrams, (SELECT unnest(range(0, 5)) AS k) AS ks
+      WHERE i + k <= len(w) GROUP BY ALL),
+sizes AS (SELECT lang, sum(c)::HUGEINT AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+candidates AS (SELECT lang, g, c AS a FROM f WHERE len(g) > 1 AND c >= 100),
+inside AS (SELECT lang, a, g[i:i + k] AS g FROM (
+             SELECT lang, g, a, unnest(range(1, len(g))) AS i, k FROM candidates, (SELECT unnest(range(1, 4)) AS k) AS ks)
+           WHERE i + k <= len(g)
+           UNION ALL SELECT lang, a, g[2:] FROM candidates),
+dropped AS (SELECT DISTINCT c.lang, c.g FROM candidates c JOIN inside i ON i.lang = c.lang AND i.g = c.g AND 100 * i.a >= 100 * c.a
+            WHERE len(c.g) < 5 AND EXISTS (SELECT 1 FROM candidates x WHERE x.lang = c.lang AND len(x.g) > len(c.g) AND x.a >= c.a
+              AND list_contains(list_transform(range(1, len(x.g) - len(c.g) + 2), lambda j: x.g[j:j + len(c.g) - 1] = c.g), true))),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM candidates ANTI JOIN dropped USING (lang, g)),
+scored AS (
+  SELECT c.lang, c.g, c.a, x.c AS l, y.c AS r, n, c.k,
+         (1000::HUGEINT * c.a * n) // (x.c::HUGEINT * y.c) AS score
+  FROM cuts c JOIN sizes USING (lang) JOIN f x ON x.lang = c.lang AND x.g = c.g[1:c.k] JOIN f y ON y.lang = c.lang AND y.g = c.g[c.k + 1:]
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, c.k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' '))::INTEGER AS rank,
+       array_to_string(g, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM scored QUALIFY rank <= 2000
+"""
+
+
+SQL: dict[str, str] = {"op1_url_filters": _URLS, "op4_topk": _TOP_K, "op8_licenses": _licenses(), "op11_collocations": _COLLOCATIONS}
