@@ -456,3 +456,40 @@ FROM pairs, cut, wm
 WHERE e >= c OR window_start + INTERVAL 10 MINUTE > w
 GROUP BY window_start, category, w
 HAVING window_start + INTERVAL 10 MINUTE <= w"""
+
+# --- versions of file sets: rows, and what must hold of the files whatever their number ------------------
+
+RECENT = """
+cut AS (SELECT max(o_orderdate) - INTERVAL 90 DAY AS c FROM orders),
+recent AS (SELECT src.* FROM src JOIN orders ON id = o_orderkey WHERE o_orderdate > (SELECT c FROM cut))"""
+
+SQL["merge_files"] = with_(TARGET, SETTLEMENTS, RECENT) + """,
+old AS (SELECT strftime(t.ts, '%Y%m') AS month, bool_and(r.id IS NULL) AS month_kept
+        FROM target t LEFT JOIN recent r ON t.id = r.id GROUP BY 1),
+merged AS (
+  SELECT t.id, t."user", CASE WHEN r.id IS NOT NULL THEN r.amount ELSE t.amount END AS amount,
+    CASE WHEN r.id IS NOT NULL THEN r.ts ELSE t.ts END AS ts
+  FROM target t LEFT JOIN recent r ON t.id = r.id
+  UNION ALL
+  SELECT r.id, r."user", r.amount, r.ts FROM recent r WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.id = r.id))
+SELECT m.*, strftime(m.ts, '%Y%m') AS month, month_kept FROM merged m LEFT JOIN old ON strftime(m.ts, '%Y%m') = month"""
+
+SQL["update_files"] = with_(TARGET) + """,
+cut AS (SELECT max(o_orderdate) - INTERVAL 90 DAY AS c FROM orders)
+SELECT id, "user", CASE WHEN ts > c THEN 0.0 ELSE amount END AS amount, ts, strftime(ts, '%Y%m') AS month,
+  bool_and(ts <= c) OVER (PARTITION BY strftime(ts, '%Y%m')) AS month_kept
+FROM target, cut"""
+
+SQL["compact_files"] = """
+SELECT strftime(o_orderdate, '%Y%m') AS month, count(*) AS rows,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount, true AS few_files, true AS large_kept
+FROM orders GROUP BY 1"""
+
+SQL["expire_files"] = with_(CHANGE_LOG, *[_as_of(v, f"state{v}") for v in (1, 2, 3, 4)]) + """,
+states AS (SELECT 1 AS version, * FROM state1 UNION ALL SELECT 2, * FROM state2
+           UNION ALL SELECT 3, * FROM state3 UNION ALL SELECT 4, * FROM state4),
+moved AS (SELECT s.version, s.id, strftime(s.ts, '%Y%m') AS month, amount,
+            EXISTS (SELECT 1 FROM log l WHERE l.id = s.id AND l.version > s.version AND l.version <= 3) AS changed FROM states s)
+SELECT version, month, count(*) AS rows, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount,
+  bool_and(NOT changed) AS all_needed
+FROM moved GROUP BY version, month"""

@@ -111,6 +111,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/txflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written_whole(spark: SparkSession, path: str) -> bool:
+    """True when a job has committed its output at ``path``: its ``_SUCCESS`` is there, on whatever store."""
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme, for tests that inspect local files."""
     if path.startswith("file:"):

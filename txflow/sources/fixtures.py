@@ -131,7 +131,7 @@ def messages_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def _as_versioned(orders: DataFrame) -> DataFrame:
+def as_versioned(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").cast("string").alias("user"),
@@ -142,12 +142,12 @@ def _as_versioned(orders: DataFrame) -> DataFrame:
 
 def versioned_transactions(orders: DataFrame) -> DataFrame:
     """Merge target: the live table holds every order that is not pending."""
-    return _as_versioned(orders.filter(F.col("o_orderstatus") != "P"))
+    return as_versioned(orders.filter(F.col("o_orderstatus") != "P"))
 
 
 def pending_transactions(orders: DataFrame) -> DataFrame:
     """The pending orders in the same shape: a later load appended to the table."""
-    return _as_versioned(orders.filter(F.col("o_orderstatus") == "P"))
+    return as_versioned(orders.filter(F.col("o_orderstatus") == "P"))
 
 
 def settlements(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
@@ -176,7 +176,7 @@ def change_log(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     discount of at least 0.08, else an 'update' (amount = net price of those lines).
     committed_at = start + version hours.
     """
-    inserts = _as_versioned(orders).withColumns({"op": F.lit("insert"), "version": F.lit(1)})
+    inserts = as_versioned(orders).withColumns({"op": F.lit("insert"), "version": F.lit(1)})
     # line numbers repeat within an order in the driver data: one change per
     # (order, line number), amounts added up, delete if any of the lines says so
     returned = (lineitem.filter(F.col("l_returnflag") == "R")
