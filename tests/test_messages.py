@@ -50,14 +50,14 @@ def test_enrich_fills_empty_category_only(spark):
 
 
 def test_published_files_are_topic_partitions(spark, tmp):
-    """write_envelope(partitions=n): one file per topic partition, every row in the
+    """publish(partitions=n): one file per topic partition, every row in the
     file of the partition its key hashed to."""
-    from txflow.streaming import streams
+    from txflow.sources import fixtures
     df = spark.range(5000).select(F.col("id"), (F.col("id") % 613).cast("string").alias("user"),
                                   F.lit(1.0).alias("amount"), F.col("id").alias("timestamp"),
                                   F.lit("food").alias("category"))
     env = messages.to_envelope(df, "user", "id", partitions=8)
-    streams.write_envelope(env, f"{tmp}/topic", partitions=8)
+    fixtures.publish(env, f"{tmp}/topic", partitions=8)
     back = spark.read.parquet(f"{tmp}/topic")
     per_file = back.groupBy(F.input_file_name().alias("f")).agg(F.countDistinct("partition").alias("p"))
     assert per_file.filter("p != 1").count() == 0

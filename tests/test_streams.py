@@ -244,3 +244,93 @@ def test_state_width_under_dynamic_allocation():
     unbounded = {"spark.dynamicAllocation.enabled": "true"}
     assert streams.default_state_width(Spark(unbounded)) == 96_000
     assert streams.default_state_width(Spark({})) == 4          # static: 2 x defaultParallelism
+
+
+def test_a_fold_that_was_cut_off_is_passed_over_and_written_anew(spark, tmp):
+    """Half a baseline (no _SUCCESS) at N: the view reads as before, a retry replaces it; the same above an older whole one."""
+    import os
+    sink = streams.summing_view_sink(f"{tmp}/v")
+    rows = [(1, 0, "a", 1.0), (2, 3, "a", 2.0), (3, 15, "b", 4.0)]
+    for i, r in enumerate(rows):
+        sink(msg_rows(spark, [r]), i)
+
+    def view():
+        return sorted(map(tuple, streams.read_summing_view(spark, f"{tmp}/v").collect()))
+
+    def cut_off(n, part):
+        at = os.path.join(streams_path(tmp), f"v/_baseline/through={n}")
+        os.makedirs(f"{at}/_temporary", exist_ok=True)
+        if part:
+            spark.read.parquet(f"{tmp}/v").drop("batch_id").limit(1).write.mode("append").parquet(at)
+            os.rename(f"{at}/_SUCCESS", f"{at}/_lost")
+
+    want = view()
+    cut_off(0, False)
+    assert view() == want
+    cut_off(2, True)
+    assert view() == want
+    assert streams.fold_view(spark, f"{tmp}/v", "summing") == 2 and view() == want
+    sink(msg_rows(spark, [(4, 16, "b", 8.0)]), 3)
+    after = view()
+    assert after != want
+    cut_off(3, True)
+    assert view() == after
+    assert streams.fold_view(spark, f"{tmp}/v", "summing") == 3 and view() == after
+    sink(msg_rows(spark, [(4, 16, "b", 8.0)]), 3)      # the folded batch replayed
+    assert view() == after
+
+
+def streams_path(tmp):
+    from txflow.session import local_path
+    return local_path(tmp)
+
+
+def test_late_rows_go_to_their_own_sink_and_replays_repeat_it(spark, tmp):
+    sink = streams.late_split_sink(streams.parquet_batch_sink(f"{tmp}/on"), streams.parquet_batch_sink(f"{tmp}/late"), f"{tmp}/clock")
+
+    def batch(*minutes):
+        rows = [(m, None if m is None else T0 + dt.timedelta(minutes=m)) for m in minutes]
+        return spark.createDataFrame(rows, "id int, event_time timestamp")
+
+    sink(batch(0, 40, None), 0)          # nothing is late before a time is known
+    sink(batch(14, 15, 20, 29, 60), 1)   # watermark 25: windows that end by 20 are closed
+    sink(batch(14, 41, 39), 2)           # watermark 45: by 40
+    sink(batch(14, 15, 20, 29, 60), 1)   # replayed: the watermark it had
+    on = sorted((r.batch_id, r.id or -1) for r in spark.read.parquet(f"{tmp}/on").collect())
+    late = sorted((r.batch_id, r.id, r.watermark) for r in spark.read.parquet(f"{tmp}/late").collect())
+    assert on == [(0, -1), (0, -1), (0, 40), (1, 20), (1, 29), (1, 60), (2, 41)]
+    w1, w2 = T0 + dt.timedelta(minutes=25), T0 + dt.timedelta(minutes=45)
+    assert late == [(1, 14, w1), (1, 15, w1), (2, 14, w2), (2, 39, w2)]
+
+
+def test_quarantine_observes_what_it_parks(spark, tmp):
+    """Counts come from the pass that parks; the batch is decoded once and its metrics equal the written rows."""
+    rows = [(b"k", b'{"id": 1, "amount": "2,5"}', "t", 0, 0, None), (b"k", b"{oops", "t", 0, 1, None), (b"k", None, "t", 0, 2, None)]
+    env = spark.createDataFrame(rows, schemas.ENVELOPE)
+    sink = streams.quarantine_sink(streams.parquet_batch_sink(f"{tmp}/good"), f"{tmp}/bad", metrics_path=f"{tmp}/m")
+    sink(env, 7)
+    sink(env.filter("offset = 0"), 8)
+    sink(env, 7)    # replayed
+    found = {r.batch_id: (r.rows, r.broken) for r in spark.read.parquet(f"{tmp}/m").collect()}
+    assert found == {7: (3, 2), 8: (1, 0)}
+    assert spark.read.parquet(f"{tmp}/bad").count() == 2 and spark.read.parquet(f"{tmp}/good").count() == 2
+
+
+def test_observed_metrics_add_up_over_batches(spark, tmp):
+    for i in range(3):
+        write_file(spark, f"{tmp}/in", [(i, i, "food", 5.0 * i)])
+    seen = streams.decoded(streams.envelope_stream(spark, f"{tmp}/in", 1)).observe(
+        "m", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("amount") > 4).alias("large"))
+    got = streams.drain_observed(spark, lambda: streams.start_view(seen, streams.parquet_batch_sink(f"{tmp}/out"), f"{tmp}/chk"))
+    assert (got.total("m", "rows"), got.total("m", "large")) == (3, 2) and len(got.batches["m"]) >= 3
+    assert got.total("other", "rows") == 0
+
+
+def test_held_windows_are_those_the_watermark_has_not_passed(spark, tmp):
+    write_file(spark, f"{tmp}/in", [(1, 0, "a", 1.0), (2, 40, "a", 2.0)])
+    ev = streams.decoded(streams.envelope_stream(spark, f"{tmp}/in"))
+    streams.await_all([streams.start_window_stats(ev, streams.multi_sink(streams.parquet_batch_sink(f"{tmp}/w")), f"{tmp}/chk")])
+    emitted, held = spark.read.parquet(f"{tmp}/w"), streams.held_windows(spark, f"{tmp}/chk")
+    assert emitted.count() == 10 and held.count() == 10
+    assert {(r.category, r.total_sum, r.tx_count) for r in held.collect()} == {("a", 2.0, 1)}
+    assert emitted.agg(F.max("window_end")).first()[0] < held.agg(F.min("window_start")).first()[0]

@@ -9,6 +9,8 @@ swapping) is the caller's choice, see ``txflow.sinks``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,3 +128,30 @@ def ensure_table(spark: SparkSession, name: str, ddl: str, location: str | None
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{part}{loc}")
     return spark.table(name)
+
+
+def insert_columns(df: DataFrame, name: str) -> None:
+    """INSERT INTO name (the columns of ``df``): columns that it lacks take the DEFAULT of the table's DDL (CHG10, CLN14)."""
+    spark = df.sparkSession
+    view = f"_insert_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(view)
+    try:
+        columns = ", ".join(f"`{c}`" for c in df.columns)
+        spark.sql(f"INSERT INTO {name} ({columns}) SELECT {columns} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def ensure_view(spark: SparkSession, name: str, table: str, columns: list[str]) -> DataFrame:
+    """CREATE OR REPLACE VIEW in the catalog (CHG9): it names its columns, so it reads the same when the table gets more of
+    them, and it follows the table's rows wherever they are stored."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(f'`{c}`' for c in columns)} FROM {table}")
+    return spark.table(name)
+
+
+def replace_rows(df: DataFrame, name: str, location: str) -> None:
+    """The catalog table ``name`` gets the rows of ``df``, which may be made from its present ones: they are written to a
+    new location first and the table is pointed at it when they are there."""
+    df.write.mode("errorifexists").parquet(location)
+    df.sparkSession.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    df.sparkSession.catalog.refreshTable(name)

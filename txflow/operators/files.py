@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import datetime as _dt
 import math
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,41 +30,39 @@ def file_report(spark: SparkSession, path: str, partition_cols: list[str] | None
 
 
 def table_size(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(number of files, total bytes) from the file report; two numbers to the driver."""
-    r = (spark.read.parquet(path).select(F.col("_metadata.file_path").alias("p"),
-                                         F.col("_metadata.file_size").alias("s"))
-         .distinct().agg(F.count("p").alias("files"), F.sum("s").alias("bytes")).first())
+    """(number of files, total bytes) from the storage listing: no file is opened. Two numbers to the driver."""
+    r = storage_listing(spark, path).agg(F.count("path").alias("files"), F.sum("length").alias("bytes")).first()
     return int(r["files"] or 0), int(r["bytes"] or 0)
 
 
 def compact(spark: SparkSession, path: str, out_path: str, target_bytes: int = V.TARGET_FILE_BYTES,
             partition_cols: list[str] | None = None, cluster_cols: list[str] | None = None) -> str:
-    """Rewrite a table into files of about ``target_bytes`` in a new directory (CHG7).
+    """Rewrite a whole table into files of about ``target_bytes`` in a new directory (CHG7; to rewrite only a table's
+    small files, see ``filesets.FileTable.compact``).
 
-    Without keys: ceil(total / target) evenly filled partitions. With partition or
-    cluster columns: a rebalance on them, whose runtime re-plan splits a partition
-    that holds a third of the data and merges small ones toward the target, so no
-    single task writes the hot key. The source stays untouched; swapping
-    directories is the caller's step once the row counts agree.
+    Without keys: ceil(total / target) evenly filled partitions. With cluster columns: as many ranges of them, by
+    Spark's sampled bounds. With partition columns: dealt by them and by row into as many tasks, each row of a
+    partition to one of the tasks that its share of the bytes needs, so that no single task writes a hot one. The
+    source stays untouched; swapping directories is the caller's step once the row counts agree.
     """
     df = spark.read.parquet(path)
-    keys = (partition_cols or []) + (cluster_cols or [])
-    if keys:
-        # hash-clustered; the rebalance lets adaptive execution split a hot key's
-        # partition and merge small ones toward the target size
-        before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-        try:
-            w = df.hint("rebalance", *(partition_cols or cluster_cols)).sortWithinPartitions(*keys) \
-                .write.mode("overwrite")
-            if partition_cols:
-                w = w.partitionBy(*partition_cols)
-            w.parquet(out_path)
-        finally:
-            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    _, total = table_size(spark, path)
+    n = max(1, math.ceil(total / target_bytes))
+    if partition_cols:
+        rows = df.count()
+        per_file = max(1, math.ceil(rows / n))     # rows of a file of the target size
+        sizes = df.groupBy(*partition_cols).agg(F.ceil(F.count(F.lit(1)) / per_file).cast("int").alias("_files"))
+        sizes = sizes.select(*[F.col(c).alias(f"_p_{c}") for c in partition_cols], "_files")
+        same = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in partition_cols]
+        dealt = (df.join(sizes, same).withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.col("_files")))
+                 .repartition(n, *partition_cols, "_part").sortWithinPartitions(*partition_cols, *(cluster_cols or []))
+                 .select(*df.columns))
+        dealt.write.mode("overwrite").partitionBy(*partition_cols).parquet(out_path)
+    elif cluster_cols:
+        (df.repartitionByRange(n, *cluster_cols).sortWithinPartitions(*cluster_cols)
+         .write.mode("overwrite").parquet(out_path))
     else:
-        _, total = table_size(spark, path)
-        df.repartition(max(1, math.ceil(total / target_bytes))).write.mode("overwrite").parquet(out_path)
+        df.repartition(n).write.mode("overwrite").parquet(out_path)
     return out_path
 
 
@@ -100,19 +99,73 @@ def orphan_files(spark: SparkSession, path: str, live: DataFrame | None = None,
 
 def archive_by_day(df: DataFrame, out_path: str, day: _dt.date, load: str, col: str = "archive_date") -> DataFrame:
     """Add rows under ``archive_date=YYYY-MM-DD/load=<load>`` (SNK8, re-aimed upload): loads of one day stay
-    side by side, and a load that is repeated replaces itself only. Returns the load as read back, after its
-    row count was checked against the source's: then the source may be removed."""
+    side by side, and a load that is repeated replaces itself only. Returns the load as read back, after its row
+    count was checked against that of the rows which the writing pass observed: then the source may be removed."""
     spark = df.sparkSession
-    (df.withColumn(col, F.lit(day).cast("date")).withColumn("load", F.lit(load)).write.mode("overwrite")
+    written = Observation()
+    (df.observe(written, F.count(F.lit(1)).alias("rows"))
+     .withColumn(col, F.lit(day).cast("date")).withColumn("load", F.lit(load)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(col, "load").parquet(out_path))
     schema = T.StructType([*df.schema, T.StructField(col, T.DateType()), T.StructField("load", T.StringType())])
     back = spark.read.schema(schema).parquet(out_path).filter(
         (F.col(col) == F.lit(day).cast("date")) & (F.col("load") == load)).drop("load")
-    if not archive_complete(df, back):
+    if back.count() != written.get["rows"]:
         raise RuntimeError(f"load {load} of {day} is not whole in {out_path}")
     return back
 
 
+class DamagedArchive(RuntimeError):
+    """The archive's contents are not those that were read from the source."""
+
+
+def _fingerprint(name: str, digest: str) -> list:
+    """Count, bytes and an order-free hash of the names and digests of files."""
+    return [F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
+            F.coalesce(F.bit_xor(F.xxhash64(name, digest)), F.lit(0)).alias("hash")]
+
+
+def archive_files(spark: SparkSession, source: str, out_path: str, day: _dt.date, load: str) -> DataFrame:
+    """SNK8 byte by byte: every file under ``source`` with its content, as a row of name (path below ``source``), length,
+    sha256 and content under ``archive_date=.../load=...``. A repeated load replaces itself.
+
+    The source is read once: the pass that writes also observes count, bytes and a hash of all digests. The archive
+    is then read back, its contents are hashed anew and compared with both (``check_archive``). Returns name,
+    length and sha256 as computed from the archive. A file is at most 2 GB, the limit of a binary value; files without a
+    byte have no row, as Spark's file sources pass over them.
+    """
+    root = source.rstrip("/")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+             .filter(~F.col("path").rlike("/[_.][^/]*$")))      # no marks of commits and no checksums
+    rows = files.select(F.regexp_extract("path", "^.*?" + re.escape(re.sub("^[a-z]+:/*", "/", root)) + "/(.*)$", 1).alias("name"),
+                        "length", F.sha2("content", 256).alias("sha256"), "content")
+    read = Observation()
+    (rows.observe(read, *_fingerprint("name", "sha256"))
+     .withColumn("archive_date", F.lit(day).cast("date")).withColumn("load", F.lit(load)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("archive_date", "load").parquet(out_path))
+    return check_archive(spark, out_path, day, load, read.get)
+
+
+def restored_files(spark: SparkSession, out_path: str, day: _dt.date, load: str) -> DataFrame:
+    """name, length, sha256, content of the files of a load."""
+    schema = "name string, length bigint, sha256 string, content binary, archive_date date, load string"
+    return spark.read.schema(schema).parquet(out_path).filter(
+        (F.col("archive_date") == F.lit(day).cast("date")) & (F.col("load") == load)).select("name", "length", "sha256", "content")
+
+
+def check_archive(spark: SparkSession, out_path: str, day: _dt.date, load: str, read: dict | None = None) -> DataFrame:
+    """name, length, sha256 of a load, both computed from the archived contents. Refused (DamagedArchive) if a file is
+    not as its row says, or if all of them are not what ``read`` observed at the source: then nothing may be removed."""
+    held = restored_files(spark, out_path, day, load)
+    again = held.select("name", F.length("content").cast("bigint").alias("length"), F.sha2("content", 256).alias("sha256"),
+                        (~F.col("sha256").eqNullSafe(F.sha2("content", 256))
+                         | ~F.col("length").eqNullSafe(F.length("content").cast("bigint"))).alias("damaged"))
+    found = again.agg(*_fingerprint("name", "sha256"), F.count_if("damaged").alias("damaged")).first().asDict()
+    damaged = found.pop("damaged")
+    if damaged or (read is not None and found != read):
+        raise DamagedArchive(f"load {load} of {day}: {damaged} damaged files; {found} archived, {read} read")
+    return again.select("name", "length", "sha256")
+
+
 def archived_day(spark: SparkSession, out_path: str, day: _dt.date, col: str = "archive_date") -> DataFrame:
     """All loads of one day."""
     return spark.read.parquet(out_path).filter(F.col(col) == F.lit(day).cast("date")).drop("load")

@@ -493,3 +493,54 @@ moved AS (SELECT s.version, s.id, strftime(s.ts, '%Y%m') AS month, amount,
 SELECT version, month, count(*) AS rows, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount,
   bool_and(NOT changed) AS all_needed
 FROM moved GROUP BY version, month"""
+
+SQL["archive_files"] = """
+WITH lines AS (SELECT strftime(o_orderdate, '%Y%m') AS month, o_orderkey,
+                 concat_ws('|', o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2))) || chr(10) AS line FROM orders)
+SELECT month, CAST(sum(strlen(line)) AS BIGINT) AS length, sha256(string_agg(line, '' ORDER BY o_orderkey)) AS sha256
+FROM lines GROUP BY month"""
+
+# --- layouts, defaults, views, one decode for several schemas, metrics, state and late rows ---------------
+
+SQL["join_pruned"] = with_(TARGET) + """
+SELECT strftime(ts, '%Y%m') AS month, count(*) AS rows, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS turnover
+FROM target WHERE quarter(ts) = 4 GROUP BY 1"""
+
+SQL["insert_defaults"] = """
+SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS "user", o_totalprice AS amount,
+  CAST(floor(epoch(o_orderdate)) AS BIGINT) AS "timestamp", o_orderpriority AS category FROM orders
+UNION ALL
+SELECT event_id, CAST(user_id AS VARCHAR), 0.0, CAST(floor(epoch(ts)) AS BIGINT), '' FROM events"""
+
+SQL["persistent_view"] = with_(TARGET) + """
+SELECT 'before' AS phase, "user", amount, ts FROM target
+UNION ALL SELECT 'after', "user", 0.0, ts FROM target"""
+
+SQL["variant_decode"] = """
+SELECT event_id AS "offset", event_id AS id, CAST(user_id AS VARCHAR) AS "user", value AS amount,
+  CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp", event_type AS category,
+  CAST(CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS INTEGER) AS extra_fields, false AS broken
+FROM events"""
+
+SQL["variant_unknown"] = """
+SELECT field, type, rows FROM (
+  SELECT 'class' AS field, 'STRING' AS type, count(*) AS rows FROM events WHERE event_id % 3 = 1
+  UNION ALL SELECT 'type', 'STRING', count(*) FROM events WHERE event_id % 3 = 1
+  UNION ALL SELECT 'props', CASE WHEN json_extract(props, '$.k') IS NULL THEN 'OBJECT<>' ELSE 'OBJECT<k: BIGINT>' END, count(*)
+            FROM events WHERE event_id % 3 = 2 GROUP BY 2) WHERE rows > 0"""
+
+SQL["stream_metrics"] = """
+SELECT count(*) AS rows, count(*) FILTER (WHERE bad) AS broken, count(*) FILTER (WHERE NOT bad AND o_totalprice > 10000) AS large,
+  count(*) FILTER (WHERE NOT bad) AS good_written, count(*) FILTER (WHERE bad) AS bad_written
+FROM (SELECT *, starts_with(o_orderpriority, '2') AS bad FROM orders)"""
+
+SQL["stream_held_windows"] = f"""
+SELECT *, window_end > (SELECT max(ts) - INTERVAL 15 MINUTE FROM events) AS held FROM ({SLIDING})"""
+
+SQL["stream_late_split"] = """
+WITH ev AS (SELECT event_id, value, CAST(floor(epoch(ts)) AS BIGINT) AS e FROM events),
+cut AS (SELECT CAST(floor((min(e) + max(e)) / 2) AS BIGINT) AS c FROM ev),
+wm AS (SELECT max(e) - 900 AS w FROM ev, cut WHERE e >= c)
+SELECT event_id AS id, value AS amount, make_timestamp(e * 1000000) AS event_time,
+  CASE WHEN e < c AND (e // 600) * 600 + 600 <= w THEN make_timestamp(w * 1000000) END AS watermark
+FROM ev, cut, wm"""

@@ -26,7 +26,7 @@ def topic_partitions(spark) -> int:
 def _publish(spark, env_of, path):
     """Publish messages to the stand-in topic: envelope + one file per partition."""
     n = topic_partitions(spark)
-    return streams.write_envelope(env_of(n), path, partitions=n)
+    return fixtures.publish(env_of(n), path, partitions=n)
 
 
 def _event_envelope(spark, sf_dir, partitions: int = 3):
@@ -63,7 +63,7 @@ def stream_quarantine(spark, sf_dir):
     env = messages.to_envelope(msgs, "user", "id", carry=["category"])
     env = fixtures.truncate_payloads(env, F.col("category") == "error")
     env = env.withColumn("value", F.when(F.col("offset") % 10 == 0, F.lit(" ").cast("binary")).otherwise(F.col("value")))
-    streams.write_envelope(env.drop("category"), f"{root}/input")
+    fixtures.publish(env.drop("category"), f"{root}/input")
     sink = streams.quarantine_sink(streams.parquet_batch_sink(f"{root}/good"), f"{root}/bad")
     streams.await_all([streams.start_view(streams.envelope_stream(spark, f"{root}/input"), sink, f"{root}/chk")])
     good = spark.read.parquet(f"{root}/good").select(F.col("id").alias("offset"), "amount", F.lit(False).alias("bad"))
@@ -188,3 +188,83 @@ def incremental_latest(spark, sf_dir):
     q = streams.start_view(ev, streams.latest_view_sink(f"{root}/view"), f"{root}/chk")
     streams.await_all([q])
     return streams.read_latest_view(spark, f"{root}/view")
+
+
+# --- one decode for several schemas, observed metrics, state and late rows (SRC6, SRC7, STR1, STR3) --------
+
+
+@register("variant_decode")
+def variant_decode(spark, sf_dir):
+    """SRC6: the event messages as three producers spell them, through one VARIANT decode."""
+    env = fixtures.ragged_messages(table(spark, sf_dir, "events"))
+    return messages.decode_any(env, ["offset"]).select(
+        "offset", "id", "user", "amount", "timestamp", "category", F.size("extra").alias("extra_fields"), "broken")
+
+
+@register("variant_unknown")
+def variant_unknown(spark, sf_dir):
+    """SRC6: the fields that these messages have beside the known ones, counted by name and type."""
+    env = fixtures.ragged_messages(table(spark, sf_dir, "events"))
+    return messages.unknown_fields(messages.decode_any(env))
+
+
+@register("stream_metrics")
+def stream_metrics(spark, sf_dir):
+    """SRC7 + SNK3 metrics: order messages, some damaged, parked or written batch by batch; rows, broken ones and large
+    amounts as the writing pass observed them, beside the rows that both sinks hold."""
+    root = work_dir(spark, "metrics")
+    msgs = fixtures.messages_from_orders(table(spark, sf_dir, "orders"))
+
+    def envelope(n):
+        env = messages.to_envelope(msgs, "user", "id", partitions=n, carry=["category"])
+        return fixtures.truncate_payloads(env, F.col("category").startswith("2")).drop("category")
+
+    _publish(spark, envelope, f"{root}/input")
+    seen = messages.decode_with_quarantine(
+        streams.envelope_stream(spark, f"{root}/input", max(1, topic_partitions(spark) // 2)), keep=["offset"])
+    seen = seen.observe("messages", F.count(F.lit(1)).alias("rows"), F.count_if("_bad").alias("broken"),
+                        F.count_if(~F.col("_bad") & (C.parse_decimal_comma("amount") > V.ALERT_THRESHOLD)).alias("large"))
+    write_good, write_bad = streams.parquet_batch_sink(f"{root}/good"), streams.parquet_batch_sink(f"{root}/bad")
+
+    def park(batch, batch_id):
+        good, bad = messages.split_quarantine(batch)
+        write_good(good, batch_id)
+        write_bad(bad, batch_id)
+
+    found = streams.drain_observed(spark, lambda: streams.start_view(seen, streams.multi_sink(park), f"{root}/chk"))
+    totals = [found.total("messages", m) for m in ("rows", "broken", "large")]
+    written = spark.read.parquet(f"{root}/good").agg(F.count("*").alias("good_written")).join(
+        spark.read.parquet(f"{root}/bad").agg(F.count("*").alias("bad_written")), F.lit(True))    # one row each
+    return written.select(*[F.lit(x).cast("bigint").alias(n) for x, n in zip(totals, ("rows", "broken", "large"))], "*")
+
+
+@register("stream_held_windows")
+def stream_held_windows(spark, sf_dir):
+    """STR1 + STR5: the windows that the stream has emitted and those that its state still holds are all windows."""
+    root = work_dir(spark, "held")
+    _publish(spark, lambda n: _event_envelope(spark, sf_dir, n), f"{root}/input")
+    ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input"))
+    sink = streams.multi_sink(streams.parquet_batch_sink(f"{root}/windows"))
+    streams.await_all([streams.start_window_stats(ev, sink, f"{root}/chk")])
+    emitted = spark.read.parquet(f"{root}/windows").drop("batch_id").withColumn("held", F.lit(False))
+    held = streams.held_windows(spark, f"{root}/chk").withColumn("held", F.lit(True))
+    columns = ["window_start", "window_end", "category", C.money("total_sum").alias("total_sum"), "tx_count", "held"]
+    return emitted.select(*columns).unionByName(held.select(*columns))
+
+
+@register("stream_late_split")
+def stream_late_split(spark, sf_dir):
+    """STR3: the newer half of the events arrives first, the older half late, over two runs of one checkpoint; rows whose
+    window had closed go to a sink of their own. Every row is in one of the two."""
+    root = work_dir(spark, "late")
+    msgs = fixtures.messages_from_events(table(spark, sf_dir, "events"))
+    cut = msgs.agg(((F.min("timestamp") + F.max("timestamp")) / 2).cast("bigint")).first()[0]
+    sink = streams.late_split_sink(streams.parquet_batch_sink(f"{root}/on_time"), streams.parquet_batch_sink(f"{root}/late"), f"{root}/clock")
+    for part in (F.col("timestamp") >= cut, F.col("timestamp") < cut):
+        _publish(spark, lambda n: messages.to_envelope(msgs.filter(part), "user", "id", partitions=n), f"{root}/input")
+        ev = streams.decoded(streams.envelope_stream(spark, f"{root}/input"))
+        streams.await_all([streams.start_view(ev, sink, f"{root}/chk")])
+    columns = ["id", "amount", C.to_wall_clock(F.col("event_time")).alias("event_time")]
+    on_time = spark.read.parquet(f"{root}/on_time").select(*columns, F.lit(None).cast("timestamp_ntz").alias("watermark"))
+    late = spark.read.parquet(f"{root}/late").select(*columns, C.to_wall_clock(F.col("watermark")).alias("watermark"))
+    return on_time.unionByName(late)

@@ -68,7 +68,7 @@ def retain_last_versions(spark, sf_dir):
     read the files they need, and the log is computed once."""
     path = f"{work_dir(spark, 'log')}/log"
     log = change_log(spark, sf_dir)
-    log.write.partitionBy("version").parquet(path)
+    files.write_partitioned(log, path, ["version"])
     return changes.retain_last_versions(spark.read.schema(log.schema).parquet(path).select(*log.columns),
                                         V.RETAIN_LAST_VERSIONS)
 
@@ -184,15 +184,25 @@ def day_bucket_layout(spark, sf_dir):
 
 @register("archive_by_day")
 def archive_by_day(spark, sf_dir):
-    """SNK8 re-aimed: the day's silver copied under archive_date=2024-01-31 in two loads, the second one
+    """SNK8 re-aimed: the day's silver, stored once, copied under archive_date=2024-01-31 in two loads, the second one
     repeated; both are read back whole."""
     root = work_dir(spark, "archive")
-    rows = silver(spark, sf_dir)
+    rows = parquet_scan(spark, writers.overwrite_parquet(silver(spark, sf_dir), f"{root}/silver"))
     for load, part in (("even", F.col("id") % 2 == 0), ("odd", F.col("id") % 2 == 1), ("odd", F.col("id") % 2 == 1)):
         files.archive_by_day(rows.filter(part), f"{root}/archive", ARCHIVE_DAY, load)
     return files.archived_day(spark, f"{root}/archive", ARCHIVE_DAY)
 
 
+@register("archive_files")
+def archive_files(spark, sf_dir):
+    """SNK8 byte by byte: the orders as text files, one a month, archived with their contents; length and digest of
+    every file as the archive holds it."""
+    root = work_dir(spark, "archive_files")
+    fixtures.order_lines(table(spark, sf_dir, "orders")).write.partitionBy("month").text(f"{root}/raw")
+    held = files.archive_files(spark, f"{root}/raw", f"{root}/archive", ARCHIVE_DAY, "orders")
+    return held.select(F.regexp_extract("name", "month=([0-9]+)/", 1).alias("month"), "length", "sha256")
+
+
 @register("csv_declared")
 def csv_declared_q(spark, sf_dir):
     """SRC1: the raw transactions as CSV, read back with the declared DDL schema; an
@@ -206,3 +216,53 @@ def csv_inferred_q(spark, sf_dir):
     """SRC2: the same CSV with an inferred schema (one extra pass decides the types)."""
     path = writers.write_csv(raw_transactions(spark, sf_dir), f"{work_dir(spark, 'csv')}/raw")
     return csv_inferred(spark, path)
+
+
+# --- layouts, defaults and views of stored tables (JN1, CHG9, CHG10, CLN14) ---------------------------
+
+
+def month_dimension(orders):
+    """month, quarter of every month that has orders."""
+    return orders.select(F.date_format("o_orderdate", "yyyyMM").alias("month"), F.quarter("o_orderdate").alias("quarter")).distinct()
+
+
+@register("join_pruned")
+def join_pruned(spark, sf_dir):
+    """JN1 over a partitioned fact: the live table is stored by month, the months of fourth quarters are joined to it; only
+    their folders are read. Rows and turnover per month."""
+    root = work_dir(spark, "join_pruned")
+    files.write_partitioned(target_table(spark, sf_dir).withColumn("month", F.date_format("ts", "yyyyMM")), f"{root}/fact", ["month"])
+    writers.overwrite_parquet(month_dimension(table(spark, sf_dir, "orders")), f"{root}/months")
+    fact = spark.read.schema(f"{schemas.VERSIONED_TRANSACTIONS}, month STRING").parquet(f"{root}/fact")
+    report = reports.turnover_by_partition(fact, spark.read.parquet(f"{root}/months").filter("quarter = 4"), "month")
+    return report.withColumn("turnover", F.col("turnover").cast("double"))
+
+
+@register("insert_defaults")
+def insert_defaults(spark, sf_dir):
+    """CHG10 + CLN14: the table's DDL has a default for each field; order messages arrive whole, event messages without
+    amount and category, which become 0 and empty when they are stored."""
+    root = work_dir(spark, "defaults")
+    name = "txflow_defaults_" + root.rsplit("-", 1)[1]
+    changes.ensure_table(spark, name, schemas.MESSAGE_WITH_DEFAULTS, location=f"{root}/table")
+    changes.insert_columns(fixtures.messages_from_orders(table(spark, sf_dir, "orders")), name)
+    changes.insert_columns(fixtures.messages_from_events(table(spark, sf_dir, "events")).select("id", "user", "timestamp"), name)
+    return _detached(spark, name, spark.table(name))
+
+
+@register("persistent_view")
+def persistent_view(spark, sf_dir):
+    """CHG9 in the catalog: the view over the stored table is read before and after every amount is set to 0 and the table
+    got a column more."""
+    root = work_dir(spark, "view")
+    name = "txflow_viewed_" + root.rsplit("-", 1)[1]
+    changes.ensure_table(spark, name, schemas.VERSIONED_TRANSACTIONS, location=f"{root}/first")
+    writers.append_table(target_table(spark, sf_dir), name)
+    view = changes.ensure_view(spark, f"{name}_old", name, ["user", "amount", "ts"])
+    before = parquet_scan(spark, writers.overwrite_parquet(view, f"{root}/before"))
+    changes.replace_rows(changes.update_column(spark.table(name), "amount", 0.0), name, f"{root}/second")
+    spark.sql(f"ALTER TABLE {name} ADD COLUMNS (city STRING)")
+    after = parquet_scan(spark, writers.overwrite_parquet(spark.table(f"{name}_old"), f"{root}/after"))
+    spark.sql(f"DROP VIEW {name}_old")
+    spark.sql(f"DROP TABLE {name}")
+    return before.select(F.lit("before").alias("phase"), "*").unionByName(after.select(F.lit("after").alias("phase"), "*"))

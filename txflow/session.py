@@ -111,6 +111,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/txflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, none where it is not there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in store.listStatus(at) if s.isDirectory()] if store.exists(at) else []
+
+
 def written_whole(spark: SparkSession, path: str) -> bool:
     """True when a job has committed its output at ``path``: its ``_SUCCESS`` is there, on whatever store."""
     jvm = spark.sparkContext._jvm

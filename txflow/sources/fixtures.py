@@ -225,3 +225,42 @@ def truncate_payloads(env: DataFrame, when: Column) -> DataFrame:
     text = F.col("value").cast("string")
     broken = F.expr("substring(CAST(value AS STRING), 1, length(CAST(value AS STRING)) - 1)")
     return env.withColumn("value", F.when(when, broken).otherwise(text).cast("binary"))
+
+
+def publish(env: DataFrame, path: str, partitions: int | None = None) -> str:
+    """Append envelope rows as parquet files (what a producer run would publish).
+
+    With ``partitions``: one file per topic partition. Rows go to the writer of
+    their key's hash partition, the same Murmur3 hash of the key bytes that chose
+    their ``partition`` value, so a micro-batch reads the topic partitions in
+    parallel, as the Kafka source does.
+    """
+    if partitions:
+        env = env.repartition(partitions, "key")
+    env.write.mode("append").parquet(path)
+    return path
+
+
+def ragged_messages(events: DataFrame) -> DataFrame:
+    """The event messages as three producers spell them, by event id: typed values; all fields as text, with a decimal
+    comma, a written-out time and two more fields; the account as a number named user_id, the whole properties too."""
+    m = events.select(F.col("event_id").alias("id"), F.col("user_id").cast("string").alias("user"),
+                      F.col("value").alias("amount"), C.timestamp_to_epoch("ts").alias("timestamp"),
+                      F.col("event_type").alias("category"), "props")
+    k = F.col("id")
+    typed = F.to_json(F.struct("id", "user", "amount", "timestamp", "category"))
+    text = F.to_json(F.struct(
+        k.cast("string").alias("id"), "user", F.translate(F.col("amount").cast("decimal(18,2)").cast("string"), ".", ",").alias("amount"),
+        F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "category",
+        F.lit("vip").alias("class"), F.lit("refund").alias("type")))
+    nested = F.to_json(F.struct(k.alias("id"), F.col("user").cast("bigint").alias("user_id"), "amount", "timestamp", "category",
+                                F.from_json("props", "k INT").alias("props")))
+    value = F.when(k % 3 == 0, typed).when(k % 3 == 1, text).otherwise(nested)
+    return m.select(k.alias("offset"), value.cast("binary").alias("value"))
+
+
+def order_lines(orders: DataFrame) -> DataFrame:
+    """month, value: one text line for each order, ``key|status|price``, in order of the keys within its month's file."""
+    line = F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    rows = orders.select(F.date_format("o_orderdate", "yyyyMM").alias("month"), "o_orderkey", line.alias("value"))
+    return rows.repartition("month").sortWithinPartitions("month", "o_orderkey").select("month", "value")

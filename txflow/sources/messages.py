@@ -7,7 +7,7 @@ the parquet stand-in used where no broker exists.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txflow.functions import columns as C
@@ -15,6 +15,7 @@ from txflow.functions import values as V
 from txflow.sources import schemas
 
 CORRUPT_COLUMN = "_corrupt_record"
+MESSAGE_FIELDS = ("id", "user", "user_id", "amount", "timestamp", "category")
 
 
 def enrich(messages: DataFrame, key: str = "id") -> DataFrame:
@@ -72,6 +73,37 @@ def typed(decoded: DataFrame) -> DataFrame:
     )
 
 
+def decode_any(envelope: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One decode for producers that spell the message differently (SRC6): numbers or text, a decimal comma, the time as
+    epoch seconds or written out, the account as ``user`` or ``user_id``. Columns: ``keep``, id, user, amount, timestamp,
+    category, extra, broken.
+
+    The value is parsed once into a VARIANT and every field is taken from it with a cast that gives NULL where it does
+    not fit. Fields that the message does not have are kept in ``extra`` (name -> VARIANT, NULL when broken); ``broken``
+    is true when the value is no JSON object.
+    """
+    keep = keep or []
+    parsed = envelope.select(*keep, F.try_parse_json(F.col("value").cast("string")).alias("_v"))
+    fields = F.try_variant_get("_v", "$", "map<string,variant>")
+
+    def text(name: str) -> Column:
+        return F.try_variant_get("_v", f"$.{name}", "string")
+
+    time = text("timestamp")
+    out = parsed.select(
+        *keep, text("id").alias("id"), F.coalesce(text("user"), text("user_id")).alias("user"), text("amount").alias("amount"),
+        F.coalesce(C.tolerant_cast(time, "bigint"), F.unix_seconds(F.try_to_timestamp(time))).cast("string").alias("timestamp"),
+        text("category").alias("category"),
+        F.map_filter(fields, lambda k, _: ~k.isin(*MESSAGE_FIELDS)).alias("extra"), fields.isNull().alias("broken"))
+    return typed(out).select(*keep, "id", "user", "amount", "timestamp", "category", "extra", "broken")
+
+
+def unknown_fields(decoded: DataFrame) -> DataFrame:
+    """field, type, rows: what ``decode_any`` kept beside the message, by name and JSON type."""
+    return (decoded.select(F.explode("extra").alias("field", "value"))
+            .groupBy("field", F.schema_of_variant("value").alias("type")).agg(F.count(F.lit(1)).alias("rows")))
+
+
 def decode_with_quarantine(envelope: DataFrame, ddl: str = schemas.LOOSE_MESSAGE,
                            keep: list[str] | None = None) -> DataFrame:
     """Decode and flag: ``_bad`` is true when the value is missing, empty or blank (no

@@ -4,6 +4,8 @@ RAW_TRANSACTIONS = "id BIGINT, user_id BIGINT, amount STRING, category STRING, t
 # decode every field as text, then convert with try_cast: numbers and strings both arrive
 LOOSE_MESSAGE = "id STRING, user STRING, amount STRING, timestamp STRING, category STRING"
 TYPED_MESSAGE = "id BIGINT, user STRING, amount DOUBLE, timestamp BIGINT, category STRING"
+MESSAGE_WITH_DEFAULTS = ("id BIGINT DEFAULT 0, user STRING DEFAULT '', amount DOUBLE DEFAULT 0.0, "
+                         "timestamp BIGINT DEFAULT 0, category STRING DEFAULT ''")
 ENVELOPE = "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
 VERSIONED_TRANSACTIONS = "id BIGINT, user STRING, amount DOUBLE, ts TIMESTAMP_NTZ"
 CHANGE_LOG = (

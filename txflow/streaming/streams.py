@@ -12,17 +12,18 @@ so it can be given explicitly before the first start.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from txflow.functions import columns as C
 from txflow.functions import values as V
 from txflow.operators import collapse, windows
+from txflow.session import folders, written_whole
 from txflow.sources import messages, schemas
 
 STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
@@ -86,20 +87,6 @@ def envelope_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     return r.parquet(path)
 
 
-def write_envelope(env: DataFrame, path: str, partitions: int | None = None) -> str:
-    """Append envelope rows as parquet files (what a producer run would publish).
-
-    With ``partitions``: one file per topic partition. Rows go to the writer of
-    their key's hash partition, the same Murmur3 hash of the key bytes that chose
-    their ``partition`` value, so a micro-batch reads the topic partitions in
-    parallel, as the Kafka source does.
-    """
-    if partitions:
-        env = env.repartition(partitions, "key")
-    env.write.mode("append").parquet(path)
-    return path
-
-
 def decoded(env: DataFrame, extra: str = "") -> DataFrame:
     """Envelope -> typed message columns + event_time (TIMESTAMP, for watermarks)."""
     ddl = schemas.LOOSE_MESSAGE + (f", {extra}" if extra else "")
@@ -312,16 +299,19 @@ def _collapse_view(rows: DataFrame, kind: str) -> DataFrame:
 BASELINE = "_baseline"   # beside the batches; a reader of the batches passes over names with an underscore
 
 
+def _baseline(spark: SparkSession, path: str) -> int | None:
+    """The last batch of the newest baseline that is written whole: one that a fold left half done doesn't count."""
+    at = f"{path}/{BASELINE}"
+    found = [int(n.removeprefix("through=")) for n in folders(spark, at) if n.startswith("through=")]
+    return max((n for n in found if written_whole(spark, f"{at}/through={n}")), default=None)
+
+
 def _view_rows(spark: SparkSession, path: str) -> tuple[DataFrame, int | None]:
     """(rows of the newest baseline and of the batches after it, the last batch of that baseline)."""
-    try:
-        base = spark.read.parquet(f"{path}/{BASELINE}")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    through = _baseline(spark, path)
+    if through is None:
         return spark.read.parquet(path).drop("batch_id"), None
-    through = base.agg(F.max("through")).first()[0]
-    base = base.filter(F.col("through") == through).drop("through")
+    base = spark.read.parquet(f"{path}/{BASELINE}/through={through}")
     batches = spark.read.schema(T.StructType([*base.schema, T.StructField("batch_id", T.LongType())])).parquet(path)
     return base.unionByName(batches.filter(F.col("batch_id") > through).drop("batch_id")), through
 
@@ -334,36 +324,131 @@ def read_latest_view(spark: SparkSession, path: str) -> DataFrame:
     return _collapse_view(_view_rows(spark, path)[0], "latest").drop("seq")
 
 
-def quarantine_sink(good: BatchSink, bad_path: str, most: float | None = None,
-                    ddl: str = schemas.LOOSE_MESSAGE) -> BatchSink:
+def quarantine_sink(good: BatchSink, bad_path: str, most: float | None = None, ddl: str = schemas.LOOSE_MESSAGE,
+                    metrics_path: str | None = None) -> BatchSink:
     """SRC7 for streams: decode each raw envelope batch, park broken messages under
     ``bad_path/batch_id=N`` before anything else, refuse the batch when more than the share
     ``most`` of it is broken (no limit by default), and hand the good rows (typed) to ``good``.
-    The batch is decoded once (persisted)."""
+    The batch is decoded once (persisted); how many of its rows are broken is observed in the pass that parks them.
+    ``metrics_path`` gets one row a batch: rows, broken."""
     write_bad = parquet_batch_sink(bad_path)
 
     def sink(env: DataFrame, batch_id: int) -> None:
         flagged = messages.decode_with_quarantine(env, ddl, keep=["key", "partition", "offset"]).persist()
         try:
-            ok, bad = messages.split_quarantine(flagged)
-            n, n_bad = flagged.agg(F.count("*"), F.count_if("_bad")).first()
-            if n_bad:
-                write_bad(bad.select("key", "partition", "offset", messages.CORRUPT_COLUMN), batch_id)
-            messages.check_broken(n_bad, n, most)
-            good(messages.typed(ok), batch_id)
+            counts = Observation()
+            seen = flagged.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if("_bad").alias("broken"))
+            _, bad = messages.split_quarantine(seen)
+            write_bad(bad.select("key", "partition", "offset", messages.CORRUPT_COLUMN), batch_id)
+            found = counts.get
+            if metrics_path:
+                row = env.sparkSession.createDataFrame([(found["rows"], found["broken"])], "rows long, broken long")
+                parquet_batch_sink(metrics_path)(row, batch_id)
+            messages.check_broken(found["broken"], found["rows"], most)
+            good(messages.typed(messages.split_quarantine(flagged)[0]), batch_id)
         finally:
             flagged.unpersist()
     return sink
 
 
+class ObservedMetrics(StreamingQueryListener):
+    """Adds up what ``df.observe(name, ...)`` of streams reports, batch by batch, from the pass that writes: for
+    each name the metrics of every batch, and their sums."""
+
+    def __init__(self) -> None:
+        self.batches: dict[str, dict[int, dict[str, int]]] = {}
+        self._ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        self._ended.clear()
+
+    def onQueryProgress(self, event) -> None:
+        for name, row in event.progress.observedMetrics.items():
+            # a batch that ran anew after a restart counts once
+            self.batches.setdefault(name, {})[event.progress.batchId] = row.asDict()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.set()
+
+    def total(self, name: str, metric: str) -> int:
+        return sum(m[metric] or 0 for m in self.batches.get(name, {}).values())
+
+    def drain(self, query: StreamingQuery, seconds: float = 60.0) -> None:
+        """Wait until ``query`` has ended and its events have arrived."""
+        await_all([query])
+        if not self._ended.wait(seconds):
+            raise TimeoutError("the query's end was not reported")
+
+
+def drain_observed(spark: SparkSession, start: Callable[[], StreamingQuery]) -> ObservedMetrics:
+    """Run a stream to its end and return the metrics that its passes observed."""
+    metrics = ObservedMetrics()
+    spark.streams.addListener(metrics)
+    try:
+        metrics.drain(start())
+    finally:
+        spark.streams.removeListener(metrics)
+    return metrics
+
+
+# --- windows that are still held, and rows that come too late (STR1, STR3) ----------
+
+def held_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows of a window stream that its state still holds, because the watermark has not passed their end:
+    window_start, window_end, category, total_sum, tx_count, read from the state store of the last batch."""
+    state = spark.read.format("statestore").load(checkpoint)
+    value = state.schema["value"].dataType.names
+    return state.select(C.to_wall_clock(F.col("key.window.start")).alias("window_start"),
+                        C.to_wall_clock(F.col("key.window.end")).alias("window_end"), F.col("key.category").alias("category"),
+                        F.col("value").getField(value[0]).alias("total_sum"), F.col("value").getField(value[1]).alias("tx_count"))
+
+
+def late_split_sink(on_time: BatchSink, late: BatchSink, clock_path: str, window: str = V.SLIDING_WINDOW,
+                    delay: str = V.WATERMARK_DELAY, time_col: str = "event_time") -> BatchSink:
+    """STR3 with a record of late rows: a row whose tumbling ``window`` had closed before its batch goes to ``late``, with
+    the ``watermark`` that closed it; all others go to ``on_time``.
+
+    The watermark of a batch is the largest event time of all earlier batches less ``delay``; a window is closed
+    when it ends at or before it, as in the window aggregation; a row without a time is never late. Each batch keeps its own largest time under
+    ``clock_path/batch_id=N``, so a batch that is replayed sees the watermark it saw before and writes the same rows.
+    """
+    write_clock = parquet_batch_sink(clock_path)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            newest = Observation()
+            seen = batch.observe(newest, F.max(time_col).alias("newest"))
+            earlier = None
+            if any(n.startswith("batch_id=") for n in folders(spark, clock_path)):
+                clock = spark.read.schema("newest timestamp, batch_id long").parquet(clock_path)
+                earlier = clock.filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+            mark = F.lit(earlier).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+            size = F.expr(f"unix_micros(timestamp_seconds(0) + INTERVAL {window})")
+            micros = F.unix_micros(time_col)
+            closed = F.coalesce(F.timestamp_micros(micros - F.pmod(micros, size) + size) <= mark, F.lit(False))
+            on_time(seen.filter(~closed), batch_id)
+            late(batch.filter(closed).withColumn("watermark", mark), batch_id)
+            if newest.get["newest"] is not None:
+                write_clock(spark.createDataFrame([(newest.get["newest"],)], "newest timestamp"), batch_id)
+        finally:
+            batch.unpersist()
+    return sink
+
+
 def fold_view(spark: SparkSession, path: str, kind: str) -> int:
     """Background merge of a continuous view: everything up to the newest batch N becomes one
     baseline, ``path/_baseline/through=N``. Readers take the newest baseline and the batches after
     it, so a replay of batch N or an earlier one changes nothing, and new batches land as before.
-    Returns N. ``kind`` is 'summing' or 'latest'. A view folded twice at the same N stays as it is."""
+    Returns N. ``kind`` is 'summing' or 'latest'. A view folded twice at the same N stays as it is; a fold that was cut
+    off is passed over by readers and written anew by the next one."""
     rows, through = _view_rows(spark, path)
     last = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
     if through is not None and last <= through:
         return through
-    _collapse_view(rows, kind).write.parquet(f"{path}/{BASELINE}/through={int(last)}")
+    _collapse_view(rows, kind).write.mode("overwrite").parquet(f"{path}/{BASELINE}/through={int(last)}")
     return int(last)
