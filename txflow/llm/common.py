@@ -35,11 +35,11 @@ def text_of(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
