@@ -52,3 +52,14 @@ def test_a_long_text_is_read_in_parts(monkeypatch):
     monkeypatch.setattr(language, "AT_ONCE", 1000)
     parts = [g.tolist() for g in language.gram_numbers(text)]
     assert sorted(sum(parts, [])) == sorted(sum(whole, []))
+
+
+def test_the_sample_is_bounded_when_ids_repeat(spark):
+    """One id on thousands of rows, of several languages and texts: one row of each id and language."""
+    rows = [(4, f"text number {i}", "en") for i in range(3000)] + [(4, "texte", "fr")] * 500
+    rows += [(i, f"word {i}", "de") for i in range(100, 400)]
+    docs = spark.createDataFrame(rows, "id long, text string, lang string")
+    got = language._sample(docs, 40, 70).collect()
+    count = {x: sum(r["lang"] == x for r in got) for x in ("en", "fr", "de")}
+    assert len(got) <= 70 and count == {"en": 1, "fr": 1, "de": 40}
+    assert sorted(tuple(r)[:2] for r in got) == sorted(tuple(r)[:2] for r in language._sample(docs.repartition(3), 40, 70).collect())

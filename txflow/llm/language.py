@@ -101,15 +101,17 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
 
 def _sample(rows: DataFrame, per_language: int, rows_at_most: int) -> DataFrame:
     """lang, grams, counts, part of at most ``per_language`` rows of each language and ``rows_at_most`` in all,
-    those of lowest hash; ids are chosen first, so that only the chosen texts move."""
-    lowest = (rows.select("id", "lang", F.xxhash64("id", "lang").alias("h"))
+    those of lowest hash, one row of each id and language; these are chosen first, so that only their texts move."""
+    # one row for each id and language, counted map-side: copies of an id neither fill places nor come along
+    lowest = (rows.select("id", "lang").distinct().withColumn("h", F.xxhash64("id", "lang"))
               .withColumn("salt", F.pmod(F.xxhash64("lang", "id"), F.lit(SALTS))))
     for keys in (["lang", "salt"], ["lang"]):   # a frequent language is thinned out in SALTS parts first
         order = Window.partitionBy(*keys).orderBy("h", "id")
         lowest = lowest.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
     chosen = lowest.orderBy("r", "h", "id").limit(rows_at_most)
-    # at most rows_at_most ids, whatever the input
-    texts = rows.join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi")
+    # at most rows_at_most pairs, whatever the input, and one text of each: that of the lowest hash
+    texts = (rows.join(F.broadcast(chosen.select("id", "lang")), ["id", "lang"], "left_semi")
+             .groupBy("id", "lang").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
