@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from tests.conftest import SF001
 from txflow.llm.pii import KINDS, base_spans, find_personal_data
 from txflow.llm.queries import op6_pii
@@ -104,3 +106,15 @@ def test_chains_of_contexts_are_followed_to_their_end(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in find_personal_data(docs).collect()}
     assert [i for i, start, n in new if found[i] != [(start, 2, start + n)]] == []
+
+
+@pytest.mark.parametrize("seeds", [30, 40_000])
+def test_rounds_go_on_however_many_seeds_there_are(spark, seeds):
+    """A chain of three looks in one context: one new instance among 40,000 moves the confidence by little, but its look
+    admits the next."""
+    texts = [f"login from: 10.{i % 200}.{i // 200 % 200}.{i // 40_000}" for i in range(seeds)]
+    chain = ["ab-1234", "cd-12", "efgh1"]
+    texts += [f"login from: {x}" for x in chain]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in find_personal_data(docs).filter(f"doc_id >= {seeds}").collect()}
+    assert found == {seeds + i: [(12, 1, 12 + len(x))] for i, x in enumerate(chain)}

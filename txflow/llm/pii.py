@@ -192,8 +192,8 @@ def extract(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def score_graph(edges: DataFrame, *, rounds: int | None, support: int, trust: float) -> tuple[DataFrame, DataFrame]:
     """(trusted patterns: pattern, kind, conf; found instances: instance, kind, score) of the distinct edges
     (pattern, instance, kind of a seed or null, free). A pattern also tells how its known instances look.
-    Rounds end when one leaves the trusted patterns and their confidences (to 3 digits) as an earlier one had them,
-    which must come, or after ``rounds``."""
+    Rounds end when one leaves the patterns (with the number and looks of their known instances and their confidence to
+    6 digits) and the found instances as an earlier one had them, which must come, or after ``rounds``."""
     text = F.col("instance")
     looks = {"size": F.length(text), "digits": F.length(F.regexp_replace(text, "[^0-9]", "")),
              "letters": text.rlike(r"\p{L}"), "at": text.contains("@")}
@@ -212,14 +212,15 @@ def score_graph(edges: DataFrame, *, rounds: int | None, support: int, trust: fl
                      F.min("digits").alias("few"), F.bool_or("letters").alias("lettered"), F.bool_and("at").alias("all_at"))
                 .filter(F.col("n") >= support))
         patterns = saved(held.join(sizes, "pattern").withColumn("conf", F.col("score") / F.col("fillers"))
-                         .filter(F.col("conf") >= trust).select("pattern", "kind", "conf", *shape), "pii-patterns")
+                         .filter(F.col("conf") >= trust).select("pattern", "kind", "conf", "n", *shape), "pii-patterns")
         chances = (edges.filter("free and seed is null").join(patterns, "pattern").filter(alike).groupBy("instance", "kind")
                    .agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-12), 1 - F.col("conf")))))).alias("score")))
         best = chances.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("order"))).alias("won"))
         found = saved(best.select("instance", (-F.col("won.order")).alias("kind"), F.col("won.score").alias("score"))
                       .filter(F.col("score") >= trust), "pii-found")
         known = seeds.unionByName(found)
-        state = tuple(patterns.agg(F.count("*"), F.bit_xor(F.xxhash64("pattern", "kind", F.round("conf", 3)))).first())
+        state = (*patterns.agg(F.count("*"), F.bit_xor(F.xxhash64("pattern", "kind", "n", *shape, F.round("conf", 6)))).first(),
+                 *found.agg(F.count("*"), F.bit_xor(F.xxhash64("instance", "kind"))).first())
         if state in states:
             break
         states.add(state)
