@@ -98,3 +98,19 @@ def test_keep_one(odd_docs, no_docs):
     # a text that only rows without an id have stays once
     bare = odd_docs.filter("doc_id is null").withColumn("text", F.lit("only rows without an id hold this"))
     assert keep_one(odd_docs.unionByName(bare)).filter("doc_id is null").count() == ids.count(None) + 1
+
+
+@pytest.mark.parametrize("rows, want", [
+    ([(1, "A"), (1, "B"), (2, "B")], [(1, "A"), (1, "B")]),
+    ([(1, "A"), (2, "A"), (2, "B")], [(1, "A"), (2, "B")]),
+    ([(1, "A"), (2, "B"), (2, "A")], [(1, "A"), (2, "B")]),
+    ([(2, "A"), (1, "B"), (2, "B"), (None, "A"), (None, "C"), (None, "C")], [(1, "B"), (2, "A"), (None, "C")]),
+    ([(3, "A"), (3, "A"), (3, "A"), (4, "B")], [(3, "A"), (4, "B")]),
+])
+def test_keep_one_loses_no_text_of_an_id_that_repeats(spark, rows, want):
+    """Every text stays once, whatever the order of the rows, also where an id stands on several."""
+    texts = {x: " ".join(f"{x}word{i}" for i in range(40)) for x in "ABC"}
+    schema = "doc_id long, text string, lang string, root int"
+    for given in (rows, rows[::-1]):
+        kept = keep_one(spark.createDataFrame([(i, texts[x], "en", 1) for i, x in given], schema)).collect()
+        assert sorted(((r["doc_id"], r["text"][0]) for r in kept), key=repr) == sorted(want, key=repr)

@@ -14,7 +14,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txflow.llm.common import saved
@@ -47,13 +47,18 @@ def fingerprint(text: bytes, words: int) -> int:
     return int(np.packbits(2 * set_bits > n, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, fp): one row per row; ``fp`` is the fingerprint as a signed 64-bit integer."""
+def fingerprints(text: Column, words: int) -> Column:
+    """The fingerprint of a text as a signed 64-bit integer."""
     @F.pandas_udf("long")
     def hashed(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t or b"", words) for t in texts], dtype=np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_col).alias("id"), hashed(F.col(text_col).cast("binary")).alias("fp"))
+    return hashed(text.cast("binary"))
+
+
+def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """(id, fp): one row per row."""
+    return docs.select(F.col(id_col).alias("id"), fingerprints(F.col(text_col), words).alias("fp"))
 
 
 def _segments(m: int) -> list[tuple[int, int]]:
@@ -159,26 +164,30 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              max_bits: int = 4) -> DataFrame:
     """``docs`` with one row of each component: the one whose id is the component's smallest.
 
-    Rows that repeat an id count once (one of them stays). A row without an id stays only in a component
-    that has no id at all, one row of it. Columns and their order are those of ``docs``.
+    Rows without an id stay only in a component that has no id at all. What a row is a copy of is decided by its own
+    text: an id that stands on several texts may stay once in each of their components. Where several rows of a
+    component have its id, the one whose columns have the lowest hash stays. Columns and their order are those of
+    ``docs``.
+
+    A row with an id of its own is decided by the id; only rows whose id repeats or is null are told apart by their
+    fingerprints.
     """
     found = saved(near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, max_bits=max_bits),
                   "simhash-members").select(F.col(id_col).alias("__member"), "fp", "root", "component_id")
     per_id = (found.filter("__member is not null").groupBy("__member")
               .agg(F.count("*").alias("n"), F.bool_or(F.col("__member") == F.col("component_id")).alias("first")))
-    losing = per_id.filter(~F.col("first")).select("__member")
-    repeated = per_id.filter(F.col("first") & (F.col("n") > 1)).select("__member")
-    ids = docs.filter(F.col(id_col).isNotNull())
-    out = ids.join(losing, ids[id_col] == F.col("__member"), "left_anti")
-    if not repeated.isEmpty():
-        twice = out.join(repeated, out[id_col] == F.col("__member"), "left_semi").dropDuplicates([id_col])
-        out = out.join(repeated, out[id_col] == F.col("__member"), "left_anti").unionByName(twice)
-    nameless = found.filter("__member is null and component_id is null").groupBy("root").agg(F.min("fp").alias("k_fp"))
-    if nameless.isEmpty():
+    apart = per_id.filter("n > 1")
+    out = docs.filter(F.col(id_col).isNotNull()).join(
+        per_id.filter("not first or n > 1").select("__member"), F.col(id_col) == F.col("__member"), "left_anti")
+    several = docs.filter(F.col(id_col).isNull())
+    if not apart.isEmpty():
+        several = several.unionByName(docs.join(apart.select("__member"), F.col(id_col) == F.col("__member"), "left_semi"))
+    if several.isEmpty():
         return out
-    bare = docs.filter(F.col(id_col).isNull())
-    prints = with_fingerprints(bare, text_col, text_col, words)
-    one = (prints.join(nameless, prints["fp"] == nameless["k_fp"], "left_semi")
-           .groupBy("fp").agg(F.min("id").alias("id")))
-    held = bare.join(one, bare[text_col].eqNullSafe(one["id"]), "left_semi").dropDuplicates([text_col])
-    return out.unionByName(held)
+    staying = (found.filter(F.col("__member").eqNullSafe(F.col("component_id"))).select("__member", "fp", "root").distinct()
+               .select(F.col("__member").alias("__id"), F.col("fp").alias("__fp"), F.col("root").alias("__root")))
+    rows = several.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(id_col).alias("__own"),
+                          fingerprints(F.col(text_col), words).alias("__print"))
+    held = (rows.join(staying, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__fp")))
+            .groupBy("__root").agg(F.min_by("__row", F.xxhash64("__row")).alias("__row")))
+    return out.unionByName(held.select("__row.*"))
