@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txflow.llm.licenses import NOT_WORD, PHRASES, TEMPLATES, THRESHOLD
+from txflow.llm.licenses import NOT_WORD, PHRASES, known_templates
 
 _URLS = r"""
 WITH parts AS (
@@ -39,20 +39,19 @@ def _licenses() -> str:
     places = " || ".join(
         f"list_transform(list_filter(range(len(w)), lambda i: w[i + 1:i + {len(p.split(' '))}] = {listing(p.split(' '))}), "
         f"lambda i: {{'word': i, 'label': '{label}'}})" for p, label in PHRASES.items())
-    templates = []
-    for label, notices in TEMPLATES.items():
-        for notice in notices:
-            words = sorted(set(notice.split(" ")))
-            templates.append(f"('{label}', {listing(words)}, {-(-len(words) * round(THRESHOLD * 1000) // 1000)})")
+    templates = [f"('{t['label']}', '{t['family']}', {t['run']}, {listing(t['words'])}, {t['need']})" for t in known_templates()]
     split = f"list_filter(regexp_split_to_array(lower({{}}), '{NOT_WORD}'), lambda x: x <> '')"
     return f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, {split.format("coalesce(text, '')")} AS w FROM documents),
-templates(label, words, need) AS (VALUES {", ".join(templates)}),
-base AS (SELECT doc_id, text, len(w) AS n_words, {places} AS places FROM docs),
-blocks AS (SELECT doc_id, list_distinct({split.format("block")}) AS held
-           FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS block FROM docs)),
-fits AS (SELECT doc_id, list(DISTINCT label) AS found, max(len(list_intersect(held, words)) / len(words)) AS share
-         FROM blocks JOIN templates ON len(list_intersect(held, words)) >= need GROUP BY doc_id)
+templates(label, family, run, words, need) AS (VALUES {", ".join(templates)}),
+base AS (SELECT doc_id, w, len(w) AS n_words, {places} AS places FROM docs),
+likely AS (SELECT doc_id, w, templates.* FROM base JOIN templates ON len(list_intersect(list_distinct(w), words)) >= need),
+runs AS (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM likely),
+shared AS (SELECT doc_id, label, family, i, len(words) AS n, need, len(list_intersect(list_distinct(w[i:i + run - 1]), words)) AS s
+           FROM runs WHERE list_contains(words, w[i])),
+won AS (SELECT * FROM shared WHERE s >= need
+        QUALIFY row_number() OVER (PARTITION BY doc_id, family, i ORDER BY s / n DESC, n DESC, label) = 1),
+fits AS (SELECT doc_id, list(DISTINCT label) AS found, max(s / n) AS share FROM won GROUP BY doc_id)
 SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base,
        list_min(list_transform(places, lambda p: p.word))::BIGINT AS first_word,
        list_max(list_transform(places, lambda p: p.word))::BIGINT AS last_word,
