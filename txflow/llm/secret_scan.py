@@ -1,9 +1,10 @@
 """Secret scan: credential patterns, and sliding-window Shannon entropy of candidate strings.
 
-A candidate is a run of one character class (hexadecimal digits, also inside other runs, or the base-64 alphabet). A window slides
-over it; the counts of its characters and the sum of c * log2(c) are updated for the character that enters
-and the one that leaves, so a step costs the same however wide the window is. A run whose best window
-reaches the class's threshold is a secret unless the allow list knows it. DataFrame functions only.
+A candidate is a run of the base-64 alphabet, or of hexadecimal digits inside one. A window slides over it; the
+counts of its characters and the sum of c * log2(c) are updated for the character that enters and the one that leaves, so
+the entropy is never computed anew (a step still copies the counts of the alphabet, as DataFrame arrays don't change in
+place). A run whose best window reaches the threshold of its character class is a secret unless the allow list
+knows it. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -26,20 +27,25 @@ WINDOW = 20
 HEX_DIGITS = "0123456789abcdefABCDEF"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 RUN = r"[A-Za-z0-9+/=_-]{20,}"
-# class: its characters, what tells its runs, the least entropy of a window in bits per character
-CLASSES = {"hex": (HEX_DIGITS, r"^[0-9a-fA-F]+$", 3.0), "base64": (BASE64, r"[^0-9a-fA-F]", 3.9)}
 HEX_RUN = r"[0-9a-fA-F]{20,}"
-# pairs of letters that words of the corpus's languages hardly hold; three close together are no words
+# pairs of letters that words of the corpus's languages hardly hold; three close together (odd) are no words
 ODD_PAIR = (
     r"(?i:a[aoq]|b[cdfghkmnpqvwxz]|c[bdfgjmnpqvwxz]|d[bcfkpqtxz]|f[bcdghjkmnpqvwxz]|g[bcdfjkpqvwxz]|h[bcdfghjkpqsvxz]"
     r"|i[ijqwy]|j[b-df-hj-np-tv-z]|k[bcdfghjmpqvxz]|l[hjnqrwxz]|m[cdfghjkqrtvwxz]|n[qrwx]|o[hjqz]|p[bcdgjkmqvwxz]"
     r"|q[a-tv-z]|r[jqwxz]|s[bdgjrvxz]|t[bdfgjkpqvx]|u[jquvwy]|v[b-df-hj-np-qs-tv-xz]|w[bcfgjkmpqtu-z]"
     r"|x[bdfgj-mnoq-suv-wyz]|y[bfghjkqv-z]|z[bcdfghjkmnp-svx])")
-WORDS = rf"(?!.*{ODD_PAIR}.{{0,6}}{ODD_PAIR}.{{0,6}}{ODD_PAIR})"
-# known to be no secret: placeholders, alphabets, words or numbers joined by marks, numbered words joined by marks.
+ODD = rf"{ODD_PAIR}.{{0,6}}{ODD_PAIR}.{{0,6}}{ODD_PAIR}"
+WORDS = rf"(?!.*{ODD})"
+# what tells a run's class, and the least entropy of a window in bits per character: 1 random key in 100 of 20
+# characters of the class is under it. Beside hexadecimal digits only runs with such a pair
+# (mixed: odd runs) are held to it, others to ANY_CLASS
+CLASSES = {"hex": (r"^[0-9a-fA-F]+$", 2.87), "one case": (r"^(?:[A-Z0-9]+|[a-z0-9]+)$", 3.4), "mixed": (r"", 3.64)}
+ANY_CLASS = 3.9
+# placeholders: no secret where they are half of a run or more
+PLACEHOLDER = r"(?i:example|sample|placeholder|changeme|dummy|redacted|x{6,}+|0{8,}+|12345678(?:90?)?|abcdefgh)"
+# known to be no secret: words or numbers joined by marks, numbered words joined by marks.
 # Possessive, so that a run of any length is read once
 ALLOWED = (
-    r"(?i)example|sample|placeholder|changeme|dummy|redacted|x{6}|0{8}|12345678|abcdefgh",
     rf"^{WORDS}[A-Za-z/+=_-]*+$",
     r"^[0-9/+=_-]*+$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
@@ -113,18 +119,9 @@ def _spans(text: Column, pattern: str, kind: str, fits: Callable[[Column], Colum
     return F.when(text.rlike(pattern), found).otherwise(_empty())
 
 
-def _untouched(spans: Column) -> Callable[[Column], Column]:
-    """Does a place touch none of ``spans`` (a variable: blocks with their first start and last end)?"""
-    def free(place: Column) -> Column:
-        end = place["start"] + F.length(place["match"])
-        return ~F.exists(spans, lambda b: (b["first"] < end) & (place["start"] < b["beyond"]) & F.exists(
-            b["spans"], lambda s: (s["start"] < end) & (place["start"] < s["end"])))
-
-    return free
-
-
 def _outside(place: Column, spans: Column) -> Column:
-    """(start, end) of the parts of a place that lie outside ``spans`` (blocks as in ``_untouched``), in order."""
+    """(start, end) of the parts of a place that lie outside ``spans`` (blocks with their first start and last end), in
+    order."""
     beyond = place["start"] + F.length(place["match"])
     touched = F.flatten(F.transform(
         F.filter(spans, lambda b: (b["first"] < beyond) & (place["start"] < b["beyond"])),
@@ -212,7 +209,8 @@ def window_entropy(run: Column, alphabet: str, window: int = WINDOW) -> Column:
 
 
 def _allowed(run: Column) -> Column:
-    out = F.lit(False)
+    rest = F.regexp_replace(run, PLACEHOLDER, "")
+    out = (F.length(run) > 0) & (2 * F.length(rest) <= F.length(run))
     for pattern in ALLOWED:
         out = out | run.rlike(pattern)
     return out
@@ -222,20 +220,22 @@ def _rich(run: Column) -> Column:
     """Has the run a window that reaches its class's threshold? Long runs are cut so that every window is in one part."""
     firsts = F.sequence(F.lit(1), F.length(run) - (WINDOW - 1), F.lit(WINDOWS_AT_ONCE))
 
-    def reaches(alphabet: str, least: float) -> Column:
+    def reaches(alphabet: str, least: Column) -> Column:
         return F.exists(firsts, lambda at: window_entropy(
             F.substring(run, at, F.lit(WINDOWS_AT_ONCE + WINDOW - 1)), alphabet) >= least)
 
-    (hex_digits, only_hex, hex_least), (base64, _, least) = CLASSES["hex"], CLASSES["base64"]
-    return F.when(run.rlike(only_hex), reaches(hex_digits, hex_least)).otherwise(reaches(base64, least))
+    (only_hex, hex_least), (one_case, one_least), (_, least) = CLASSES.values()
+    by_class = F.when(run.rlike(one_case), F.when(run.rlike(ODD_PAIR), one_least)).when(run.rlike(ODD), least)
+    by_class = F.coalesce(by_class, F.lit(ANY_CLASS))
+    return F.when(run.rlike(only_hex), reaches(HEX_DIGITS, F.lit(hex_least))).otherwise(reaches(BASE64, by_class))
 
 
-def with_spans(docs: DataFrame, text_col: str, base_col: str, spans_col: str, whole: bool) -> DataFrame:
+def with_spans(docs: DataFrame, text_col: str, base_col: str, spans_col: str) -> DataFrame:
     """``docs`` with the base spans and all spans, arrays of (start, kind, end) in order of start and kind.
 
-    If ``whole``, the parts of a candidate run outside base spans are judged, and the hexadecimal runs in them.
-    Else a run has one class and is left out if it touches a base span. A null text is empty. Work grows evenly with the length of a text and of its runs, but for
-    one look at each block of AT_ONCE base spans per candidate.
+    Of a candidate run the parts outside base spans are judged, and the hexadecimal runs in them. A null text is
+    empty. Work grows evenly with the length of a text and of its runs, but for one look at each block of AT_ONCE base
+    spans per candidate.
     """
     text = text_of(F.col(text_col))
     base = F.array_sort(F.concat(
@@ -247,40 +247,32 @@ def with_spans(docs: DataFrame, text_col: str, base_col: str, spans_col: str, wh
         b[0]["start"].alias("first"), F.array_max(F.transform(b, lambda s: s["end"])).alias("beyond"), b.alias("spans")))
 
     def fresh(blocks: Column) -> Column:
-        free = _untouched(blocks)
-        if not whole:
-            return _spans(text, RUN, "entropy", lambda p: free(p) & ~_allowed(p["match"]) & _rich(p["match"]))
-
         return F.flatten(F.transform(_placed(text, RUN), lambda p: _run_spans(p, blocks)))
 
     return out.withColumn(spans_col, F.when(
         text.rlike(RUN), F.array_sort(F.concat(F.col(base_col), _let(known, fresh)))).otherwise(F.col(base_col)))
 
 
-def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, base and spans, arrays of (start, kind, end) in code points, end exclusive.
 
-    ``whole``: what a candidate run holds beside base spans and its hexadecimal runs are judged too; the query and the
-    pipeline ask for it.
-
     Null texts are empty and have no spans. Null and repeated ids stay rows of their own, an empty table gives no
     rows, other columns are not read. Nothing is shuffled.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return with_spans(rows, "text", "base", "spans", whole).select(F.col("id").alias(id_col), "base", "spans")
+    return with_spans(rows, "text", "base", "spans").select(F.col("id").alias(id_col), "base", "spans")
 
 
-def redact(docs: DataFrame, *, text_col: str = "text", length_col: str | None = "n_chars", mark: str = "[SECRET]",
-           whole: bool = False) -> DataFrame:
+def redact(docs: DataFrame, *, text_col: str = "text", length_col: str | None = "n_chars", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in the text replaced by ``mark``; overlapping spans become one mark.
 
-    ``whole`` as in ``find_secrets``. No row goes. ``length_col``, if there is one, is set anew where the text changed. Columns as they were.
+    No row goes. ``length_col``, if there is one, is set anew where the text changed. Columns as they were.
     """
     names = {c.lower() for c in docs.columns}
     base, spans = "secret_base", "secret_spans"
     while base in names or spans in names:
         base, spans = base + "_", spans + "_"
-    found = with_spans(docs, text_col, base, spans, whole)
+    found = with_spans(docs, text_col, base, spans)
     text = F.col(text_col)
 
     def masked(block: Column, first: Column) -> Column:
