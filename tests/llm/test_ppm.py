@@ -80,8 +80,10 @@ def test_odd_documents(odd_docs, no_docs):
     assert score_documents(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("order", [0, 1, 2, 5])
-def test_orders_over_small_blocks(spark, monkeypatch, order):
+@pytest.mark.parametrize("order, common", [(0, 1 << 18), (1, 40), (2, 0), (5, 400)])
+def test_orders_over_small_blocks(spark, monkeypatch, order, common):
+    """Many blocks; windows and words reach them by the join, by the table for all, or some by each."""
+    monkeypatch.setattr(ppm, "COMMON", common)
     monkeypatch.setattr(ppm, "BLOCK_BYTES", 300)
     monkeypatch.setattr(ppm, "WINDOWS_AT_ONCE", 64)
     rows = [(i, " ".join(f"w{(i * j) % 11} the{'É' * (j % 3)}" for j in range(i % 9))) for i in range(60)]

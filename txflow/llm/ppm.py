@@ -1,14 +1,17 @@
 """Language-model scores by prediction by partial matching over byte contexts.
 
-A text is its bytes and an end. The trie of contexts is kept as tables: the node of a context of j symbols is
-the long of its symbols, 9 bits each, its arcs are the symbols seen after it with their counts. A symbol is
+A text is its bytes and an end. The trie of contexts is kept as sorted arrays: the node of a context of j symbols
+is the integer of its symbols, 9 bits each, its arcs are the symbols seen after it with their counts. A symbol is
 coded at the longest context that has seen it; every longer one that was seen pays an escape (as many parts as
 it has distinct symbols, method C), and the symbols of the longer context are excluded from the shorter one.
-As contexts nest, what is excluded at a context is one sum for each longer context, found once by a join.
+As contexts nest, what is excluded at a context is one sum for each longer context. The trie is dealt by the two
+symbols before the coded one: all longer contexts are then together, and of the shorter ones there are at most
+257 x 258 arcs, which every task has.
 
 The corpus is gathered in blocks of documents: a block gives its distinct windows and words with their counts,
 the tables are summed over all blocks, every distinct window is scored once, and a block gets the scores of
-its own windows back. So no table of the model has to fit a task or the driver.
+its own windows back. So no table of the model has to fit a task or the driver. The windows and words that most
+blocks have, at most COMMON of each, go to all tasks instead, so that they are not joined once for each block.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +31,11 @@ from txflow.llm.common import saved
 
 BITS = 9                  # of a symbol: 0 before the text, byte + 1, END after it
 END = 257
+CODEC = "zstd"
 ALPHABET = 257            # 256 bytes and the end
-BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 1 << 15
+BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 1 << 15
 WINDOWS_AT_ONCE = 1 << 20
+COMMON = 1 << 20          # windows, and a sixteenth as many words, that are sent to all tasks (16 MB)
 
 
 def held_out(id_col: Column) -> Column:
@@ -39,24 +45,25 @@ def held_out(id_col: Column) -> Column:
 
 def symbols(data: bytes, ends: np.ndarray, order: int) -> np.ndarray:
     """The symbols of all texts of a block, each with ``order`` zeros before it and END after it."""
-    sizes = np.diff(ends, prepend=0)
-    n = len(ends)
-    out = np.zeros(len(data) + n * (order + 1), dtype=np.uint16)
-    ahead = np.arange(n) * (order + 1) + order
-    out[np.arange(len(data)) + np.repeat(ahead, sizes)] = np.frombuffer(data, np.uint8).astype(np.uint16) + 1
-    out[ends + ahead] = END
+    out = np.zeros(len(data) + len(ends) * (order + 1), dtype=np.uint16)
+    given, begin, at = np.frombuffer(data, np.uint8), 0, order
+    for end in ends.tolist():
+        np.add(given[begin:end], 1, out=out[at:at + end - begin], dtype=np.uint16)
+        out[at + end - begin] = END
+        begin, at = end, at + end - begin + 1 + order
     return out
 
 
 def windows(coded: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(places, windows) of every symbol that is coded, some at a time: the symbol and ``order`` before it."""
-    for begin in range(0, len(coded), WINDOWS_AT_ONCE):
+    for begin in range(order, len(coded), WINDOWS_AT_ONCE):
         end = min(len(coded), begin + WINDOWS_AT_ONCE)
-        at = begin + np.flatnonzero(coded[begin:end])
-        out = np.zeros(len(at), dtype=np.int64)
-        for j in range(order + 1):
-            out |= coded[at - j].astype(np.int64) << (BITS * j)
-        yield at, out
+        near = coded[begin - order:end].astype(np.int64)     # the first ``order`` symbols are zeros
+        out = near[order:].copy()
+        for j in range(1, order + 1):
+            out |= near[order - j:len(near) - j] << (BITS * j)
+        at = np.flatnonzero(near[order:])
+        yield begin + at, out[at]
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,8 +79,9 @@ def block_windows(data: bytes, ends: np.ndarray, held: np.ndarray, order: int) -
     after = ends + np.arange(1, len(ends) + 1) * (order + 1)
     parts = []
     for at, found in windows(coded, order):
-        kept_out = held[np.searchsorted(after, at, side="right")]
-        keys, n = np.unique(found << 1 | kept_out, return_counts=True)
+        first = np.searchsorted(at, after)           # of the text behind each one's end
+        kept_out = np.repeat(held, np.diff(first, prepend=0))
+        keys, n = np.unique(found << 1 | kept_out, return_counts=True)     # a sort of plain integers
         parts.append((keys >> 1, n * (1 - (keys & 1))))
     if not parts:
         return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -100,7 +108,7 @@ def _texts(data: bytes, ends: np.ndarray) -> Iterator[bytes]:
 
 
 def _blocks(docs: DataFrame, id_col: str, text_col: str, order: int) -> DataFrame:
-    """block, ids, held, ends, data (lowered texts on end) and the block's windows and words with their counts in
+    """block, ids, held, ends, data (lowered texts on end, compressed) and the block's windows and words with their counts in
     texts that are not held out."""
     kind = docs.schema[id_col].dataType
     longs = T.ArrayType(T.LongType())
@@ -122,7 +130,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, order: int) -> DataFram
             lists = pa.list_(pa.int64())
             return pa.RecordBatch.from_arrays(
                 [pa.array([ids], pa.list_(id_type)), pa.array([held], pa.list_(pa.bool_())), pa.array([ends], lists),
-                 pa.array([data], pa.binary()), pa.array([found], lists), pa.array([counts], lists),
+                 pa.array([pa.compress(data, codec=CODEC, asbytes=True)], pa.binary()), pa.array([found], lists), pa.array([counts], lists),
                  pa.array([list(words)], pa.list_(pa.binary())), pa.array([list(words.values())], lists)],
                 names=schema.fieldNames())
 
@@ -148,110 +156,174 @@ def _mask(symbols_kept: int) -> int:
     return (1 << BITS * symbols_kept) - 1
 
 
-def _small(df: DataFrame, order: int) -> DataFrame:
-    """Tables of contexts of at most one symbol have at most 258 x 257 rows."""
-    return F.broadcast(df) if order <= 1 else df
-
-
-def _trie(grams: DataFrame, order: int) -> tuple[list[DataFrame], list[DataFrame]]:
-    """For contexts of 0 to ``order`` symbols: arcs (gram, c) and nodes (ctx, total, distinct, low_total,
-    low_distinct); the last two are those of the context one shorter without the symbols seen after this one."""
-    arcs: list[DataFrame] = [grams.filter("n > 0").select(F.col("w").alias("gram"), F.col("n").alias("c"))]
-    for j in reversed(range(order)):
-        shorter = F.col("gram").bitwiseAND(F.lit(_mask(j + 1)))
-        arcs.insert(0, saved(arcs[0].groupBy(shorter.alias("gram")).agg(F.sum("c").alias("c")), "ppm-arcs"))
-    nodes: list[DataFrame] = []
-    for j, level in enumerate(arcs):
-        ctx = F.shiftright("gram", BITS).alias("ctx")
-        if j == 0:
-            node = level.groupBy(ctx).agg(F.sum("c").alias("total"), F.count("*").alias("distinct")).withColumns(
-                {"low_total": F.lit(0).cast("long"), "low_distinct": F.lit(0).cast("long")})
-        else:
-            below = _small(arcs[j - 1].select(F.col("gram").alias("b_gram"), F.col("c").alias("b_c")), j - 1)
-            met = level.join(below, F.col("gram").bitwiseAND(F.lit(_mask(j))) == F.col("b_gram"))
-            own = met.groupBy(ctx).agg(F.sum("c").alias("total"), F.count("*").alias("distinct"), F.sum("b_c").alias("gone"))
-            low = _small(nodes[j - 1].select(F.col("ctx").alias("l_ctx"), F.col("total").alias("l_total"),
-                                             F.col("distinct").alias("l_distinct")), j - 1)
-            node = own.join(low, F.col("ctx").bitwiseAND(F.lit(_mask(j - 1))) == F.col("l_ctx")).select(
-                "ctx", "total", "distinct", (F.col("l_total") - F.col("gone")).alias("low_total"),
-                (F.col("l_distinct") - F.col("distinct")).alias("low_distinct"))
-        nodes.append(saved(node, "ppm-nodes"))
-    return arcs, nodes
+class Level:
+    """The arcs of all contexts of one length, gram (context and symbol) and count, and the nodes they start from: ctx,
+    total and distinct; and those of the context one shorter without the symbols seen after this one."""
+
+    def __init__(self, gram: np.ndarray, count: np.ndarray, symbols_kept: int, shorter: Level | None):
+        self.gram, self.count = gram, count
+        self.ctx, of = np.unique(gram >> BITS, return_inverse=True)
+        self.total = np.bincount(of, weights=count, minlength=len(self.ctx)).astype(np.int64)
+        self.distinct = np.bincount(of, minlength=len(self.ctx))
+        self.low_total, self.low_distinct = np.zeros(len(self.ctx)), np.zeros(len(self.ctx))
+        if shorter is not None:
+            same = shorter.count[np.searchsorted(shorter.gram, gram & _mask(symbols_kept))]
+            below = np.searchsorted(shorter.ctx, self.ctx & _mask(symbols_kept - 1))
+            self.low_total = shorter.total[below] - np.bincount(of, weights=same, minlength=len(self.ctx))
+            self.low_distinct = shorter.distinct[below] - self.distinct
+
+
+def _at(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each wanted key, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def low_levels(gram: np.ndarray, count: np.ndarray, order: int) -> list[Level]:
+    """The levels of contexts of no symbol and, from order 1 on, of one, from the arcs of the longer of them."""
+    by_gram = np.argsort(gram)
+    gram, count = gram[by_gram], count[by_gram]
+    zero = Level(*_summed(gram & _mask(1), count), 0, None)
+    return [zero, Level(gram, count, 1, zero)] if order else [zero]
+
+
+def score_windows(w: np.ndarray, n: np.ndarray, low: list[Level], order: int) -> np.ndarray:
+    """log10 probability of the last symbol of each window (sorted, distinct) after those before it. The windows share
+    their last two context symbols with all windows of the corpus that have them; n are their counts."""
+    levels = list(low)
+    for j in range(len(low), order + 1):
+        gram, count = _summed(w[n > 0] & _mask(j + 1), n[n > 0])
+        levels.append(Level(gram, count, j, levels[-1]))
+    logp = np.zeros(len(w))
+    open_, left_total, left_distinct = np.arange(len(w)), np.full(len(w), np.nan), np.full(len(w), np.nan)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for j in range(order, -1, -1):
+            level, gram = levels[j], w[open_] & _mask(j + 1)
+            arc, coded = _at(level.gram, gram)
+            node, seen = _at(level.ctx, gram >> BITS)
+            fresh = np.isnan(left_total)
+            if len(level.ctx):
+                total = np.where(fresh, np.where(seen, level.total[node], 0), left_total)
+                distinct = np.where(fresh, np.where(seen, level.distinct[node], 0), left_distinct)
+                parts = total + distinct
+                logp[open_] += np.where(coded, np.log10(level.count[arc] / parts), np.where(parts > 0, np.log10(distinct / parts), 0.0))
+                left_total = np.where(seen, level.low_total[node], np.nan)
+                left_distinct = np.where(seen, level.low_distinct[node], np.nan)
+            stays = ~coded
+            open_, left_total, left_distinct = open_[stays], left_total[stays], left_distinct[stays]
+    # a symbol that the corpus never has: one of those left of the alphabet, evenly
+    logp[open_] -= math.log10(max(1, ALPHABET - len(levels[0].gram)))
+    return logp
 
 
 def window_scores(grams: DataFrame, order: int) -> DataFrame:
     """(w, logp): log10 probability of the last symbol of every window of ``grams`` (w, n) after those before it, by
     the trie of the counts n."""
-    arcs, nodes = _trie(grams, order)
-    node = nodes[order].withColumnRenamed("ctx", "n_ctx")
-    met = grams.join(node, F.shiftright("w", BITS) == F.col("n_ctx"), "left")
-    parts = F.col("total") + F.col("distinct")
-    seen = met.filter("n > 0").select("w", F.log10(F.col("n") / parts).alias("logp"))
-    # a context that was seen pays its escape and hands on what is left of the shorter one
-    left = met.filter("n = 0").select(
-        "w", F.coalesce(F.log10(F.col("distinct") / parts), F.lit(0.0)).alias("logp"), F.lit(False).alias("done"),
-        F.col("low_total").alias("x_total"), F.col("low_distinct").alias("x_distinct"))
-    left = saved(left, "ppm-unseen")
-    for j in reversed(range(order)):
-        arc = _small(arcs[j].withColumnRenamed("gram", "a_gram"), j)
-        node = _small(nodes[j].withColumnRenamed("ctx", "n_ctx"), j)
-        met = (left.join(arc, F.col("w").bitwiseAND(F.lit(_mask(j + 1))) == F.col("a_gram"), "left")
-               .join(node, F.shiftright("w", BITS).bitwiseAND(F.lit(_mask(j))) == F.col("n_ctx"), "left"))
-        total, distinct = F.coalesce("x_total", "total"), F.coalesce("x_distinct", "distinct")
-        all_parts = total + distinct
-        coded = F.log10(F.col("c") / all_parts)
-        escape = F.when(all_parts > 0, F.log10(distinct / all_parts)).otherwise(0.0)
-        met = met.select(
-            "w", F.when(F.col("done"), F.col("logp")).otherwise(F.col("logp") + F.when(F.col("c").isNotNull(), coded)
-                                                               .otherwise(F.coalesce(escape, F.lit(0.0)))).alias("logp"),
-            (F.col("done") | F.col("c").isNotNull()).alias("done"),
-            F.col("low_total").alias("x_total"), F.col("low_distinct").alias("x_distinct"),
-            *([F.coalesce("distinct", F.lit(0)).alias("known")] if j == 0 else []))
-        left = met
-    # a symbol that the corpus never has: one of those left of the alphabet, evenly
-    if order == 0:
-        known = nodes[0].agg(F.coalesce(F.max("distinct"), F.lit(0)).alias("known"))
-        left = left.join(F.broadcast(known), F.lit(True), "left")   # one row
-    rest = F.greatest(F.lit(1), F.lit(ALPHABET) - F.col("known"))
-    unseen = left.select("w", F.when(F.col("done"), F.col("logp")).otherwise(F.col("logp") - F.log10(rest)).alias("logp"))
-    return seen.unionByName(unseen)
+    arcs = (grams.filter("n > 0").groupBy(F.col("w").bitwiseAND(F.lit(_mask(min(2, order + 1)))).alias("gram")).agg(F.sum("n").alias("c"))
+            .toArrow())      # at most 257 x 258 rows
+    gram, count = arcs["gram"].to_numpy(), arcs["c"].to_numpy()
+    shared = grams.sparkSession.sparkContext.broadcast((gram, count))
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = low_levels(*shared.value, min(order, 1))
+        current, parts = None, []
+
+        def group() -> pa.RecordBatch:
+            w, n = (np.concatenate(x) for x in zip(*parts))
+            by_key = np.argsort(w)
+            w, n = w[by_key], n[by_key]
+            return pa.RecordBatch.from_arrays([pa.array(w), pa.array(score_windows(w, n, low, order))], names=["w", "logp"])
+
+        for batch in batches:
+            key, w, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            edges = np.append(np.flatnonzero(np.diff(key, prepend=-1)), len(key))
+            for begin, end in zip(edges, edges[1:]):
+                if key[begin] != current:
+                    if parts:
+                        yield group()
+                    current, parts = key[begin], []
+                parts.append((w[begin:end], n[begin:end]))
+        if parts:
+            yield group()
+
+    key = F.shiftright("w", BITS).bitwiseAND(F.lit(_mask(min(2, order))))
+    return (grams.select(key.alias("key"), "w", "n").repartition("key").sortWithinPartitions("key")
+            .mapInArrow(scored, "w long, logp double"))
+
+
+def _common(table: DataFrame, most: int) -> DataFrame:
+    """The rows of ``table`` that stand in the most blocks (column blocks), at most ``most`` of them."""
+    level = F.floor(8 * F.log2("blocks"))
+    least, held = 1 << 30, 0
+    for r in table.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():   # some hundred
+        held += r["n"]
+        if held > most:
+            break
+        least = r["level"]
+    return table.filter(level >= least)
+
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of sorted keys, NaN for those that are missing. They are looked up in order, which is kind to caches."""
+    out = np.full(len(wanted), np.nan)
+    order = np.argsort(wanted)
+    at, there = _at(keys, wanted[order])
+    out[order[there]] = values[at[there]]
+    return out
+
 
+def _scored(answered: DataFrame, schema: T.StructType, order: int, tokens: int, distinct: int, docs: int,
+            common: DataFrame, common_words: DataFrame) -> DataFrame:
+    context = answered.sparkSession.sparkContext
+    sent, words_sent = common.toArrow(), common_words.toArrow()     # at most COMMON rows each
+    every = sent["w"].to_numpy(), sent["logp"].to_numpy()
+    by_key = np.argsort(every[0])
+    shared = context.broadcast((every[0][by_key], every[1][by_key]))
+    shared_words = context.broadcast({w: math.log10(c + 1) for w, c in zip(words_sent["word"].to_pylist(), words_sent["n"].to_pylist())})
 
-def _scored(answered: DataFrame, schema: T.StructType, order: int, tokens: int, distinct: int, docs: int) -> DataFrame:
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = math.log10(tokens + distinct + 1)
         for batch in batches:
             for ids, held, ends, data, found, counts in zip(*[batch.column(i) for i in range(6)]):
                 ends = ends.values.to_numpy(zero_copy_only=False)
-                data = data.as_py()
-                keys = found.values.field("w").to_numpy(zero_copy_only=False)
-                order_of = np.argsort(keys)
-                keys, logp = keys[order_of], found.values.field("logp").to_numpy(zero_copy_only=False)[order_of]
+                data = pa.decompress(data.as_py(), int(ends[-1]), codec=CODEC, asbytes=True)
+                keys, logp = np.empty(0, np.int64), np.empty(0)
+                if found.values is not None:
+                    keys, logp = (found.values.field(c).to_numpy(zero_copy_only=False) for c in ("w", "logp"))
+                    by_key = np.argsort(keys)
+                    keys, logp = keys[by_key], logp[by_key]
                 coded = symbols(data, ends, order)
                 after = ends + np.arange(1, len(ends) + 1) * (order + 1)
                 score = np.zeros(len(ends))
                 for at, w in windows(coded, order):
-                    doc = np.searchsorted(after, at, side="right")
-                    score += np.bincount(doc, weights=logp[np.searchsorted(keys, w)], minlength=len(ends))
-                known = {} if counts.values is None else dict(zip(
-                    counts.values.field("word").to_pylist(), counts.values.field("n").to_pylist()))
-                logs = {w: math.log10(c + 1) for w, c in known.items()}
+                    of, w = pd.factorize(w)
+                    each = _found(*shared.value, w)
+                    rest = np.flatnonzero(np.isnan(each))
+                    each[rest] = _found(keys, logp, w[rest])
+                    first = np.searchsorted(at, after)
+                    doc = np.repeat(np.arange(len(ends)), np.diff(first, prepend=0))
+                    score += np.bincount(doc, weights=each[of], minlength=len(ends))
+                logs = shared_words.value
+                if counts.values is not None:
+                    own = zip(counts.values.field("word").to_pylist(), counts.values.field("n").to_pylist())
+                    logs = {**logs, **{w: math.log10(c + 1) for w, c in own}}
                 n_tokens, n_known, base = [], [], []
                 for text in _texts(data, ends):
                     n, n_k, logs_sum = 1, int(docs > 0), math.log10(docs + 1)
                     for piece in pieces(text):
                         words = piece.split()
                         n += len(words)
-                        hit = [logs[w] for w in words if w in logs]
+                        hit = [x for x in map(logs.get, words) if x is not None]
                         n_k += len(hit)
                         logs_sum += math.fsum(hit)
                     n_tokens.append(n)
                     n_known.append(n_k)
                     base.append(logs_sum - n * unit)
-                size = len(ends)
                 yield pa.RecordBatch.from_arrays(
                     [ids.values, held.values, pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                     pa.array(np.full(size, tokens), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())],
+                     pa.array(np.full(len(ends), tokens), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())],
                     names=schema.fieldNames())
 
     return answered.select("ids", "held", "ends", "data", "found", "counts").mapInArrow(told, schema)
@@ -266,29 +338,35 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     null id learns. Null and repeated ids stay rows of their own; an empty table gives no rows; where every row is
     held out nothing was learned, symbols are equally likely and the base has no token. Other columns are not read.
 
-    Blocks hold BLOCK_BYTES of text or one longer document. A frequent window is one row for each block that has it;
-    the join that answers them is split by adaptive execution where a window stands in very many blocks.
+    Blocks hold BLOCK_BYTES of text or one longer document.
     """
     if not 0 <= order <= 5:
         raise ValueError(f"order {order} is not within 0 to 5")
-    blocks = saved(_blocks(docs, id_col, text_col, order), "ppm-blocks")
+    blocks = saved(_blocks(docs, id_col, text_col, order), "ppm-blocks", "zstd")
     asked = blocks.select("block", F.explode(F.arrays_zip("windows", "counts")).alias("x")).select("block", "x.windows", "x.counts")
-    grams = saved(asked.groupBy(F.col("windows").alias("w")).agg(F.sum("counts").alias("n")), "ppm-windows")
-    logp = saved(window_scores(grams, order), "ppm-scores")
-    found = (asked.join(logp, F.col("windows") == F.col("w")).groupBy("block")
+    grams = saved(asked.groupBy(F.col("windows").alias("w")).agg(F.sum("counts").alias("n"), F.count("*").alias("blocks")), "ppm-windows")
+    logp = saved(window_scores(grams.select("w", "n"), order), "ppm-scores")
+    common = saved(_common(grams, COMMON).select("w"), "ppm-common")
+    found = (asked.join(F.broadcast(common), F.col("windows") == F.col("w"), "left_anti").select("block", "windows")
+             .join(logp, F.col("windows") == F.col("w")).groupBy("block")
              .agg(F.collect_list(F.struct("w", "logp")).alias("found")).withColumnRenamed("block", "f_block"))
 
     named = blocks.select("block", F.explode(F.arrays_zip("words", "word_counts")).alias("x")).select("block", "x.words", "x.word_counts")
-    words = saved(named.groupBy(F.col("words").alias("word")).agg(F.sum("word_counts").alias("n")).filter("n > 0"), "ppm-words")
+    words = saved(named.groupBy(F.col("words").alias("word")).agg(F.sum("word_counts").alias("n"), F.count("*").alias("blocks"))
+                  .filter("n > 0"), "ppm-words")
     texts = blocks.agg(F.sum(F.size(F.filter("held", lambda x: ~x)))).first()[0] or 0
     n, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    counts = (named.join(words, F.col("words") == F.col("word")).groupBy("block")
+    # long words count as rare ones, so that the common ones have a bound in bytes
+    common_words = saved(_common(words.filter(F.length("word") <= 64), COMMON // 16).select("word", "n"), "ppm-common-words")
+    counts = (named.join(F.broadcast(common_words.select("word")), F.col("words") == F.col("word"), "left_anti").select("block", "words")
+              .join(words, F.col("words") == F.col("word")).groupBy("block")
               .agg(F.collect_list(F.struct("word", "n")).alias("counts")).withColumnRenamed("block", "c_block"))
 
     schema = T.StructType([
         T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()),
         *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")],
         T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    answered = (blocks.select("block", "ids", "held", "ends", "data").join(found, F.col("block") == F.col("f_block"))
+    answered = (blocks.select("block", "ids", "held", "ends", "data").join(found, F.col("block") == F.col("f_block"), "left")
                 .join(counts, F.col("block") == F.col("c_block"), "left"))
-    return _scored(answered, schema, order, int(n + texts), int(distinct + (texts > 0)), int(texts))
+    return _scored(answered, schema, order, int(n + texts), int(distinct + (texts > 0)), int(texts),
+                   logp.join(F.broadcast(common), "w", "left_semi"), common_words)
