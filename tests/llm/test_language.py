@@ -63,3 +63,36 @@ def test_the_sample_is_bounded_when_ids_repeat(spark):
     count = {x: sum(r["lang"] == x for r in got) for x in ("en", "fr", "de")}
     assert len(got) <= 70 and count == {"en": 1, "fr": 1, "de": 40}
     assert sorted(tuple(r)[:2] for r in got) == sorted(tuple(r)[:2] for r in language._sample(docs.repartition(3), 40, 70).collect())
+
+
+def test_the_regression_matches_a_plain_version():
+    """FTRL-proximal, a weight at a time in Python, on random sparse rows."""
+    import math
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    alpha, beta, l1, l2, classes, size = 0.5, 1.0, 0.01, 0.01, 3, 12
+    learner = language.Ftrl(size, classes, alpha, beta, l1, l2)
+    z, n = [[0.0] * classes for _ in range(size)], [[0.0] * classes for _ in range(size)]
+
+    def weight(i, c):
+        if abs(z[i][c]) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[i][c]) - z[i][c]) / ((beta + math.sqrt(n[i][c])) / alpha + l2)
+
+    for _ in range(60):
+        at = rng.choice(size, rng.integers(1, 6), replace=False)
+        x, target = rng.uniform(0.1, 2, len(at)), int(rng.integers(classes))
+        learner.learn(at, x, target)
+        w = [[weight(i, c) for c in range(classes)] for i in at]
+        logits = [sum(v * row[c] for v, row in zip(x, w)) for c in range(classes)]
+        total = sum(math.exp(v - max(logits)) for v in logits)
+        p = [math.exp(v - max(logits)) / total for v in logits]
+        for i, v, row in zip(at, x, w):
+            for c in range(classes):
+                g = v * (p[c] - (c == target))
+                z[i][c] += g - (math.sqrt(n[i][c] + g * g) - math.sqrt(n[i][c])) / alpha * row[c]
+                n[i][c] += g * g
+    assert np.allclose(learner.weights(), [[weight(i, c) for c in range(classes)] for i in range(size)], atol=1e-12)
+    assert np.abs(learner.weights()).max() > 0.01

@@ -55,3 +55,14 @@ def test_lengths():
     assert piece_lengths(2 * 1024 + 7, 1024) == [1024, 1024, 4, 2, 1] and piece_lengths(1, 1024) == [1]
     with pytest.raises(ValueError):
         pack_documents(None, PATH, max_len=1000)
+
+
+def test_both_encoders_give_the_library_s_ids_around_their_border():
+    """Runs without a break just under, at and over LONG_RUN take one encoder or the other: the ids are the same."""
+    from txflow.llm import packing
+
+    encode = packing._encoder(PATH)
+    runs = [unit * (n // len(unit)) + unit[:n % len(unit)] for n in (packing.LONG_RUN - 1, packing.LONG_RUN, packing.LONG_RUN + 1)
+            for unit in ("a", "aB3", " ", "\n\t", "é", "漢字", "1", "-=", "<|endoftext|>")]
+    for text in [*runs, *("before " + r + " after" for r in runs[:9])]:
+        assert encode(text).tolist() == ids_of([text])[0][:-1].tolist()

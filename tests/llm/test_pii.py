@@ -118,3 +118,67 @@ def test_rounds_go_on_however_many_seeds_there_are(spark, seeds):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in find_personal_data(docs).filter(f"doc_id >= {seeds}").collect()}
     assert found == {seeds + i: [(12, 1, 12 + len(x))] for i, x in enumerate(chain)}
+
+
+def plain_scores(edges, support=3, trust=0.7):
+    """The graph scoring in plain Python: trusted (pattern, kind), found {instance: kind}."""
+    seed, free, of = {}, {}, {}
+    for pattern, instance, kind, is_free in edges:
+        key = (pattern, instance)
+        of.setdefault(pattern, set()).add(instance)
+        seed[key] = kind if seed.get(key) is None else seed[key] if kind is None else max(seed[key], kind)
+        free[key] = free.get(key, True) and is_free
+    looks = {i: (len(i), sum(c in "0123456789" for c in i), any(c.isalpha() for c in i), "@" in i) for _, i in seed}
+    seeds = {(i, k, 1.0) for (_, i), k in seed.items() if k is not None}
+    known, states = set(seeds), []
+    while True:
+        trusted = {}
+        for pattern, instances in of.items():
+            for kind in range(4):
+                held = [(i, s) for i, k, s in known if k == kind and i in instances]
+                if len(held) < support:
+                    continue
+                conf = sum(s for _, s in held) / len(instances)
+                if conf >= trust:
+                    sizes, digits = [looks[i][0] for i, _ in held], [looks[i][1] for i, _ in held]
+                    trusted[pattern, kind] = (conf, len(held), min(sizes), max(sizes), min(digits), any(looks[i][2] for i, _ in held),
+                                              all(looks[i][3] for i, _ in held))
+        chances = {}
+        for (pattern, instance), kind_of_seed in seed.items():
+            if not free[pattern, instance] or kind_of_seed is not None:
+                continue
+            size, digits, letters, at = looks[instance]
+            for kind in range(4):
+                if (pattern, kind) in trusted:
+                    conf, _, short, long, few, lettered, all_at = trusted[pattern, kind]
+                    if (size >= 6 and digits >= 4) or (short / 2 <= size <= long * 2 and digits >= few / 2
+                                                       and (lettered or not letters) and at == all_at):
+                        chances[instance, kind] = chances.get((instance, kind), 1.0) * max(1e-12, 1 - conf)
+        best = {}
+        for (instance, kind), left in chances.items():
+            best[instance] = max(best.get(instance, (0.0, -9)), (1 - left, -kind))
+        found = {i: (-k, s) for i, (s, k) in best.items() if s >= trust}
+        known = seeds | {(i, k, s) for i, (k, s) in found.items()}
+        state = ({p: (n, *shape, round(c, 6)) for p, (c, n, *shape) in trusted.items()}, {i: k for i, (k, _) in found.items()})
+        if state in states:
+            return set(trusted), state[1]
+        states.append(state)
+
+
+def test_graph_scoring_matches_a_plain_version(spark):
+    from txflow.llm.pii import score_graph
+
+    schema = "pattern string, instance string, kind int, free boolean"
+    some = 0
+    for seed in range(4):
+        rng = random.Random(seed)
+        names = [f"{'abc'[i % 3]}{rng.randint(10, 99999)}" if i % 2 else f"{rng.randint(1000, 9999999)}" for i in range(25)]
+        kinds = {n: rng.choice([None, None, 0, 2]) for n in names}
+        edges = [(f"p{rng.randint(0, 9)}", n, kinds[n], kinds[n] is None) for n in names for _ in range(rng.randint(1, 5))]
+        edges += [("clean", n, 1, False) for n in ("10.0.0.1", "10.0.0.2", "10.0.0.3", "10.0.0.4")] + [("clean", "77-1234", None, True)]
+        patterns, found = score_graph(spark.createDataFrame(edges, schema), rounds=None, support=3, trust=0.7)
+        want = plain_scores(edges)
+        assert {(r["pattern"], r["kind"]) for r in patterns.collect()} == want[0]
+        assert {r["instance"]: r["kind"] for r in found.collect()} == want[1]
+        some += len(want[1])
+    assert some >= 4

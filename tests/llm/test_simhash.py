@@ -114,3 +114,22 @@ def test_keep_one_loses_no_text_of_an_id_that_repeats(spark, rows, want):
     for given in (rows, rows[::-1]):
         kept = keep_one(spark.createDataFrame([(i, texts[x], "en", 1) for i, x in given], schema)).collect()
         assert sorted(((r["doc_id"], r["text"][0]) for r in kept), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("wide_from", [1, 10_000])
+def test_the_segments_chosen_by_size_find_the_same_components(spark, monkeypatch, wide_from):
+    """``links`` takes two segments from WIDE_FROM fingerprints on and three below: the components are those of all pairs."""
+    monkeypatch.setattr(simhash, "WIDE_FROM", wide_from)
+    rng = random.Random(9)
+    seeds = [rng.getrandbits(64) for _ in range(8)]
+    values = sorted({s ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))) for s in seeds for _ in range(20)})
+    signed = np.array(values, dtype=np.uint64).view(np.int64).tolist()
+    found = links(spark.createDataFrame([(v,) for v in signed], "fp long"), 4).collect()
+    comps = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(
+        [(r["a"], r["b"]) for r in found], "a long, b long")).collect()}
+    want = slow_components(list(enumerate(values)))
+    groups, wanted = {}, {}
+    for i, v in enumerate(signed):
+        groups.setdefault(comps.get(v, v), []).append(i)
+        wanted.setdefault(want[i], []).append(i)
+    assert sorted(groups.values()) == sorted(wanted.values())
