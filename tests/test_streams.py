@@ -326,6 +326,14 @@ def test_observed_metrics_add_up_over_batches(spark, tmp):
     assert got.total("other", "rows") == 0
 
 
+def test_batches_are_capped_by_bytes(spark, tmp):
+    for i in range(3):
+        write_file(spark, f"{tmp}/in", [(i, i, "food", 1.0)])
+    stream = streams.decoded(streams.envelope_stream(spark, f"{tmp}/in", max_bytes_per_trigger=1))
+    streams.await_all([streams.start_view(stream, streams.parquet_batch_sink(f"{tmp}/out"), f"{tmp}/chk")])
+    assert spark.read.parquet(f"{tmp}/out").select("batch_id").distinct().count() == 3
+
+
 def test_held_windows_are_those_the_watermark_has_not_passed(spark, tmp):
     write_file(spark, f"{tmp}/in", [(1, 0, "a", 1.0), (2, 40, "a", 2.0)])
     ev = streams.decoded(streams.envelope_stream(spark, f"{tmp}/in"))

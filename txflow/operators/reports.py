@@ -73,3 +73,15 @@ def turnover_by_partition(fact: DataFrame, dimension: DataFrame, on: str) -> Dat
     table). The dimension's filter prunes the fact's folders at run time: join on the partition column itself."""
     return fact.join(dimension.select(on), on).groupBy(on).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("amount").cast("decimal(18,2)")).alias("turnover"))
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """Per column of ``df``: column, type, rows, nulls, least, greatest (as text), from one pass of partial aggregates
+    (SRC9 with what the rows hold, beside the DDL)."""
+    types = dict(df.dtypes)
+    sums = df.agg(F.count(F.lit(1)).alias("rows"), *[f.alias(f"{name}_{i}") for i, c in enumerate(df.columns) for name, f in (
+        ("nulls", F.count_if(F.col(c).isNull())), ("least", F.min(c).cast("string")), ("greatest", F.max(c).cast("string")))])
+    told = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"), F.col("rows"),
+                              *[F.col(f"{name}_{i}").alias(name) for name in ("nulls", "least", "greatest")])
+                     for i, c in enumerate(df.columns)])
+    return sums.select(F.explode(told).alias("x")).select("x.*")

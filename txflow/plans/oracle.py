@@ -544,3 +544,9 @@ wm AS (SELECT max(e) - 900 AS w FROM ev, cut WHERE e >= c)
 SELECT event_id AS id, value AS amount, make_timestamp(e * 1000000) AS event_time,
   CASE WHEN e < c AND (e // 600) * 600 + 600 <= w THEN make_timestamp(w * 1000000) END AS watermark
 FROM ev, cut, wm"""
+
+SQL["profile_table"] = with_(DIRTY) + "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{kind}' AS "type", count(*) AS rows, count(*) - count("{c}") AS nulls,
+  CAST(min("{c}") AS VARCHAR) AS least, CAST(max("{c}") AS VARCHAR) AS greatest FROM raw"""
+    for c, kind in (("id", "bigint"), ("user_id", "bigint"), ("amount", "string"), ("category", "string"),
+                    ("timestamp", "string"), ("city", "string")))

@@ -103,6 +103,12 @@ def describe_table(spark, sf_dir):
     return _detached(spark, name, reports.describe(spark, name))
 
 
+@register("profile_table")
+def profile_table(spark, sf_dir):
+    """SRC9 with content: type, rows, nulls and range of every column of the raw transactions."""
+    return reports.profile(raw_transactions(spark, sf_dir))
+
+
 @register("peek_ordered")
 def peek_ordered(spark, sf_dir):
     return reports.peek_ordered(target_table(spark, sf_dir), 5, "id")

@@ -79,11 +79,15 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str =
     return r.load()
 
 
-def envelope_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Envelope rows from parquet files in ``path``; files are taken oldest first."""
+def envelope_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                    max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Envelope rows from parquet files in ``path``; files are taken oldest first, at most so many files or (about) so
+    many bytes in a batch."""
     r = spark.readStream.schema(schemas.ENVELOPE)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return r.parquet(path)
 
 
@@ -412,8 +416,9 @@ def late_split_sink(on_time: BatchSink, late: BatchSink, clock_path: str, window
     the ``watermark`` that closed it; all others go to ``on_time``.
 
     The watermark of a batch is the largest event time of all earlier batches less ``delay``; a window is closed
-    when it ends at or before it, as in the window aggregation; a row without a time is never late. Each batch keeps its own largest time under
-    ``clock_path/batch_id=N``, so a batch that is replayed sees the watermark it saw before and writes the same rows.
+    when it ends at or before it, as in the window aggregation; a row without a time is never late. Each batch keeps the
+    largest time so far under ``clock_path/batch_id=N`` and reads that of the batch before it, so a batch that is replayed
+    sees the watermark it saw before and writes the same rows.
     """
     write_clock = parquet_batch_sink(clock_path)
 
@@ -422,19 +427,21 @@ def late_split_sink(on_time: BatchSink, late: BatchSink, clock_path: str, window
         batch = batch.persist()
         try:
             newest = Observation()
-            seen = batch.observe(newest, F.max(time_col).alias("newest"))
+            seen = batch.observe(newest, F.max(F.unix_micros(time_col)).alias("newest"))
+            before = [int(n.removeprefix("batch_id=")) for n in folders(spark, clock_path) if n.startswith("batch_id=")]
+            before = max((n for n in before if n < batch_id), default=None)
             earlier = None
-            if any(n.startswith("batch_id=") for n in folders(spark, clock_path)):
-                clock = spark.read.schema("newest timestamp, batch_id long").parquet(clock_path)
-                earlier = clock.filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
-            mark = F.lit(earlier).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+            if before is not None:
+                earlier = spark.read.schema("newest long").parquet(f"{clock_path}/batch_id={before}").first()["newest"]
+            mark = F.timestamp_micros(F.lit(earlier).cast("long")) - F.expr(f"INTERVAL {delay}")
             size = F.expr(f"unix_micros(timestamp_seconds(0) + INTERVAL {window})")
             micros = F.unix_micros(time_col)
             closed = F.coalesce(F.timestamp_micros(micros - F.pmod(micros, size) + size) <= mark, F.lit(False))
             on_time(seen.filter(~closed), batch_id)
             late(batch.filter(closed).withColumn("watermark", mark), batch_id)
-            if newest.get["newest"] is not None:
-                write_clock(spark.createDataFrame([(newest.get["newest"],)], "newest timestamp"), batch_id)
+            told = [x for x in (earlier, newest.get["newest"]) if x is not None]
+            if told:
+                write_clock(spark.createDataFrame([(max(told),)], "newest long"), batch_id)
         finally:
             batch.unpersist()
     return sink
