@@ -62,33 +62,49 @@ class Cells:
         self.shift = rng.uniform(0, 1, tables * groups * 8)
         self.mix = rng.integers(1, 1 << 62, (tables, groups, 8), dtype=np.int64) | 1
         self.roots = e8_roots()
+        doubled = (2 * self.roots).astype(np.int64)
+        self.steps = [np.concatenate([(doubled * self.mix[t, g]).sum(1) for g in range(groups)]) for t in range(tables)]
 
-    def of(self, unit: np.ndarray) -> np.ndarray:
-        """(vectors, tables, 1 + probes) cell numbers: a 64-bit mix of the doubled lattice coordinates."""
+    def near(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The own cell in every table, a 64-bit mix of the doubled lattice coordinates, and the steps to the cells probed."""
         tables, groups = self.shape
         at = (unit @ self.directions + self.shift).reshape(len(unit), tables, groups, 8)
-        out = np.empty((len(unit), tables, 1 + self.probes), dtype=np.int64)
-        doubled_roots = (2 * self.roots).astype(np.int64)
+        own = np.zeros((len(unit), tables), dtype=np.int64)
+        best = np.empty((len(unit), tables, self.probes), dtype=np.int16)
         for t in range(tables):
-            own, towards, steps = np.zeros(len(unit), dtype=np.int64), [], []
+            towards = []
             for g in range(groups):
                 point = e8_nearest(at[:, t, g])
-                own += ((2 * point).astype(np.int64) * self.mix[t, g]).sum(1)
+                own[:, t] += ((2 * point).astype(np.int64) * self.mix[t, g]).sum(1)
                 towards.append((at[:, t, g] - point) @ self.roots.T)   # the larger, the closer that neighbour
-                steps.append((doubled_roots * self.mix[t, g]).sum(1))
-            toward, step = np.concatenate(towards, 1), np.concatenate(steps)
-            best = np.argsort(-toward, axis=1, kind="stable")[:, :self.probes]
-            out[:, t, 0] = own
-            out[:, t, 1:] = own[:, None] + step[best]
+            best[:, t] = np.argsort(-np.concatenate(towards, 1), axis=1, kind="stable")[:, :self.probes]
+        return own, best
+
+    def whole(self, own: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """(vectors, tables, 1 + probes): the own cell and those probed."""
+        out = np.empty((*own.shape, 1 + self.probes), dtype=np.int64)
+        out[:, :, 0] = own
+        for t, step in enumerate(self.steps):
+            out[:, t, 1:] = own[:, t, None] + step[best[:, t]]
         return out
 
+    def of(self, unit: np.ndarray) -> np.ndarray:
+        return self.whole(*self.near(unit))
+
+
+def _unit(flat: np.ndarray, dims: int) -> np.ndarray:
+    x = flat.astype(np.float64).reshape(-1, dims)
+    x = x / np.abs(x).max(1, keepdims=True)   # so that squares neither vanish nor overflow
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
 
-def _unpack(rows: pa.StructArray, dims: int, tables: int, width: int):
-    n = len(rows)
-    flat = rows.field("unit").flatten().to_numpy(zero_copy_only=False)
-    cells = rows.field("cells").flatten().to_numpy(zero_copy_only=False)
+def _unpack(rows: pa.StructArray, dims: int, cells: Cells):
+    """ids, copies, unit vectors and cells of the rows of a block, from what was sent of them."""
+    n, (tables, _) = len(rows), cells.shape
+    own = rows.field("own").flatten().to_numpy(zero_copy_only=False).reshape(n, tables)
+    best = np.frombuffer(b"".join(rows.field("best").to_pylist()), np.int16).reshape(n, tables, cells.probes)
     return (rows.field("id").to_numpy(zero_copy_only=False), rows.field("copies").to_numpy(zero_copy_only=False),
-            flat.reshape(n, dims), cells.reshape(n, tables, width))
+            _unit(rows.field("vec").flatten().to_numpy(zero_copy_only=False), dims), cells.whole(own, best))
 
 
 def _met(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -128,19 +144,21 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
-            x = x / np.abs(x).max(1, keepdims=True)   # so that squares neither vanish nor overflow
-            unit = x / np.sqrt((x * x).sum(1, keepdims=True))
-            own = cells.of(unit)
-            n = len(unit)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("copies"),
-                 pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * dims), pa.array(unit.ravel())),
-                 pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * own[0].size), pa.array(own.ravel()))],
-                names=["id", "copies", "unit", "cells"])
+            own, best = cells.near(_unit(batch.column("vec").flatten().to_numpy(zero_copy_only=False), dims))
+            whole, n = cells.whole(own, best), len(own)
+
+            def listed(values: np.ndarray) -> pa.Array:
+                return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * values[0].size), pa.array(values.ravel()))
 
-    units = saved(classes.select("id", "copies", "vec").mapInArrow(
-        filed, "id long, copies long, unit array<double>, cells array<long>"), "lattice-cells")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("copies"), batch.column("vec"), listed(own),
+                 pa.array([x.tobytes() for x in best], pa.binary()), listed(whole)],
+                names=["id", "copies", "vec", "own", "best", "cells"])
+
+    # a vector is sent as it is stored, its probed cells as two bytes each
+    kind = "float" if vectors.schema[vec_col].dataType.elementType.typeName() == "float" else "double"
+    units = saved(classes.select("id", "copies", F.col("vec").cast(f"array<{kind}>").alias("vec")).mapInArrow(
+        filed, f"id long, copies long, vec array<{kind}>, own array<long>, best binary, cells array<long>"), "lattice-cells")
     per = 1 + probes
     probed = units.select("id", F.posexplode("cells").alias("pos", "cell")).select(
         "id", (F.col("pos") / per).cast("int").alias("t"), F.pmod("pos", F.lit(per)).alias("nth"), "cell")
@@ -150,9 +168,9 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "
             .select(F.col("t").alias("l_t"), F.col("cell").alias("l_cell"), F.ceil(F.col("n") / BLOCK).alias("k")))
     hits = probed.join(live, (F.col("t") == F.col("l_t")) & (F.col("cell") == F.col("l_cell"))).select(
         F.col("id").alias("p_id"), "t", "cell", "k", "nth")
-    grouped = saved(hits.join(units, F.col("p_id") == F.col("id")).groupBy(
+    grouped = saved(hits.join(units.drop("cells"), F.col("p_id") == F.col("id")).groupBy(
         "t", "cell", "k", F.pmod(F.xxhash64("id"), "k").alias("block")).agg(F.collect_list(
-            F.struct("nth", "id", "copies", "unit", "cells")).alias("rows")), "lattice-blocks")
+            F.struct("nth", "id", "copies", "vec", "own", "best")).alias("rows")), "lattice-blocks")
     one = grouped.filter("k = 1").select("t", F.col("rows").alias("asking"), F.col("rows").alias("there"))
     split = grouped.filter("k > 1")
     other = split.select(F.col("t").alias("o_t"), F.col("cell").alias("o_cell"), F.col("rows").alias("there"))
@@ -160,14 +178,15 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "
                             .select("t", F.col("rows").alias("asking"), "there"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = Cells(dims, tables, groups, width, probes, seed)
         for batch in batches:
             nodes, counts, a, b = [], [], [], []
             for i in range(batch.num_rows):
                 t = batch.column("t")[i].as_py()
-                x_id, x_copies, x, x_cells = _unpack(batch.column("asking")[i].values, dims, tables, per)
+                x_id, x_copies, x, x_cells = _unpack(batch.column("asking")[i].values, dims, cells)
                 filed_rows = batch.column("there")[i].values
                 filed_rows = filed_rows.filter(pc.equal(filed_rows.field("nth"), 0))
-                y_id, y_copies, y, y_cells = _unpack(filed_rows, dims, tables, per)
+                y_id, y_copies, y, y_cells = _unpack(filed_rows, dims, cells)
                 p, q = np.nonzero((x @ y.T >= least) & (x_id[:, None] != y_id[None, :]))
                 if not len(p):
                     continue
