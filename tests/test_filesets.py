@@ -124,6 +124,9 @@ def test_a_write_that_is_cut_off_is_no_version(spark, tmp):
     stray.write.parquet(f"{tmp}/t/files/version=2")
     os.rename(local_path(f"{tmp}/t/files/version=2/_SUCCESS"), local_path(f"{tmp}/t/files/version=2/_lost"))
     assert t.versions() == [1] and t.read().count() == 100
+    later = dt.datetime.now() + dt.timedelta(days=10)
+    left = {r.file_path for r in t.orphans(now=later).collect()}
+    assert len(left) == 1 and not left & names(t, 1) and t.orphans().count() == 0
     t.append(rows(spark, 5, 1))
     assert t.versions() == [1, 2] and t.read().count() == 105
 

@@ -1,5 +1,5 @@
 """Table versions as sets of parquet files: merge and update by rewriting the files they touch, packing of small
-files, versions and their expiry (CHG1, CHG2, CHG4, CHG5, CHG7).
+files, versions, their expiry and orphans (CHG1, CHG2, CHG4, CHG5, CHG7, CHG8).
 
 A table lives under one folder::
 
@@ -13,6 +13,7 @@ names, as with any read of a table, and never rows.
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 from dataclasses import dataclass
 from functools import cached_property
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 
 from txflow.functions import values as V
 from txflow.operators.changes import MergeCardinalityError, most_per_key
-from txflow.operators.files import storage_listing
+from txflow.operators.files import orphan_files, storage_listing
 from txflow.session import work_dir, written_whole
 
 FILES = "file_path string, path string, length bigint"
@@ -213,3 +214,10 @@ class FileTable:
         kept = every.filter(F.col("version") > versions[-1] - keep).select("file_path").distinct()
         return (every.join(kept, "file_path", "left_anti").groupBy("file_path", "path", "length")
                 .agg(F.min("version").alias("added"), F.max("version").alias("last")))
+
+    def orphans(self, older_than: _dt.timedelta = _dt.timedelta(days=3), now: _dt.datetime | None = None) -> DataFrame:
+        """CHG8: files under ``data`` that no version names and that are older than the floor: what writes that were cut off
+        have left. A report; files of versions that may expire are not in it (see ``expirable``)."""
+        live = self.spark.read.schema(f"{FILES}, version int").parquet(f"{self.root}/files").filter(
+            F.col("version").isin(self.versions()))
+        return orphan_files(self.spark, f"{self.root}/data", live.select("file_path"), older_than, now)

@@ -550,3 +550,6 @@ SQL["profile_table"] = with_(DIRTY) + "\nUNION ALL ".join(
   CAST(min("{c}") AS VARCHAR) AS least, CAST(max("{c}") AS VARCHAR) AS greatest FROM raw"""
     for c, kind in (("id", "bigint"), ("user_id", "bigint"), ("amount", "string"), ("category", "string"),
                     ("timestamp", "string"), ("city", "string")))
+
+SQL["rollback_files"] = with_(TARGET) + """
+SELECT id, "user", amount, ts, strftime(ts, '%Y%m') AS month, true AS month_kept FROM target"""

@@ -109,3 +109,13 @@ def expire_files(spark, sf_dir):
                                                 F.col("amount").cast("double").alias("amount"), "all_needed")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@register("rollback_files")
+def rollback_files(spark, sf_dir):
+    """CHG4 by files: every amount is set to 0 (a new set of files), then the table is rolled back to the version before:
+    its rows, all in the files that they were in."""
+    t = FileTable.create(_by_month(target_table(spark, sf_dir)), f"{work_dir(spark, 'rollback_files')}/table", ["month"])
+    t.update("amount", 0.0)
+    done = t.rollback(1)
+    return _with_kept_months(t, 1, done.version)
