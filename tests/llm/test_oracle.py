@@ -9,7 +9,7 @@ from txflow.llm.queries import QUERIES, SQL
 
 def test_the_others_are_tested_against_brute_force():
     assert set(QUERIES) - set(SQL) == {"op2_packing", "op3_simhash", "op5_lattice", "op6_pii", "op7_bpe", "op9_language",
-                                       "op10_secrets"}
+                                       "op10_secrets", "op12_lm_scoring", "op13_conversations"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
