@@ -108,9 +108,10 @@ class FileTable:
         old = self.files(before)
         kept = old.join(removed.select("file_path").distinct(), "file_path", "left_anti")
         self._commit(before + 1, kept.unionByName(added))
-        n_old, n_new = old.count(), self.files(before + 1).count()
-        stayed = self.files(before + 1).join(old, "file_path", "left_semi").count()
-        return Change(before + 1, stayed, n_old - stayed, n_new - stayed)
+        both = old.select("file_path", F.lit(1).alias("o")).join(
+            self.files(before + 1).select("file_path", F.lit(1).alias("n")), "file_path", "full")
+        was, now, stayed = both.agg(F.count("o"), F.count("n"), F.count(F.col("o") + F.col("n"))).first()
+        return Change(before + 1, stayed, was - stayed, now - stayed)
 
     # --- changes ----------------------------------------------------------------
 
