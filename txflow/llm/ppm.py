@@ -54,16 +54,23 @@ def symbols(data: bytes, ends: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
+def _packed(near: np.ndarray, size: int) -> np.ndarray:
+    """The ``size`` symbols from each place on as one number, the last in the lowest bits; halves are put together."""
+    if size == 1:
+        return near
+    half = size // 2
+    part = _packed(near, half)
+    both = part[half:] | part[:-half] << BITS * half
+    return both[1:] | near[:len(both) - 1] << BITS * 2 * half if size % 2 else both
+
+
 def windows(coded: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(places, windows) of every symbol that is coded, some at a time: the symbol and ``order`` before it."""
     for begin in range(order, len(coded), WINDOWS_AT_ONCE):
         end = min(len(coded), begin + WINDOWS_AT_ONCE)
         near = coded[begin - order:end].astype(np.int64)     # the first ``order`` symbols are zeros
-        out = near[order:].copy()
-        for j in range(1, order + 1):
-            out |= near[order - j:len(near) - j] << (BITS * j)
         at = np.flatnonzero(near[order:])
-        yield begin + at, out[at]
+        yield begin + at, _packed(near, order + 1)[at]
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
