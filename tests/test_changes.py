@@ -47,6 +47,28 @@ def test_merge_broadcast_plan_does_not_shuffle_target(spark):
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_merge_of_large_source_deals_inserts_by_rows(spark):
+    """Shuffled on two partitions by the session: no task of the insert side gets more rows than it is meant to."""
+    n = 1_200_000
+    frame = lambda a, b, amount: spark.range(a, b).select("id", F.lit("u").alias("user"), F.lit(amount).alias("amount"),
+                                                           F.lit(TS).cast("timestamp_ntz").alias("ts"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = changes.merge_upsert(frame(0, n // 2, 1.0), frame(0, n, 2.0), "id", ["amount"])
+        inserted = out.withColumn("task", F.spark_partition_id()).filter(F.col("id") >= n // 2).groupBy("task").count().collect()
+        total = out.agg(F.count("*"), F.count_distinct("id"), F.sum("amount")).first()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(r["count"] for r in inserted) == n - n // 2
+    assert max(r["count"] for r in inserted) <= 250_000
+    assert tuple(total) == (n, n, 2.0 * n)
+
+
 def test_update_column(spark):
     out = changes.update_column(target(spark), "amount", 0, F.col("id") == 1)
     assert sorted((r.amount for r in out.collect())) == [0.0, 0.0, 5.0, 20.0]

@@ -19,14 +19,26 @@ from txflow.operators.collapse import latest_version
 from txflow.session import work_dir
 
 
+# Insert side of a merge: above so many source rows it is dealt into tasks of about so many of them
+MERGE_WHOLE_ROWS = 1_000_000
+MERGE_ROWS_A_TASK = 250_000
+MERGE_MOST_TASKS = 100_000
+
+
 class MergeCardinalityError(ValueError):
     """Two source rows match one target row: the merge is ambiguous and refused."""
 
 
 def most_per_key(source: DataFrame, key: str) -> int:
     """The largest number of rows that share one non-NULL key."""
+    return _most_and_all(source, key)[0]
+
+
+def _most_and_all(source: DataFrame, key: str) -> tuple[int, int]:
+    """The largest number of rows that share one non-NULL key, and the number of rows with any."""
     per_key = source.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return int(per_key.agg(F.max("n")).first()[0] or 0)
+    most, rows = per_key.agg(F.max("n"), F.sum("n")).first()
+    return int(most or 0), int(rows or 0)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str = "id",
@@ -40,13 +52,18 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str = "id",
     scan when it is under the broadcast threshold and shuffles both sides otherwise
     (adaptive execution splits hot target keys). The insert side reads the target's key
     column only, one row per key after the map-side step.
+
+    A task of the insert side holds several sorted or hashed copies of its keys at once,
+    while keys alone shuffle to a few bytes a row: adaptive execution, which goes by
+    shuffled bytes, joins too many of them into one task. For a large source, the number
+    of tasks goes by its rows and is kept, never fewer than the session's.
     """
     update = update if update is not None else [c for c in source.columns if c != key and c in target.columns]
     spark = source.sparkSession
     path = work_dir(spark, "merge_source")
     source.write.parquet(path)
     source = spark.read.schema(source.schema).parquet(path)
-    worst = most_per_key(source, key)
+    worst, rows = _most_and_all(source, key)
     if worst > 1:
         raise MergeCardinalityError(f"source has {worst} rows for one {key}")
 
@@ -54,6 +71,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str = "id",
     updated = target.join(src, key, "left").select(*[
         (F.when(F.col("_matched"), F.col(f"_src_{c}")).otherwise(F.col(c)) if c in update else F.col(c)).alias(c)
         for c in target.columns])
+    if rows > MERGE_WHOLE_ROWS:
+        tasks = min(-(-rows // MERGE_ROWS_A_TASK), MERGE_MOST_TASKS)
+        source = source.repartition(max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
     # only keys that the source has, then one row per key: never more rows than the source
     matched = target.select(key).join(source.select(key), key, "left_semi").distinct()
     inserts = source.join(matched, key, "left_anti")
