@@ -90,3 +90,22 @@ def test_few_pairs_are_resolved(spark, monkeypatch):
     sent = topk.survivors(v, q, n, m, topk.cutoffs(v, q, n, m, dims, 5)).select(F.array_distinct(F.flatten("sent")).alias("p"))
     resolved = sent.agg(F.sum(F.size("p"))).first()[0]
     assert 5 * len(asked) <= resolved < 0.05 * len(asked) * len(rows)
+
+
+def test_copies_of_queries_are_not_broadcast(spark, monkeypatch):
+    """A copy of the queries for each few blocks of vectors, that no join collects at the driver, however small Spark
+    takes the lists to be."""
+    monkeypatch.setattr(topk, "VECTORS_IN_BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERIES_IN_BLOCK", 3)
+    monkeypatch.setattr(topk, "shuffle_width", lambda spark: 1)
+    rnd = random.Random(8)
+    rows = [(i, [rnd.gauss(0, 1) for _ in range(8)]) for i in range(1000)]
+    df = frame(spark, rows)
+    queries = df.filter("vec_id % 50 = 0")
+    v, q, n, m, dims = topk._prepared(df, queries, "vec_id", "embedding", 2)
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 1 << 20 and n == 25
+    met = topk._met(q, v, n)
+    met.count()
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+    assert met.count() < n * m + q.filter("list >= 0").count() * n / 4
+    assert sorted(tuple(r) for r in top_k(df, queries).collect()) == brute(rows)
