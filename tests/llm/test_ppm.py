@@ -114,3 +114,28 @@ def test_query_matches_brute_force(spark):
     # texts it hasn't seen cost under half of what even bytes do
     size = {i: len((text or "").encode()) + 1 for i, text in rows}
     assert sum(r[6] for r in got if r[1]) > -0.5 * math.log10(257) * sum(size[r[0]] for r in got if r[1])
+
+
+def test_small_batches(spark, monkeypatch):
+    """Rows go to the workers by few bytes at a time, in the last step too, and the session keeps its own setting."""
+    from txflow.llm import common
+    seen, before = [], spark.conf.get(common.BATCH, None)
+    saved = ppm.saved
+    monkeypatch.setattr(ppm, "saved", lambda df, name, *a: seen.append((name, spark.conf.get(common.BATCH, None))) or saved(df, name, *a))
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in range(30)], "doc_id long, text string")
+    out = score_documents(docs)
+    assert out.count() == 30 and "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {"ppm-blocks", "ppm-scores", "ppm-results"} <= {n for n, _ in seen} and {s for _, s in seen} == {"8m"}
+    assert spark.conf.get(common.BATCH, None) == before
+
+
+def test_windows_of_a_block_few_at_a_time(monkeypatch):
+    import numpy as np
+    texts = [b"abcabcabd" * 9, b"", b"zzz", b"abd" * 40]
+    ends, held = np.cumsum([len(t) for t in texts]), np.array([False, False, True, False])
+    whole = ppm.block_windows(b"".join(texts), ends, held, 3)
+    monkeypatch.setattr(ppm, "WINDOWS_AT_ONCE", 7)
+    sizes, joined = [], ppm._joined
+    monkeypatch.setattr(ppm, "_joined", lambda parts: sizes.append(len(parts)) or joined(parts))
+    few = ppm.block_windows(b"".join(texts), ends, held, 3)
+    assert all((a == b).all() for a, b in zip(whole, few)) and max(sizes) <= 8

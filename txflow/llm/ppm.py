@@ -27,14 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txflow.llm.common import saved
+from txflow.llm.common import saved, small_batches
 
 BITS = 9                  # of a symbol: 0 before the text, byte + 1, END after it
 END = 257
 CODEC = "zstd"
 ALPHABET = 257            # 256 bytes and the end
 BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 1 << 15
-WINDOWS_AT_ONCE = 1 << 20
+WINDOWS_AT_ONCE = 1 << 19
 COMMON = 1 << 20          # windows, and a sixteenth as many words, that are sent to all tasks (16 MB)
 
 
@@ -80,6 +80,10 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return _summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))
+
+
 def block_windows(data: bytes, ends: np.ndarray, held: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct windows of a block, sorted, and how often each stands in texts that are not held out."""
     coded = symbols(data, ends, order)
@@ -90,9 +94,9 @@ def block_windows(data: bytes, ends: np.ndarray, held: np.ndarray, order: int) -
         kept_out = np.repeat(held, np.diff(first, prepend=0))
         keys, n = np.unique(found << 1 | kept_out, return_counts=True)     # a sort of plain integers
         parts.append((keys >> 1, n * (1 - (keys & 1))))
-    if not parts:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return _summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))
+        while len(parts) > 1 and len(parts[-2][0]) < 2 * len(parts[-1][0]):      # few copies are held, each of its own size
+            parts[-2:] = [_joined(parts[-2:])]
+    return _joined(parts) if parts else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
 def pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
@@ -260,6 +264,12 @@ def window_scores(grams: DataFrame, order: int) -> DataFrame:
             .mapInArrow(scored, "w long, logp double"))
 
 
+def _told(blocks: DataFrame, names: str, counts: str) -> DataFrame:
+    """block, names, counts: a row for each of a block's names. No row is put together from the arrays before."""
+    return blocks.select("block", counts, F.posexplode(names).alias("at", "name")).select(
+        "block", F.col("name").alias(names), F.get(counts, "at").alias(counts))
+
+
 def _common(table: DataFrame, most: int) -> DataFrame:
     """The rows of ``table`` that stand in the most blocks (column blocks), at most ``most`` of them."""
     level = F.floor(8 * F.log2("blocks"))
@@ -293,12 +303,12 @@ def _scored(answered: DataFrame, schema: T.StructType, order: int, tokens: int,
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = math.log10(tokens + distinct + 1)
         for batch in batches:
-            for ids, held, ends, data, found, counts in zip(*[batch.column(i) for i in range(6)]):
+            for ids, held, ends, data, found, logps, known, counts in zip(*batch.columns):
                 ends = ends.values.to_numpy(zero_copy_only=False)
                 data = pa.decompress(data.as_py(), int(ends[-1]), codec=CODEC, asbytes=True)
                 keys, logp = np.empty(0, np.int64), np.empty(0)
                 if found.values is not None:
-                    keys, logp = (found.values.field(c).to_numpy(zero_copy_only=False) for c in ("w", "logp"))
+                    keys, logp = (x.values.to_numpy(zero_copy_only=False) for x in (found, logps))
                     by_key = np.argsort(keys)
                     keys, logp = keys[by_key], logp[by_key]
                 coded = symbols(data, ends, order)
@@ -314,7 +324,7 @@ def _scored(answered: DataFrame, schema: T.StructType, order: int, tokens: int,
                     score += np.bincount(doc, weights=each[of], minlength=len(ends))
                 logs = shared_words.value
                 if counts.values is not None:
-                    own = zip(counts.values.field("word").to_pylist(), counts.values.field("n").to_pylist())
+                    own = zip(known.values.to_pylist(), counts.values.to_pylist())
                     logs = {**logs, **{w: math.log10(c + 1) for w, c in own}}
                 n_tokens, n_known, base = [], [], []
                 for text in _texts(data, ends):
@@ -333,7 +343,7 @@ def _scored(answered: DataFrame, schema: T.StructType, order: int, tokens: int,
                      pa.array(np.full(len(ends), tokens), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())],
                     names=schema.fieldNames())
 
-    return answered.select("ids", "held", "ends", "data", "found", "counts").mapInArrow(told, schema)
+    return answered.select("ids", "held", "ends", "data", "found", "logps", "known", "counts").mapInArrow(told, schema)
 
 
 def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 5) -> DataFrame:
@@ -349,16 +359,23 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     if not 0 <= order <= 5:
         raise ValueError(f"order {order} is not within 0 to 5")
+    with small_batches(docs.sparkSession):
+        scored = _document_scores(docs, id_col, text_col, order)
+        # written here, so that the last step runs with small batches too; by place, as columns may share a name
+        return saved(scored.toDF(*[f"c{i}" for i in range(len(scored.columns))]), "ppm-results").toDF(*scored.columns)
+
+
+def _document_scores(docs: DataFrame, id_col: str, text_col: str, order: int) -> DataFrame:
     blocks = saved(_blocks(docs, id_col, text_col, order), "ppm-blocks", "zstd")
-    asked = blocks.select("block", F.explode(F.arrays_zip("windows", "counts")).alias("x")).select("block", "x.windows", "x.counts")
+    asked = _told(blocks, "windows", "counts")
     grams = saved(asked.groupBy(F.col("windows").alias("w")).agg(F.sum("counts").alias("n"), F.count("*").alias("blocks")), "ppm-windows")
     logp = saved(window_scores(grams.select("w", "n"), order), "ppm-scores")
     common = saved(_common(grams, COMMON).select("w"), "ppm-common")
     found = (asked.join(F.broadcast(common), F.col("windows") == F.col("w"), "left_anti").select("block", "windows")
              .join(logp, F.col("windows") == F.col("w")).groupBy("block")
-             .agg(F.collect_list(F.struct("w", "logp")).alias("found")).withColumnRenamed("block", "f_block"))
+             .agg(F.collect_list("w").alias("found"), F.collect_list("logp").alias("logps")).withColumnRenamed("block", "f_block"))
 
-    named = blocks.select("block", F.explode(F.arrays_zip("words", "word_counts")).alias("x")).select("block", "x.words", "x.word_counts")
+    named = _told(blocks, "words", "word_counts")
     words = saved(named.groupBy(F.col("words").alias("word")).agg(F.sum("word_counts").alias("n"), F.count("*").alias("blocks"))
                   .filter("n > 0"), "ppm-words")
     texts = blocks.agg(F.sum(F.size(F.filter("held", lambda x: ~x)))).first()[0] or 0
@@ -367,7 +384,7 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     common_words = saved(_common(words.filter(F.length("word") <= 64), COMMON // 16).select("word", "n"), "ppm-common-words")
     counts = (named.join(F.broadcast(common_words.select("word")), F.col("words") == F.col("word"), "left_anti").select("block", "words")
               .join(words, F.col("words") == F.col("word")).groupBy("block")
-              .agg(F.collect_list(F.struct("word", "n")).alias("counts")).withColumnRenamed("block", "c_block"))
+              .agg(F.collect_list("word").alias("known"), F.collect_list("n").alias("counts")).withColumnRenamed("block", "c_block"))
 
     schema = T.StructType([
         T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()),
